@@ -42,6 +42,12 @@ def rounded(df: DataFrame, **decimals: int) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in decimals.items()})
 
 
+def averaged(df: DataFrame, **decimals: int) -> DataFrame:
+    """Round means. Half-way cases (a sum of cents over 32 rows) may lie on either
+    side by the last bit, so both engines add 1e-9 before they round."""
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, n) for c, n in decimals.items()})
+
+
 # ------------------------------------------------------- users and posts
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:

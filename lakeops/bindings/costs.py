@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.bindings.base import BILLING_AS_OF, BILLING_SQL, billing, query, rounded, table
+from lakeops.bindings.base import averaged, BILLING_AS_OF, BILLING_SQL, billing, query, rounded, table
 from lakeops.bindings.relational import calls
 from lakeops.operators import costs
 
@@ -43,13 +43,13 @@ def _(spark, sf):
 
 @query(
     "a7_top_resources",
-    f"""SELECT service, resource, round(sum(total_cost), 2) AS total_cost, round(avg(total_cost), 6) AS avg_daily_cost
+    f"""SELECT service, resource, round(sum(total_cost), 2) AS total_cost, round(avg(total_cost) + 1e-9, 6) AS avg_daily_cost
         FROM {_B} WHERE date >= DATE '{AS_OF}' - INTERVAL 3650 DAY
         GROUP BY 1, 2 ORDER BY sum(total_cost) DESC, 1, 2 LIMIT 10""",
 )
 def _(spark, sf):
     out = costs.top_resources(billing(spark, sf), AS_OF, days=3650)
-    return rounded(out, total_cost=2, avg_daily_cost=6)
+    return averaged(rounded(out, total_cost=2), avg_daily_cost=6)
 
 
 @query(
@@ -249,11 +249,11 @@ def _(spark, sf):
     "w4_spend_alert",
     f"""WITH d AS (SELECT date::DATE AS date, sum(total_cost) AS c FROM {_B} GROUP BY 1)
         SELECT round(coalesce(sum(c) FILTER (WHERE date = DATE '2001-07-01'), 0), 2) AS today_cost,
-               round(avg(c), 4) AS average_cost,
+               round(avg(c) + 1e-9, 4) AS average_cost,
                coalesce(sum(c) FILTER (WHERE date = DATE '2001-07-01'), 0) > avg(c) * 1.5 AS alert FROM d""",
 )
 def _(spark, sf):
-    return rounded(costs.spend_alert(billing(spark, sf), "2001-07-01"), today_cost=2, average_cost=4)
+    return averaged(rounded(costs.spend_alert(billing(spark, sf), "2001-07-01"), today_cost=2), average_cost=4)
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.bindings.base import EVENTS_AS_OF, KINDS, query, raw_posts, raw_users, rounded, table
+from lakeops.bindings.base import averaged, EVENTS_AS_OF, KINDS, query, raw_posts, raw_users, rounded, table
 from lakeops.operators import scoring
 from lakeops.plans import marts, pipelines
 
@@ -68,37 +68,37 @@ def _(spark, sf):
 @query(
     "m3_order_enriched",
     """SELECT o_orderkey, o_custkey, c_name, c_mktsegment, c_nationkey, o_orderdate, o_totalprice,
-              coalesce(line_count, 0) AS line_count, total_quantity, round(net_amount, 3) AS net_amount
+              coalesce(line_count, 0) AS line_count, total_quantity, round(net_amount, 4) AS net_amount
        FROM orders LEFT JOIN customer ON c_custkey = o_custkey
        LEFT JOIN (SELECT l_orderkey, count(*) AS line_count, sum(l_quantity) AS total_quantity,
                          sum(l_extendedprice * (1 - l_discount)) AS net_amount FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""",
 )
 def _(spark, sf):
     out = marts.order_enriched(table(spark, sf, "orders"), table(spark, sf, "customer"), table(spark, sf, "lineitem"))
-    return rounded(out, net_amount=3)
+    return rounded(out, net_amount=4)
 
 
 @query(
     "m4_product_metrics",
-    """SELECT p_partkey, p_name, p_brand, p_type, coalesce(n, 0) AS line_count, quantity, round(revenue, 3) AS revenue,
-              round(avg_discount, 8) AS avg_discount
+    """SELECT p_partkey, p_name, p_brand, p_type, coalesce(n, 0) AS line_count, quantity, round(revenue, 4) AS revenue,
+              round(avg_discount + 1e-9, 8) AS avg_discount
        FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n, sum(l_quantity) AS quantity,
                                    sum(l_extendedprice * (1 - l_discount)) AS revenue, avg(l_discount) AS avg_discount
                             FROM lineitem GROUP BY 1) ON l_partkey = p_partkey""",
 )
 def _(spark, sf):
     out = marts.product_metrics(table(spark, sf, "part"), table(spark, sf, "lineitem"))
-    return rounded(out, revenue=3, avg_discount=8)
+    return averaged(rounded(out, revenue=4), avg_discount=8)
 
 
 @query(
     "m4_revenue_summary",
     """SELECT date_trunc('month', l_shipdate)::DATE AS month, l_returnflag, count(DISTINCT l_orderkey) AS orders,
-              round(sum(l_extendedprice), 2) AS gross_revenue, round(sum(l_extendedprice * (1 - l_discount)), 3) AS net_revenue
+              round(sum(l_extendedprice), 2) AS gross_revenue, round(sum(l_extendedprice * (1 - l_discount)), 4) AS net_revenue
        FROM lineitem GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    return rounded(marts.revenue_summary(table(spark, sf, "lineitem")), gross_revenue=2, net_revenue=3)
+    return rounded(marts.revenue_summary(table(spark, sf, "lineitem")), gross_revenue=2, net_revenue=4)
 
 
 @query(
@@ -179,32 +179,32 @@ _KIND_COUNTS = ", ".join(f"count(*) FILTER (WHERE event_type = '{k}') AS n_{k}"
 
 @query(
     "m8_user_features",
-    f"""SELECT user_id, count(*) AS n_events, {_KIND_COUNTS}, round(avg(value), 6) AS avg_value, max(value) AS max_value,
+    f"""SELECT user_id, count(*) AS n_events, {_KIND_COUNTS}, round(avg(value) + 1e-9, 6) AS avg_value, max(value) AS max_value,
                count(DISTINCT ts::DATE) AS active_days FROM events GROUP BY 1""",
 )
 def _(spark, sf):
-    return rounded(marts.user_features(table(spark, sf, "events"), KINDS), avg_value=6)
+    return averaged(marts.user_features(table(spark, sf, "events"), KINDS), avg_value=6)
 
 
 @query(
     "m8_product_features",
-    """SELECT l_partkey, round(avg(l_extendedprice), 6) AS avg_price, round(avg(l_quantity), 8) AS avg_quantity,
-              round(avg(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0 END), 8) AS return_rate, count(DISTINCT l_suppkey) AS suppliers
+    """SELECT l_partkey, round(avg(l_extendedprice) + 1e-9, 6) AS avg_price, round(avg(l_quantity) + 1e-9, 8) AS avg_quantity,
+              round(avg(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0 END) + 1e-9, 8) AS return_rate, count(DISTINCT l_suppkey) AS suppliers
        FROM lineitem GROUP BY 1""",
 )
 def _(spark, sf):
     out = marts.product_features(table(spark, sf, "lineitem"))
-    return rounded(out, avg_price=6, avg_quantity=8, return_rate=8)
+    return averaged(out, avg_price=6, avg_quantity=8, return_rate=8)
 
 
 @query(
     "m8_session_features",
-    f"""SELECT user_id, count(*) AS sessions, round(avg(duration_seconds), 6) AS avg_duration_seconds,
-               round(avg(event_count), 8) AS avg_events FROM ({_SESSIONS}) GROUP BY 1""",
+    f"""SELECT user_id, count(*) AS sessions, round(avg(duration_seconds) + 1e-9, 6) AS avg_duration_seconds,
+               round(avg(event_count) + 1e-9, 8) AS avg_events FROM ({_SESSIONS}) GROUP BY 1""",
 )
 def _(spark, sf):
     out = marts.session_features(marts.session_aggregated(table(spark, sf, "events")))
-    return rounded(out, avg_duration_seconds=6, avg_events=8)
+    return averaged(out, avg_duration_seconds=6, avg_events=8)
 
 
 @query("m8_feature_scoring")

@@ -19,8 +19,8 @@ def re2(pattern: str) -> str:
 _FINDINGS = "\nUNION ALL\n".join(
     f"""SELECT doc_id, ts, 'text' AS field, '{t}' AS type, unnest(range(len(m)))::INTEGER AS ordinal, unnest(m) AS value,
                unnest(p)::INTEGER AS position
-        FROM (SELECT doc_id, ts, m, list_transform(range(len(m)), i -> list_sum(list_transform(g[1:i+1], x -> length(x)))
-                     + coalesce(list_sum(list_transform(m[1:i], x -> length(x))), 0)) AS p
+        FROM (SELECT doc_id, ts, m, list_transform(range(len(m)), lambda i: list_sum(list_transform(g[1:i+1], lambda x: length(x)))
+                     + coalesce(list_sum(list_transform(m[1:i], lambda x: length(x))), 0)) AS p
               FROM (SELECT doc_id, TIMESTAMP '2024-01-30 23:30:00' AS ts, regexp_extract_all(text, '{re2(rx)}', 0) AS m,
                            string_split_regex(text, '{re2(rx)}') AS g FROM documents))"""
     for t, rx in pii.PII_PATTERNS.items()
@@ -123,8 +123,8 @@ def _keep(c: str, n: int) -> str:
 
 def _whole_value_sql() -> str:
     """Policy steps as nested selects: s1 hashes, every later one reads the one before."""
-    sql = f"""SELECT doc_id, text, list_reduce(list_prepend(text, list_transform(range(len(regexp_extract_all(text, '{re2(pii.PII_PATTERNS["email"])}', 0))), x -> '')),
-                     (acc, x) -> sha256(acc || '{SALT}')) AS v FROM documents"""
+    sql = f"""SELECT doc_id, text, list_reduce(list_prepend(text, list_transform(range(len(regexp_extract_all(text, '{re2(pii.PII_PATTERNS["email"])}', 0))), lambda x: '')),
+                     lambda acc, x: sha256(acc || '{SALT}')) AS v FROM documents"""
     for t, rx in list(pii.PII_PATTERNS.items())[1:]:
         step = {"keep4": _keep("v", 4), "redact": "'***REDACTED***'", "keep3": _keep("v", 3)}[
             masks.WHOLE_VALUE_POLICY.get(t, "keep3")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.bindings.base import (
+    averaged,
     EVENTS_AS_OF,
     POSTS_SQL,
     USERS_SQL,
@@ -188,12 +189,12 @@ def _(spark, sf):
 
 @query(
     "a4_events_by_type",
-    """SELECT event_type, count(*) AS event_count, round(avg(value), 6) AS avg_value
+    """SELECT event_type, count(*) AS event_count, round(avg(value) + 1e-9, 6) AS avg_value
        FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY GROUP BY 1""",
 )
 def _(spark, sf):
     out = metrics.events_by_type(table(spark, sf, "events"), AS_OF, ts="ts")
-    return rounded(out, avg_value=6)
+    return averaged(out, avg_value=6)
 
 
 @query(
@@ -212,7 +213,7 @@ def _(spark, sf):
     """SELECT event_type AS flow_name, ts::DATE AS date, count(*) AS total_runs,
               count(*) FILTER (WHERE event_type <> 'error') AS successful,
               count(*) FILTER (WHERE event_type = 'error') AS failed,
-              round(avg(date_diff('second', ts, ts + to_microseconds((value * 1000000)::BIGINT))), 6)
+              round(avg(date_diff('second', ts, ts + to_microseconds((value * 1000000)::BIGINT))) + 1e-9, 6)
                 AS avg_duration_seconds
        FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAY GROUP BY 1, 2""",
 )
@@ -225,7 +226,7 @@ def _(spark, sf):
         end.alias("end_time"),
         F.when(F.col("event_type") == "error", "FAILED").otherwise("COMPLETED").alias("status"),
     )
-    return rounded(metrics.run_stats(runs, AS_OF), avg_duration_seconds=6)
+    return averaged(metrics.run_stats(runs, AS_OF), avg_duration_seconds=6)
 
 
 def calls(spark, sf):
@@ -245,19 +246,19 @@ def calls(spark, sf):
 
 @query(
     "a12_latency_by_model",
-    """SELECT role AS model, round(avg(length(text)), 6) AS avg_latency_ms,
+    """SELECT role AS model, round(avg(length(text)) + 1e-9, 6) AS avg_latency_ms,
               max(length(text))::DOUBLE AS max_latency_ms, count(*) AS total_requests
        FROM conversations GROUP BY 1""",
 )
 def _(spark, sf):
     out = metrics.latency_by_model(calls(spark, sf), "2024-01-01", hours=24)
-    return rounded(out, avg_latency_ms=6)
+    return averaged(out, avg_latency_ms=6)
 
 
 @query(
     "a12_stage_latency",
-    """SELECT round(avg(l_quantity), 6) AS avg_total_latency_ms, round(avg(l_discount), 6) AS avg_embedding_ms,
-              round(avg(l_tax), 6) AS avg_search_ms, round(avg(l_extendedprice), 4) AS avg_llm_ms
+    """SELECT round(avg(l_quantity) + 1e-9, 6) AS avg_total_latency_ms, round(avg(l_discount) + 1e-9, 6) AS avg_embedding_ms,
+              round(avg(l_tax) + 1e-9, 6) AS avg_search_ms, round(avg(l_extendedprice) + 1e-9, 4) AS avg_llm_ms
        FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-08-01' - INTERVAL 87600 HOUR""",
 )
 def _(spark, sf):
@@ -266,29 +267,29 @@ def _(spark, sf):
         "avg_search_ms": "l_tax", "avg_llm_ms": "l_extendedprice",
     }
     out = metrics.stage_latency(table(spark, sf, "lineitem"), "2001-08-01", stages, hours=87600, ts="l_shipdate")
-    return rounded(out, avg_total_latency_ms=6, avg_embedding_ms=6, avg_search_ms=6, avg_llm_ms=4)
+    return averaged(out, avg_total_latency_ms=6, avg_embedding_ms=6, avg_search_ms=6, avg_llm_ms=4)
 
 
 @query(
     "a14_worker_usage",
     """SELECT ts::DATE AS date, event_type AS worker_name, count(*) AS requests,
-              round(sum(value), 2) AS total_cpu_time_ms, round(avg(value), 6) AS avg_latency_ms
+              round(sum(value), 2) AS total_cpu_time_ms, round(avg(value) + 1e-9, 6) AS avg_latency_ms
        FROM events GROUP BY 1, 2""",
 )
 def _(spark, sf):
     out = metrics.usage_by_worker(table(spark, sf, "events"), "event_type", "value", "value", ts="ts")
-    return rounded(out, total_cpu_time_ms=2, avg_latency_ms=6)
+    return averaged(rounded(out, total_cpu_time_ms=2), avg_latency_ms=6)
 
 
 @query(
     "a15_category_totals",
     """SELECT event_type, count(*) AS records, round(sum(value), 2) AS total,
-              event_type IS NULL AS is_total, round(avg(value), 6) AS average
+              event_type IS NULL AS is_total, round(avg(value) + 1e-9, 6) AS average
        FROM events GROUP BY GROUPING SETS ((event_type), ())""",
 )
 def _(spark, sf):
     out = metrics.category_totals(table(spark, sf, "events"), "event_type", "value")
-    return rounded(out, total=2, average=6)
+    return averaged(rounded(out, total=2), average=6)
 
 
 @query(
@@ -302,12 +303,12 @@ def _(spark, sf):
 @query(
     "a20_daily_report",
     """SELECT DATE '2024-01-30' AS report_date, count(*) AS total_events,
-              count(DISTINCT user_id) AS unique_users, round(avg(value), 6) AS avg_session_duration
+              count(DISTINCT user_id) AS unique_users, round(avg(value) + 1e-9, 6) AS avg_session_duration
        FROM events WHERE ts >= TIMESTAMP '2024-01-30' AND ts < TIMESTAMP '2024-01-31'""",
 )
 def _(spark, sf):
     out = metrics.daily_report(table(spark, sf, "events"), AS_OF, "ts", "user_id", F.col("value"))
-    return rounded(out, avg_session_duration=6)
+    return averaged(out, avg_session_duration=6)
 
 
 @query(

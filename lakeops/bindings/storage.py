@@ -15,7 +15,8 @@ _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 @query("s4_read_upload_csv", "SELECT * FROM events")
 def _(spark, sf):
     path = scratch_dir(spark, "upload")
-    table(spark, sf, "events").write.option("header", True).csv(path)
+    micros = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    table(spark, sf, "events").write.options(header=True, **micros).csv(path)
     return readers.read_upload(spark, path, "csv", _EVENTS)
 
 
@@ -61,10 +62,9 @@ def _(spark, sf):
 
 
 def _post_columns(spark, sf):
-    posts = raw_posts(spark, sf)
-    return writers.add_ingest_metadata(posts.drop("ingestion_timestamp"), "load-1", INGESTED_AT).withColumn(
-        "ingestion_timestamp", posts["ingestion_timestamp"].cast("timestamp")
-    )
+    posts = raw_posts(spark, sf).withColumnRenamed("ingestion_timestamp", "seen_at")
+    loaded = writers.add_ingest_metadata(posts, "load-1", INGESTED_AT)
+    return loaded.withColumn("ingestion_timestamp", F.col("seen_at").cast("timestamp"))
 
 
 _CURATED = """SELECT user_id::INTEGER AS "userId", event_id::INTEGER AS id, event_type AS title, props AS body,
