@@ -11,9 +11,7 @@ from lakeops.operators import joins, privacy
 SALT = "pepper"
 
 
-def re2(pattern: str) -> str:
-    r"""Pattern for DuckDB: RE2's ``\b`` is ASCII already, blanks are spelled out."""
-    return pii.java_pattern(pattern).replace(pii._ASCII_BOUNDARY, r"\b")
+re2 = pii.re2_pattern
 
 
 _FINDINGS = "\nUNION ALL\n".join(

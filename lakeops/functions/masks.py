@@ -107,7 +107,7 @@ def mask_inline(c: Column) -> Column:
     out = c
     for _, pattern, replacement in INLINE_REPLACEMENTS:
         out = F.regexp_replace(out, F.lit(pii.java_pattern(pattern)), F.lit(replacement))
-    return out
+    return F.when(pii.has_hint(c), out).otherwise(c)
 
 
 def mask_whole_value(c: Column, salt: str = "") -> Column:
@@ -122,11 +122,10 @@ def mask_whole_value(c: Column, salt: str = "") -> Column:
     hash changes when repeated, so every other step appears at most once.
     """
     steps = [F.array_repeat(F.lit("hash"), pii.match_count(c, "email"))]
-    for pii_type, pattern in pii.PII_PATTERNS.items():
+    for pii_type in pii.PII_PATTERNS:
         if pii_type != "email":
-            step = F.lit(WHOLE_VALUE_POLICY.get(pii_type, "keep3"))
-            found = c.rlike(pii.java_pattern(pattern))
-            steps.append(F.when(found, F.array(step)).otherwise(F.array().cast("array<string>")))
+            step = F.array(F.lit(WHOLE_VALUE_POLICY.get(pii_type, "keep3")))
+            steps.append(F.when(pii.occurs(c, pii_type), step).otherwise(F.array().cast("array<string>")))
 
     def apply(acc: Column, step: Column) -> Column:
         return (
@@ -136,4 +135,4 @@ def mask_whole_value(c: Column, salt: str = "") -> Column:
             .otherwise(partial_mask(acc, 0, 3))
         )
 
-    return F.aggregate(F.concat(*steps), c, apply)
+    return F.when(pii.has_hint(c), F.aggregate(F.concat(*steps), c, apply)).otherwise(c)

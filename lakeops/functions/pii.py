@@ -10,6 +10,8 @@ out here; with ``\b`` an address that follows an accented letter would be missed
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # The blanks that [\s] stands for, beside the ASCII ones.
@@ -65,21 +67,39 @@ SUGGESTED_MASKING = (
 
 CONFIDENCE = 0.9
 
+# A character without which a pattern cannot match; a plain search for it is far
+# cheaper than the pattern.
+_NEEDED = {"email": "@"}
+
+# Every pattern needs an @, two digits in a row, or a digit before a full stop; one
+# cheap scan lets a text without any of them skip all patterns.
+_HINT = "@|[0-9][0-9.]"
+
 _WORD = "[A-Za-z0-9_]"
-_ASCII_BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
+_STARTS = f"(?<!{_WORD})"
+_ENDS = f"(?!{_WORD})"
+_ASCII_BOUNDARY = f"(?:(?={_WORD})(?<!{_WORD})|(?!{_WORD})(?<={_WORD}))"
 
 
 def java_pattern(pattern: str) -> str:
     r"""``pattern`` for java.util.regex: ASCII ``\b``, Unicode ``\s``.
 
-    ``\s`` may stand alone or inside a character class; the class members are
-    the same, only the brackets differ.
+    Next to a token that can only be a word character, a boundary needs to look
+    one way only; this keeps the scan of ordinary text cheap. ``\s`` may stand
+    alone or inside a character class; the members are the same. A pattern that
+    begins with an optional prefix gets its possible first characters in front.
     """
-    out, in_class, i = [], False, 0
+    first = "(?=[0-9+(])" if pattern.startswith(r"(\+?1-?)?") else ""
+    out, in_class, i = [first], False, 0
     while i < len(pattern):
-        two = pattern[i : i + 2]
+        two, rest = pattern[i : i + 2], pattern[i + 2 :]
         if two == r"\b":
-            out.append(_ASCII_BOUNDARY)
+            if re.match(r"\\d|\(\?:\\d|\[A-Z\]", rest):
+                out.append(f"(?=[A-Z0-9]){_STARTS}")
+            elif re.search(r"\\d(\{[0-9,]+\})?$", pattern[:i]):
+                out.append(_ENDS)
+            else:
+                out.append(_ASCII_BOUNDARY)
         elif two == r"\s":
             out.append(BLANKS if in_class else f"[{BLANKS}]")
         elif two[0] == "\\":
@@ -92,13 +112,37 @@ def java_pattern(pattern: str) -> str:
     return "".join(out)
 
 
+def re2_pattern(pattern: str) -> str:
+    r"""``pattern`` for RE2 engines, whose ``\b`` is ASCII already."""
+    kept = pattern.replace(r"\b", "\x00")
+    return java_pattern(kept).replace("\x00", r"\b").removeprefix("(?=[0-9+(])")
+
+
+def has_hint(text: Column) -> Column:
+    """False only if no pattern can match; NULL for NULL text."""
+    return text.rlike(_HINT)
+
+
+def _if_possible(text: Column, pii_type: str, then: Column, otherwise: Column) -> Column:
+    needed = _NEEDED.get(pii_type)
+    if needed is None:
+        return then
+    return F.when(~F.contains(text, F.lit(needed)), otherwise).otherwise(then)
+
+
 def matches(text: Column, pii_type: str) -> Column:
     """All matches of one pattern, left to right: array<string>."""
-    return F.regexp_extract_all(text, F.lit(java_pattern(PII_PATTERNS[pii_type])), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(java_pattern(PII_PATTERNS[pii_type])), F.lit(0))
+    return _if_possible(text, pii_type, found, F.array().cast("array<string>"))
 
 
 def match_count(text: Column, pii_type: str) -> Column:
-    return F.regexp_count(text, F.lit(java_pattern(PII_PATTERNS[pii_type])))
+    count = F.regexp_count(text, F.lit(java_pattern(PII_PATTERNS[pii_type])))
+    return _if_possible(text, pii_type, count, F.lit(0))
+
+
+def occurs(text: Column, pii_type: str) -> Column:
+    return _if_possible(text, pii_type, text.rlike(java_pattern(PII_PATTERNS[pii_type])), F.lit(False))
 
 
 def findings(text: Column, types: tuple[str, ...] = tuple(PII_PATTERNS)) -> Column:
@@ -106,6 +150,7 @@ def findings(text: Column, types: tuple[str, ...] = tuple(PII_PATTERNS)) -> Colu
 
     Ordered by pattern, then by place in the text. NULL text gives an empty array.
     """
+
     def labelled(pii_type: str) -> Column:
         return F.transform(
             matches(text, pii_type),
@@ -115,40 +160,56 @@ def findings(text: Column, types: tuple[str, ...] = tuple(PII_PATTERNS)) -> Colu
         )
 
     empty = F.array().cast("array<struct<type:string,ordinal:int,value:string>>")
-    return F.coalesce(F.concat(*map(labelled, types)), empty)
+    return F.when(has_hint(text), F.concat(*map(labelled, types))).otherwise(empty)
 
 
-def positions(text: Column, pii_type: str) -> Column:
-    """0-based offsets (in characters) of the matches: array<int>.
+def placed_findings(text: Column, types: tuple[str, ...] = tuple(PII_PATTERNS)) -> Column:
+    """``findings`` with ``position``, the 0-based offset in characters.
 
     The pieces left between the matches give the offsets: match i starts after
     the pieces 0..i and the matches 0..i-1.
     """
-    found = matches(text, pii_type)
-    gaps = F.split(text, java_pattern(PII_PATTERNS[pii_type]), -1)
-    steps = F.zip_with(
-        F.transform(found, lambda m: F.length(m)),
-        F.transform(F.slice(gaps, F.lit(1), F.size(found)), lambda g: F.length(g)),
-        lambda length, gap: F.struct(length.alias("length"), gap.alias("gap")),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-    return F.aggregate(
-        steps,
-        start,
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["length"]).alias("at"),
-            F.concat(acc["out"], F.array(acc["at"] + s["gap"])).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+
+    def starts(found: Column, gaps: Column) -> Column:
+        steps = F.zip_with(found, gaps, lambda m, g: F.struct(F.length(m).alias("m"), F.length(g).alias("g")))
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            steps,
+            begin,
+            lambda acc, s: F.struct(
+                (acc["at"] + s["g"] + F.coalesce(s["m"], F.lit(0))).alias("at"),
+                F.concat(acc["out"], F.array(acc["at"] + s["g"])).alias("out"),
+            ),
+            lambda acc: acc["out"],
+        )
+
+    def placed(pii_type: str) -> Column:
+        gaps = F.split(text, java_pattern(PII_PATTERNS[pii_type]), -1)
+
+        def rows(once: Column) -> Column:
+            return F.zip_with(
+                F.transform(once["found"], lambda v, i: F.struct(v.alias("v"), i.cast("int").alias("i"))),
+                F.slice(starts(once["found"], once["gaps"]), F.lit(1), F.size(once["found"])),
+                lambda m, at: F.struct(
+                    F.lit(pii_type).alias("type"), m["i"].alias("ordinal"), m["v"].alias("value"),
+                    at.alias("position"),
+                ),
+            )
+
+        # a one-element array binds matches and pieces, so that each is computed once
+        both = F.array(F.struct(matches(text, pii_type).alias("found"), gaps.alias("gaps")))
+        return F.when(occurs(text, pii_type), F.get(F.transform(both, rows), F.lit(0))).otherwise(empty)
+
+    empty = F.array().cast("array<struct<type:string,ordinal:int,value:string,position:int>>")
+    return F.when(has_hint(text), F.concat(*map(placed, types))).otherwise(empty)
 
 
 def contains_pii(text: Column) -> Column:
     """True if any checked pattern occurs; NULL for NULL text."""
     hit = F.lit(False)
-    for pattern in CHECKED_PATTERNS.values():
-        hit = hit | text.rlike(java_pattern(pattern))
-    return hit
+    for pii_type, pattern in CHECKED_PATTERNS.items():
+        hit = hit | _if_possible(text, pii_type, text.rlike(java_pattern(pattern)), F.lit(False))
+    return has_hint(text) & hit
 
 
 def is_sensitive_name(name: str) -> bool:

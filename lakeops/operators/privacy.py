@@ -27,33 +27,13 @@ def detect_pii(
     """
     def in_field(c: str) -> Column:
         text = F.col(c).cast("string")
-        if with_position:
-            rows = F.concat(*[_placed(text, t) for t in pii.PII_PATTERNS])
-        else:
-            rows = pii.findings(text)
+        rows = pii.placed_findings(text) if with_position else pii.findings(text)
         return F.transform(rows, lambda f: F.struct(F.lit(c).alias("field"), f.alias("f")))
 
     found = df.select(*keys, F.inline(F.concat(*map(in_field, columns))))
     return found.select(*keys, "field", "f.*", F.lit(pii.CONFIDENCE).alias("confidence"))
 
 
-def _placed(text, pii_type: str):
-    empty = F.array().cast("array<struct<type:string,ordinal:int,value:string,position:int>>")
-    zipped = F.arrays_zip(
-        pii.matches(text, pii_type).alias("value"), pii.positions(text, pii_type).alias("position")
-    )
-    return F.coalesce(
-        F.transform(
-            zipped,
-            lambda z, i: F.struct(
-                F.lit(pii_type).alias("type"), i.cast("int").alias("ordinal"),
-                z["value"].alias("value"), z["position"].alias("position"),
-            ),
-        ),
-        empty,
-    )
-
-
 def sensitive_columns(df: DataFrame) -> DataFrame:
     """Columns of a schema with ``is_sensitive`` and ``suggested_masking``."""
     rows = [
