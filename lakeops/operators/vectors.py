@@ -18,10 +18,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions.similarity import METRICS
 from lakeops.operators.ordered import latest_per_key
+from lakeops.session import spread
 
 SCORE_DECIMALS = 12
 MAX_DIMENSION = 1536
@@ -159,7 +160,7 @@ def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> t
                 best.add(_ids(batch.column(0)), _matrix(batch.column(1)))
             yield from best.table(query_ids, arrow).to_batches()
 
-        return corpus.mapInArrow(scan, ddl), True
+        return spread(corpus).mapInArrow(scan, ddl), True
 
     # Block join: each (tile, block) cell is one group of bounded size.
     tiles = math.ceil(queries.count() / TILE_QUERIES)
@@ -207,7 +208,7 @@ def _with_corpus(found: DataFrame, small: bool, corpus: DataFrame, columns: Sequ
     """Join results with corpus columns. Results of a bounded query set are
     broadcast to the corpus scan; otherwise the join is left to AQE."""
     side = F.broadcast(found) if small else found
-    return corpus.select("id", *columns).join(side, "id")
+    return spread(corpus.select("id", *columns)).join(side, "id")
 
 
 def filter_metadata(corpus: DataFrame, wanted: dict[str, str] | None) -> DataFrame:
@@ -243,17 +244,22 @@ def hybrid_search(
     ``total_results`` is the number of candidates of the query.
     """
     found, small = _candidates(queries, corpus, 2 * k, "cosine")
-    near = _ranked(found, 2 * k).drop("rank")
-    texts = F.lower(F.try_element_at("metadata", F.lit("text")))
-    rows = _with_corpus(near, small, corpus, ["metadata"]).join(
-        queries.select(F.col("query_id").cast(_id_ddl(queries, "query_id")), "keywords"), "query_id"
-    )
-    matched = F.size(F.filter("keywords", lambda w: F.contains(F.col("_text"), F.lower(w))))
-    share = F.when(F.size("keywords") > 0, matched / F.size("keywords")).otherwise(F.lit(0.0))
+    words = queries.select(F.col("query_id").cast(_id_ddl(queries, "query_id")), "keywords")
+    near = _ranked(found, 2 * k).drop("rank").join(words, "query_id")
+    text = F.coalesce(F.try_element_at("metadata", F.lit("text")), F.lit(""))
+
+    def share(lowered: Column) -> Column:
+        matched = F.size(F.filter("keywords", lambda w: F.contains(lowered, F.lower(w))))
+        return F.when(F.size("keywords") > 0, matched / F.size("keywords")).otherwise(F.lit(0.0))
+
+    # a one-element array binds the lowered text, so that it is computed once per row
+    keyword_score = F.get(F.transform(F.array(F.lower(text)), share), F.lit(0))
     scored = (
-        rows.withColumn("_text", F.coalesce(texts, F.lit("")))
+        _with_corpus(near, small, corpus, ["metadata"])
+        .withColumn("text", F.try_element_at("metadata", F.lit("text")))
+        .withColumn("keyword_score", F.coalesce(keyword_score, F.lit(0.0)))
+        .drop("metadata", "keywords")
         .withColumn("semantic_score", F.col("score"))
-        .withColumn("keyword_score", F.coalesce(share, F.lit(0.0)))
         .withColumn(
             "hybrid_score",
             F.round(
@@ -264,8 +270,7 @@ def hybrid_search(
         .withColumn("total_results", F.count("*").over(Window.partitionBy("query_id")))
     )
     return _ranked(scored, k, score="hybrid_score").select(
-        "query_id", "rank", "id", "hybrid_score", "semantic_score", "keyword_score",
-        F.try_element_at("metadata", F.lit("text")).alias("text"), "total_results",
+        "query_id", "rank", "id", "hybrid_score", "semantic_score", "keyword_score", "text", "total_results"
     )
 
 

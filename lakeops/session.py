@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings that the operators rely on; all may be set on a running session.
 SQL_DEFAULTS = {
@@ -42,7 +42,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df, label: str):
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
     Cuts lineage with a table that survives executor loss, unlike a cached or
@@ -51,3 +51,25 @@ def materialize(df, label: str):
     path = scratch_dir(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+SPREAD_LIMIT_BYTES = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for CPU-heavy row work on a small source of very few files.
+
+    A table with at least as many files as cores, or of more than
+    ``SPREAD_LIMIT_BYTES``, is returned as it is: large tables are never shuffled
+    for this.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df._jdf.inputFiles()
+    if not 0 < len(files) < cores:
+        return df
+    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    size = sum(path(f).getFileSystem(conf).getFileStatus(path(f)).getLen() for f in files)
+    return df.repartition(cores) if size < SPREAD_LIMIT_BYTES else df
