@@ -168,7 +168,8 @@ def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> t
     slot = lambda name, n: F.pmod(F.xxhash64(name, "values"), F.lit(n))
     copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q_cells = queries.filter(same).select(
-        slot("query_id", tiles).cast("int").alias("tile"), copies(blocks).alias("block"), "query_id", "values"
+        slot("query_id", tiles).cast("int").alias("tile"), copies(blocks).alias("block"),
+        F.col("query_id").alias("q_id"), F.col("values").alias("q_values"),  # own names: both sides may be one table
     )
     c_cells = corpus.select(
         copies(tiles).alias("tile"), slot("id", blocks).cast("int").alias("block"), "id", "values"
@@ -177,9 +178,9 @@ def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> t
     def cell(q: pa.Table, c: pa.Table) -> pa.Table:
         if not len(q) or not len(c):
             return arrow.empty_table()
-        best = _Best(_matrix(q["values"]), k, metric)
+        best = _Best(_matrix(q["q_values"]), k, metric)
         best.add(_ids(c["id"]), _matrix(c["values"]))
-        return best.table(q["query_id"].combine_chunks(), arrow)
+        return best.table(q["q_id"].combine_chunks(), arrow)
 
     grouped = q_cells.groupBy("tile", "block").cogroup(c_cells.groupBy("tile", "block"))
     return grouped.applyInArrow(cell, ddl), False
