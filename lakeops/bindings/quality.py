@@ -216,7 +216,7 @@ _DAYS = "(SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', IN
 _FLAG = """
     SELECT {keys} date, {value} AS {name}, round(m, 6) AS baseline_mean, round(s, 6) AS baseline_std,
            round(({value} - m) / nullif(s, 0), 6) AS z_score,
-           coalesce(abs(({value} - m) / nullif(s, 0)) > {z}, false) AS is_anomaly {more}
+           coalesce(abs(round(({value} - m) / nullif(s, 0), 9)) > {z}, false) AS is_anomaly {more}
     FROM (SELECT *, avg({value}) OVER w AS m, stddev_samp({value}) OVER w AS s, coalesce(sum({value}) OVER w, 0) AS seen
           FROM f WINDOW w AS ({part} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 _Z = {"baseline_mean": 6, "baseline_std": 6, "z_score": 6}

@@ -159,13 +159,23 @@ def _(spark, sf):
 
 @query(
     "r6_cdc_archive",
-    """SELECT CASE l_returnflag WHEN 'R' THEN 'd' WHEN 'A' THEN 'u' ELSE 'c' END AS operation, 'orders' AS "table",
-              l_shipdate::DATE AS date, count(*) AS events FROM lineitem GROUP BY 1, 3""",
+    """SELECT CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS operation, event_type AS "table",
+              ts::DATE AS date, count(*) AS events, round(sum(value), 2) AS total FROM events GROUP BY 2, 3""",
 )
 def _(spark, sf):
     path, state = scratch_dir(spark, "archive"), scratch_dir(spark, "archive-checkpoint")
-    cdc.cdc_archive(changes(stream(spark, sf, "lineitem")), path, state).awaitTermination()
-    return spark.read.parquet(path).groupBy("operation", "table", "date").agg(F.count("*").alias("events"))
+    kind, row = F.col("event_type"), F.struct("event_id", "user_id", "value")
+    feed = stream(spark, sf, "events").select(
+        F.when(kind == "error", "d").when(kind == "signup", "c").otherwise("u").alias("operation"),
+        kind.alias("table"),
+        F.when(kind != "signup", row).alias("before"),
+        F.when(kind != "error", row).alias("after"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    cdc.cdc_archive(feed, path, state).awaitTermination()
+    stored = spark.read.parquet(path).groupBy("operation", "table", "date")
+    value = F.coalesce("after.value", "before.value")
+    return stored.agg(F.count("*").alias("events"), F.round(F.sum(value), 2).alias("total"))
 
 
 @query("s6_read_cdc", _MERGED)

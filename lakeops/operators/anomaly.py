@@ -42,11 +42,13 @@ def _days(as_of: Moment, days_back: int) -> Column:
 def _flag(daily: DataFrame, keys: Sequence[str], value: str, z_threshold: float) -> DataFrame:
     earlier = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     z = F.try_divide(F.col(value) - F.col("baseline_mean"), F.col("baseline_std"))
+    # nine decimals: a day exactly on the threshold must not hang on the last bit
+    beyond = F.abs(F.round("z_score", 9)) > z_threshold
     return (
         daily.withColumn("baseline_mean", F.avg(value).over(earlier))
         .withColumn("baseline_std", F.stddev_samp(value).over(earlier))
         .withColumn("z_score", z)
-        .withColumn("is_anomaly", F.coalesce(F.abs("z_score") > z_threshold, F.lit(False)))
+        .withColumn("is_anomaly", F.coalesce(beyond, F.lit(False)))
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from lakeops.functions.timeparts import Moment, instant
 from lakeops.operators.staging import categorize_events
+from lakeops.sources.writers import balanced
 
 
 def read_stream(
@@ -34,8 +35,12 @@ def run_to_table(
     """Append a stream to Parquet, exactly once per checkpoint.
 
     Without ``processing_time`` the query takes what is there in micro-batches
-    and stops (``availableNow``); with it, it runs until stopped.
+    and stops (``availableNow``); with it, it runs until stopped. Partitioned
+    output is gathered by partition value first; AQE, which also covers stateless
+    streams, splits a hot value and merges small ones.
     """
+    if partition_by:
+        stream = balanced(stream, *partition_by)
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
