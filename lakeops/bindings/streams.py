@@ -153,8 +153,8 @@ def _(spark, sf):
 def _(spark, sf):
     path, state = scratch_dir(spark, "cdc"), scratch_dir(spark, "cdc-checkpoint")
     feed = changes(stream(spark, sf, "lineitem"))
-    cdc.stream_cdc(feed, path, "o_orderkey", _ROW, state, _ORDER_BY).awaitTermination()
-    return cdc.read_current(spark, path)
+    cdc.stream_cdc(feed, path, "o_orderkey", _ROW, state, _ORDER_BY, buckets=8).awaitTermination()
+    return cdc.read_current(spark, path, "o_orderkey", _ROW, feed.schema, _ORDER_BY)
 
 
 @query(

@@ -302,7 +302,8 @@ def month_to_date(
         .select("date", F.sum("_day").over(running).alias("month_to_date_cost"))
     )
     shown = _recent(rows, as_of, days)
-    return shown.join(days_, "date", "left").select(
+    # one row per calendar day, a few thousand per decade: safe to send everywhere
+    return shown.join(F.broadcast(days_), "date", "left").select(
         "date", "service", "resource", "total_cost", "month_to_date_cost"
     )
 

@@ -13,21 +13,38 @@ from lakeops.functions.timeparts import Moment, instant, moment
 from lakeops.operators.ordered import latest_per_key, neighbor
 
 
+def split_by_keys(df: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(touched, untouched)`` rows of ``df`` by whether their key occurs in ``keys_of``.
+
+    A small key set is broadcast by AQE, so that a large table is not shuffled at
+    all; with a large one both halves share one shuffle of ``df``. NULL is a key.
+    """
+    wanted = keys_of.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return df.join(wanted, same, "left_semi"), df.join(wanted, same, "left_anti")
+
+
 def merge_by_key(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], order_col: str
 ) -> DataFrame:
-    """Upsert: per key keep the row with the highest ``order_col``.
+    """Upsert: per updated key keep the row with the highest ``order_col``.
 
     On equal ``order_col`` an update beats a target row; among equal updates the
-    row with the larger content hash wins, so that a retried task agrees.
+    row with the larger content hash wins, so that a retried task agrees. Target
+    rows without an update pass through as they are.
     """
-    both = target.withColumn("_side", F.lit(0)).unionByName(
+    contested, untouched = split_by_keys(target, updates, keys)
+    both = contested.withColumn("_side", F.lit(0)).unionByName(
         updates.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
-    tie = F.xxhash64(*[F.col(c).cast("string") for c in target.columns])
-    return latest_per_key(both.withColumn("_tie", tie), keys, [order_col, "_side", "_tie"]).drop(
-        "_side", "_tie"
-    )
+    latest = _latest_deterministic(both, keys, [order_col, "_side"]).drop("_side")
+    return untouched.unionByName(latest, allowMissingColumns=True)
+
+
+def _latest_deterministic(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` with the content hash as last resort."""
+    tie = F.xxhash64(*[F.col(c).cast("string") for c in df.columns])
+    return latest_per_key(df.withColumn("_tie", tie), keys, [*order_by, "_tie"]).drop("_tie")
 
 
 def high_water_mark(target: DataFrame, ts: str) -> dt.datetime | None:
@@ -77,21 +94,28 @@ def scd2_snapshot(
 ) -> DataFrame:
     """Timestamp-strategy history: every version of a key with its validity.
 
-    ``current`` may be an earlier result of this function; its validity columns
-    are recomputed. Versions with equal (key, updated_at) count once, the
-    incoming one winning. Adds ``valid_from``, ``valid_to``, ``is_current``.
+    Adds ``valid_from``, ``valid_to``, ``is_current``. Versions with equal
+    (key, updated_at) count once, the incoming one winning. If ``current`` is an
+    earlier result of this function, only the keys that come in are recomputed.
     """
     validity = ("valid_from", "valid_to", "is_current")
-    versions = merge_by_key(
-        current.drop(*validity), incoming, keys=[key, updated_at], order_col=updated_at
-    )
+    if all(c in current.columns for c in validity):
+        current, done = split_by_keys(current, incoming, [key])
+    else:
+        done = None
+    versions = _latest_deterministic(
+        current.drop(*validity).withColumn("_side", F.lit(0)).unionByName(incoming.withColumn("_side", F.lit(1))),
+        [key, updated_at],
+        ["_side"],
+    ).drop("_side")
     chunk = F.date_trunc("month", F.col(updated_at).cast("timestamp"))
     history = neighbor(
         versions, [key], chunk, [updated_at], updated_at, out="valid_to", previous=False
     )
-    return history.withColumn("valid_from", F.col(updated_at)).withColumn(
+    history = history.withColumn("valid_from", F.col(updated_at)).withColumn(
         "is_current", F.col("valid_to").isNull()
     )
+    return history if done is None else done.unionByName(history)
 
 
 def outbox_candidates(

@@ -8,7 +8,6 @@ chunk, and one edge row per chunk carries the value across.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,37 +36,24 @@ def neighbor(
 ) -> DataFrame:
     """``lag`` (or ``lead``) of ``value`` per key over ``order_by``, in chunks.
 
-    ``chunk`` must grow with ``order_by`` (a truncated date of its first column).
+    One shuffle of the rows: the value that crosses a chunk border arrives as an
+    extra row of the same window, not by a join. ``chunk`` must grow with ``order_by`` (a truncated date of its first column).
     ``order_by`` must be a total order within a key.
     """
-    rows = df.withColumn("_chunk", chunk)
-    ordering = [F.col(c) if previous else F.col(c).desc() for c in order_by]
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*ordering)
-    rows = rows.withColumn("_near", F.lag(value).over(inside)).withColumn(
-        "_first", F.row_number().over(inside) == 1
-    )
-
+    chunked = df.withColumn("_chunk", chunk)
     pick = F.max_by if previous else F.min_by
-    edges = (
-        df.withColumn("_chunk", chunk)
-        .groupBy(*keys, "_chunk")
-        .agg(pick(F.struct(F.col(value).alias("v")), F.struct(*order_by)).alias("_edge"))
-    )
-    along = Window.partitionBy(*keys).orderBy(F.col("_chunk") if previous else F.col("_chunk").desc())
-    edges = edges.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_chunk").alias("_kc"),
-        F.lag("_edge").over(along)["v"].alias("_across"),
-    )
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        + [F.col("_chunk").eqNullSafe(F.col("_kc"))],
+    toward = (lambda c: F.col(c).asc()) if previous else (lambda c: F.col(c).desc())
+    edges = chunked.groupBy(*keys, "_chunk").agg(
+        pick(F.struct(F.col(value).alias("v")), F.struct(*order_by)).alias("_edge")
     )
-    return rows.join(edges, same, "left").select(
-        *df.columns,
-        F.when(F.col("_first"), F.col("_across")).otherwise(F.col("_near")).alias(out),
+    along = Window.partitionBy(*keys).orderBy(toward("_chunk"))
+    # one extra row opens each chunk and carries the neighbour from the chunk before
+    carriers = edges.select(
+        *keys, "_chunk", F.lag("_edge").over(along)["v"].alias(value), F.lit(0).alias("_row")
     )
+    rows = chunked.withColumn("_row", F.lit(1)).unionByName(carriers, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_row", *map(toward, order_by))
+    return rows.withColumn(out, F.lag(value).over(inside)).filter("_row = 1").drop("_chunk", "_row")
 
 
 def order_violations(
@@ -81,17 +67,16 @@ def order_violations(
     first, so a hot order value is one row. The folded rows are range-partitioned,
     compared inside each range, and one edge row per range is compared at the end.
     """
-    groups = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(order_by).alias("_at"), F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .groupBy("_at")
-        .agg(
-            F.min("_v").alias("_lo"),
-            F.max("_v").alias("_hi"),
-            F.sum("_n").alias("_rows"),
-            F.count("*").alias("_values"),
-        )
+    present = df.filter(F.col(value).isNotNull()).select(
+        F.col(order_by).alias("_at"), F.col(value).alias("_v"), F.lit(1).alias("_n")
+    )
+    if strictly:  # equal values of one _at are neighbours: fold them, then count what was folded
+        present = present.groupBy("_at", "_v").agg(F.sum("_n").alias("_n"))
+    groups = present.groupBy("_at").agg(
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+        F.sum("_n").alias("_rows"),
+        F.count("*").alias("_values"),
     )
     ranged = (
         groups.repartitionByRange(partitions, "_at") if partitions else groups.repartitionByRange("_at")

@@ -151,22 +151,38 @@ def test_apply_cdc_equals_event_fold(spark):
 
 def test_stream_cdc_replays_and_versions(spark, tmp_path):
     src, table, state = (str(tmp_path / n) for n in ("src", "table", "state"))
+    os.makedirs(src)
+    order = ("timestamp", "pos")
+    stream = ev.read_stream(spark, src, CDC, max_files_per_trigger=1)
 
     def run():
-        stream = ev.read_stream(spark, src, CDC, max_files_per_trigger=1)
-        cdc.stream_cdc(stream, table, "id", ROW, state, ("timestamp", "pos"), keep_versions=2).awaitTermination()
-        return rows(cdc.read_current(spark, table))
+        cdc.stream_cdc(stream, table, "id", ROW, state, order, keep_versions=2, buckets=4).awaitTermination()
+        return rows(cdc.read_current(spark, table, "id", ROW, stream.schema, order))
 
     ordered = sorted(CHANGES, key=lambda c: (c[4], c[5]))
+    land(spark, src, ordered[4:], CDC)  # the later events arrive first
+    assert run() == fold([], ordered[4:])
     land(spark, src, ordered[:4], CDC)
-    assert run() == fold([], ordered[:4])
-    land(spark, src, ordered[4:], CDC)
     assert run() == fold([], CHANGES)
     assert run() == fold([], CHANGES)
-    for _ in range(3):
-        land(spark, src, [change("c", 8, "n", 100)], CDC)
-    run()
-    assert len(os.listdir(table)) == 2
+    for i in range(4):
+        land(spark, src, [change("c", 8, f"n{i}", 100 + i)], CDC)
+    want = fold([], [*CHANGES, change("c", 8, "n3", 103)])
+    assert run() == want
+    held = cdc._versions(spark, table)
+    assert 2 not in held and {3, 4, 5} <= set(held)  # superseded beyond the kept versions
+    assert 0 in held or 1 in held  # still current for untouched buckets
+
+
+def test_unfinished_cdc_version_is_ignored(spark, tmp_path):
+    src, table, state = (str(tmp_path / n) for n in ("src", "table", "state"))
+    land(spark, src, [change("c", 1, "a", 1)], CDC)
+    stream = ev.read_stream(spark, src, CDC, max_files_per_trigger=1)
+    cdc.stream_cdc(stream, table, "id", ROW, state).awaitTermination()
+    land(spark, src, [change("u", 1, "b", 2)], CDC)
+    cdc.stream_cdc(stream, table, "id", ROW, state).awaitTermination()
+    os.remove(f"{table}/version=000000000001/_SUCCESS")
+    assert rows(cdc.read_current(spark, table, "id", ROW, stream.schema)) == [(1, "a")]
 
 
 def test_cdc_archive_layout(spark, tmp_path):
