@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -13,6 +14,9 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # state of streams on local disk instead of the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # a write replaces only the partitions it contains
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -26,6 +30,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="lakeops-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
@@ -37,8 +46,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lakeops-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

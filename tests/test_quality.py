@@ -215,6 +215,13 @@ def test_profiles_equal_pandas(people):
     assert rows(profile.missing_by_column(people)) == [("email", 1), ("id", 1), ("v", 1)]
 
 
+def test_duplicates_of_zero_nan_and_null(spark):
+    df = spark.createDataFrame([(0.0, "a"), (-0.0, "a"), (float("nan"), None), (float("nan"), None), (None, "")], "v double, s string")
+    row = profile.quality_metrics(df).first()
+    assert (row["duplicate_rows"], row["missing_values"], row["columns_with_missing"]) == (2, 3, 2)
+    assert profile.quality_metrics(df.limit(0)).first()["total_rows"] == 0
+
+
 def test_value_counts_only_for_few_values(spark):
     df = spark.range(100).select((F.col("id") % 49).alias("few"), "id")
     assert profile.value_counts(df, "few").count() == 20
