@@ -11,6 +11,7 @@ from lakeops.functions.timeparts import Moment, instant, moment
 from lakeops.operators import checks
 from lakeops.operators.checks import Expectation, Suite
 from lakeops.operators.ordered import exact_quantile, order_violations
+from lakeops.session import spread
 
 RESULT_SCHEMA = (
     "suite string, position int, expectation string, column string, success boolean, "
@@ -44,13 +45,23 @@ def _within(value: Column, low=None, high=None) -> Column:
 
 
 def _one_pass(df: DataFrame, suite: Suite, wanted: list[tuple[int, Expectation]]) -> DataFrame:
-    """All map, row-count, mean and stdev checks from a single aggregate."""
+    """All map, row-count, mean and stdev checks from a single aggregate.
+
+    Predicates are projected first, so that each is computed once per row although
+    it is counted twice.
+    """
+    measured = {e.column for _, e in wanted if e.name in checks.AGGREGATE_EXPECTATIONS}
+    verdicts = [
+        checks.is_expected(e).alias(f"e{at}") for at, e in wanted if e.name in checks.MAP_EXPECTATIONS
+    ]
+    if any(e.name in ("matches_regex", "not_contains_pii") for _, e in wanted):
+        df = spread(df)
+    judged = df.select(*verdicts, *[F.col(c).alias(f"m_{c}") for c in sorted(measured)])
     aggs, rows = [F.count(F.lit(1)).alias("rows")], []
     for at, e in wanted:
         name = f"e{at}"
         if e.name in checks.MAP_EXPECTATIONS:
-            ok = checks.is_expected(e)
-            aggs += [F.count(ok).alias(f"{name}_n"), F.count_if(~ok).alias(f"{name}_bad")]
+            aggs += [F.count(name).alias(f"{name}_n"), F.count_if(~F.col(name)).alias(f"{name}_bad")]
             n, bad = F.col(f"{name}_n"), F.col(f"{name}_bad")
             cells = _result(suite.name, at, e, _mostly(n - bad, n, e.mostly), n, bad, F.lit(None))
         elif e.name == "row_count_between":
@@ -58,13 +69,14 @@ def _one_pass(df: DataFrame, suite: Suite, wanted: list[tuple[int, Expectation]]
             cells = _result(suite.name, at, e, ok, F.col("rows"), F.lit(None), F.col("rows"))
         else:
             measure = F.avg if e.name == "mean_between" else F.stddev_samp
-            aggs += [measure(e.column).alias(f"{name}_v"), F.count(e.column).alias(f"{name}_n")]
+            source = f"m_{e.column}"
+            aggs += [measure(source).alias(f"{name}_v"), F.count(source).alias(f"{name}_n")]
             value = F.col(f"{name}_v")
             cells = _result(
                 suite.name, at, e, _within(value, **e.kwargs), F.col(f"{name}_n"), F.lit(None), value
             )
         rows.append(F.struct(*cells))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return judged.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def _unique(df: DataFrame, suite: Suite, at: int, e: Expectation) -> DataFrame:
