@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.bindings.base import averaged, EVENTS_AS_OF, query, raw_posts, raw_users, rounded, table
-from lakeops.functions import masks
+from lakeops.bindings.base import ORACLES, averaged, EVENTS_AS_OF, query, raw_posts, raw_users, rounded, table
+from lakeops.functions import masks, pii
 from lakeops.operators import anomaly, checks, profile, suite
 from lakeops.operators.checks import Expectation as E, Suite
 from lakeops.operators.staging import stage_posts, stage_users
@@ -60,13 +60,10 @@ def _(spark, sf):
 
 
 def _pii_free(column: str) -> str:
-    from lakeops.bindings.privacy import re2
-    from lakeops.functions.pii import CHECKED_PATTERNS
-
-    return " AND ".join(f"NOT regexp_matches({column}, '{re2(p)}')" for p in CHECKED_PATTERNS.values())
-
+    return " AND ".join(
+        f"NOT regexp_matches({column}, '{pii.re2_pattern(p)}')" for p in pii.CHECKED_PATTERNS.values()
+    )
 
-from lakeops.bindings.base import ORACLES  # noqa: E402
 
 ORACLES["q3_q9_suite_maps"] = result_sql(
     "documents",

@@ -4,7 +4,6 @@ measured size, skewed partitions split)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -65,11 +64,3 @@ def resolve_tokens(
         F.col("token").alias(token_col), F.col("value").alias(out)
     )
     return df.join(alive, token_col, "left")
-
-
-def same_columns(left: str, right: str, columns: Sequence[str]):
-    """NULL-safe equality of equally named columns of two aliased frames."""
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns],
-    )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -122,7 +121,3 @@ def null_violations(df: DataFrame, schema: StructType) -> DataFrame:
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("violations")) for c in required]
     return counted.select(F.inline(F.array(*pairs)))
-
-
-def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
