@@ -3,10 +3,11 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate
+from lakeops.llm import decontaminate, packing
 
 _BOUND = {
     "op2_decontaminate": decontaminate,
+    "op6_packing": packing,
 }
 
 QUERIES = {name: module.query for name, module in _BOUND.items()}
