@@ -3,11 +3,13 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate, packing
+from lakeops.llm import decontaminate, fertility, langid, packing
 
 _BOUND = {
     "op2_decontaminate": decontaminate,
     "op6_packing": packing,
+    "op8_language_filters": langid,
+    "op9_token_fertility": fertility,
 }
 
 QUERIES = {name: module.query for name, module in _BOUND.items()}

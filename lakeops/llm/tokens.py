@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import functools
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,14 +64,10 @@ def _parts(column: pa.Array) -> W.Words:
 
 class Tokeniser:
     """Ids of Arrow string columns; holds at most ``CACHED_PARTS`` distinct parts
-    beside those of the column at hand."""
+    beside those of the column at hand. ``encode`` gives the ids of a list of parts."""
 
-    def __init__(self, path: str):
-        # Spark runs one task per core; the library's own threads would only compete.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], parts: Callable[[pa.Array], W.Words]):
+        self.encode, self.parts = encode, parts
         self._clear()
 
     def _clear(self) -> None:
@@ -89,7 +85,7 @@ class Tokeniser:
         if len(missing):
             at = first[missing]
             raw = [w.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(w.starts[at], w.ends[at])]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(raw, add_special_tokens=False)]
+            found = self.encode(raw)
             length = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             begin = len(self.pool) + np.cumsum(length) - length
             slots[missing] = len(known) + np.arange(len(missing))
@@ -101,7 +97,7 @@ class Tokeniser:
 
     def __call__(self, column: pa.Array, end: int | None = None) -> Ids:
         """Ids of each row (null: none), each row followed by ``end`` if given."""
-        w = _parts(column)
+        w = self.parts(column)
         slots = self._slots(w, w.hashes())
         length, begin = self.length[slots], self.begin[slots]
         last_byte = w.data[w.ends - 1] if len(slots) else np.zeros(0, dtype=np.uint8)
@@ -119,13 +115,29 @@ class Tokeniser:
 
 
 @functools.cache
-def _tokeniser(path: str) -> Tokeniser:
-    return Tokeniser(path)
+def word_tokeniser(path: str) -> Tokeniser:
+    """For ``word_bpe_49k.json``; one per Python worker."""
+    # Spark runs one task per core; the library's own threads would only compete.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    vocabulary = Tokenizer.from_file(path)
+    return Tokeniser(lambda raw: [e.ids for e in vocabulary.encode_batch_fast(raw, add_special_tokens=False)], _parts)
+
+
+@functools.cache
+def piece_tokeniser(path: str) -> tuple[Tokeniser, np.ndarray]:
+    """For ``piece_bpe_32k.model``, word by word, and which of its ids are bytes."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    is_byte = np.array([model.is_byte(i) for i in range(model.vocab_size())])
+    return Tokeniser(lambda raw: model.encode(raw, num_threads=1), W.words), is_byte
 
 
 def token_rows(column: pa.Array, path: str, end: int | None = END_OF_TEXT) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(row, ids, stops) of each row, a bounded number of bytes at a time."""
-    tokenise = _tokeniser(path)  # one per Python worker
+    tokenise = word_tokeniser(path)
     for first, upto in W.chunks(column):
         t = tokenise(column.slice(first, upto - first), end)
         for r in range(upto - first):
