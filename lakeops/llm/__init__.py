@@ -3,10 +3,11 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate, fertility, langid, packing
+from lakeops.llm import decontaminate, fertility, langid, linededup, packing
 
 _BOUND = {
     "op2_decontaminate": decontaminate,
+    "op3_line_winnowing": linededup,
     "op6_packing": packing,
     "op8_language_filters": langid,
     "op9_token_fertility": fertility,
