@@ -3,7 +3,7 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate, fertility, langid, linededup, packing
+from lakeops.llm import decontaminate, fertility, langid, linededup, packing, toxicity
 
 _BOUND = {
     "op2_decontaminate": decontaminate,
@@ -11,6 +11,7 @@ _BOUND = {
     "op6_packing": packing,
     "op8_language_filters": langid,
     "op9_token_fertility": fertility,
+    "op10_ordinal_toxicity": toxicity,
 }
 
 QUERIES = {name: module.query for name, module in _BOUND.items()}
