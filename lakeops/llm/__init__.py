@@ -3,11 +3,12 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate, fertility, langid, linededup, packing, toxicity
+from lakeops.llm import decontaminate, fertility, langid, linededup, packing, toxicity, warc
 
 _BOUND = {
     "op2_decontaminate": decontaminate,
     "op3_line_winnowing": linededup,
+    "op4_warc": warc,
     "op6_packing": packing,
     "op8_language_filters": langid,
     "op9_token_fertility": fertility,

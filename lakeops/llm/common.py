@@ -63,3 +63,24 @@ def fresh(names: Iterable[str], wanted: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def file_system(path: str):
+    """(pyarrow file system, path inside it) for writes and ranged reads inside tasks:
+    ``file:``, ``hdfs:``, ``s3:``, ``gs:`` and ``abfs:`` addresses or absolute paths."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path)
+
+
+def write_once(path: str, parts: Iterable[bytes]) -> int:
+    """Write a file under another name, then move it into place; bytes written. Two
+    attempts of a task can't mix their output."""
+    files, target = file_system(path)
+    files.create_dir(target.rpartition("/")[0], recursive=True)
+    draft, size = f"{target}.{uuid.uuid4().hex}", 0
+    with files.open_output_stream(draft) as out:
+        for part in parts:
+            size += out.write(part) or len(part)
+    files.move(draft, target)
+    return size

@@ -18,7 +18,7 @@ def test_fit_recovers_ordered_grades():
     assert np.abs(model.weights - truth).max() < 0.4 and (np.diff(model.thresholds) > 0).all()
     p = model.at_least(x)
     assert (np.diff(p, axis=1) <= 0).all()
-    assert np.corrcoef(p.sum(axis=1), grade)[0, 1] > 0.6
+    assert np.corrcoef(p.sum(axis=1), grade)[0, 1] > np.corrcoef(on @ truth, grade)[0, 1] - 0.02
 
 
 def test_held_out_documents(spark, sf):
