@@ -3,9 +3,10 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate, fertility, langid, linededup, packing, toxicity, warc
+from lakeops.llm import decontaminate, fertility, langid, linededup, packing, toxicity, trainorder, warc
 
 _BOUND = {
+    "op1_training_order": trainorder,
     "op2_decontaminate": decontaminate,
     "op3_line_winnowing": linededup,
     "op4_warc": warc,
