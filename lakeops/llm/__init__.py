@@ -3,7 +3,7 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate, fertility, langid, linededup, packing, toxicity, trainorder, warc
+from lakeops.llm import decontaminate, fertility, langid, linededup, minhash, packing, toxicity, trainorder, warc
 
 _BOUND = {
     "op1_training_order": trainorder,
@@ -11,6 +11,7 @@ _BOUND = {
     "op3_line_winnowing": linededup,
     "op4_warc": warc,
     "op6_packing": packing,
+    "op7_minmax_near_dedup": minhash,
     "op8_language_filters": langid,
     "op9_token_fertility": fertility,
     "op10_ordinal_toxicity": toxicity,
