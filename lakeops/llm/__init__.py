@@ -3,13 +3,14 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate, fertility, langid, linededup, minhash, packing, toxicity, trainorder, warc
+from lakeops.llm import decontaminate, fertility, langid, linededup, minhash, packing, substrings, toxicity, trainorder, warc
 
 _BOUND = {
     "op1_training_order": trainorder,
     "op2_decontaminate": decontaminate,
     "op3_line_winnowing": linededup,
     "op4_warc": warc,
+    "op5_suffix_automata": substrings,
     "op6_packing": packing,
     "op7_minmax_near_dedup": minhash,
     "op8_language_filters": langid,
