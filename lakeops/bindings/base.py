@@ -66,7 +66,7 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 USERS_SQL = f"""
-    SELECT c_custkey::INTEGER AS user_id, c_name AS user_name,
+    SELECT c_custkey::BIGINT AS user_id, c_name AS user_name,
            lower(replace(c_name, '#', '')) AS username,
            lower(replace(c_name, '#', '')) || '@example.com' AS email,
            '+81-' || lpad(c_custkey::VARCHAR, 8, '0') AS phone,
@@ -88,7 +88,7 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 POSTS_SQL = """
-    SELECT event_id::INTEGER AS post_id, user_id::INTEGER AS user_id, event_type AS title,
+    SELECT event_id::BIGINT AS post_id, user_id::BIGINT AS user_id, event_type AS title,
            props AS body, ts AS loaded_at
     FROM events"""
 

@@ -213,5 +213,5 @@ def _(spark, sf):
     features = marts.user_features(table(spark, sf, "events"), KINDS)
     data = features.withColumn("high_value", (F.col("avg_value") > 50).cast("string"))
     inputs = ["n_events", "active_days", *[f"n_{k}" for k in KINDS]]
-    model = scoring.train_forest(data, inputs, "high_value", trees=20)
+    model = scoring.train_forest(data, inputs, "high_value")
     return scoring.score(model, data, ["user_id"], inputs, "v1")

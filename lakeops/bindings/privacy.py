@@ -47,11 +47,6 @@ def _(spark, sf):
     return out.select("doc_id", "type", "ordinal", "value", "position")
 
 
-@query("x3_sensitive_columns")
-def _(spark, sf):
-    return privacy.sensitive_columns(raw_users(spark, sf))
-
-
 _EMAILS = "(SELECT c_custkey, lower(replace(c_name, '#', '')) || '@example.com' AS email FROM customer)"
 
 

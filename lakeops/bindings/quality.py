@@ -121,20 +121,6 @@ def _(spark, sf):
     return part.select(cols).unionByName(orders.withColumn("position", F.lit(1)).select(cols))
 
 
-@query("q2_q5_schema_checks")
-def _(spark, sf):
-    s = Suite(
-        "orders",
-        (
-            E("column_exists", "o_orderkey"),
-            E("columns_match_set", kwargs={"columns": table(spark, sf, "orders").columns[::-1]}),
-            E("type_in_list", "o_orderkey", {"types": ["INTEGER", "BIGINT"]}),
-            E("of_type", "o_orderdate", {"type": "TIMESTAMP"}),
-        ),
-    )
-    return shown(suite.run_suite(table(spark, sf, "orders"), s))
-
-
 @query(
     "q7_matches_regex",
     result_sql(
@@ -200,15 +186,6 @@ def _(spark, sf):
     return rounded(suite.freshness(table(spark, sf, "events"), "ts", "2024-02-01 12:00:00"), age_hours=6)
 
 
-@query("q17_schema_changes")
-def _(spark, sf):
-    old = table(spark, sf, "customer")
-    new = old.drop("c_acctbal").withColumn("c_nationkey", F.col("c_nationkey").cast("bigint")).withColumn(
-        "verified_at", F.lit(None).cast("timestamp")
-    )
-    return suite.schema_changes(spark, old, new)
-
-
 _DAYS = "(SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY))::DATE AS date)"
 _FLAG = """
     SELECT {keys} date, {value} AS {name}, round(m, 6) AS baseline_mean, round(s, 6) AS baseline_std,

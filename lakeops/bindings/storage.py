@@ -102,19 +102,6 @@ def _(spark, sf):
     return _shown(versioned.read_curated(spark, path))
 
 
-@query(
-    "l9_snapshots",
-    """SELECT * FROM (VALUES (TIMESTAMP '2024-03-01', 'full', true)) t(snapshot_ts, kind, is_current)
-       WHERE (SELECT count(*) FROM events) > 0""",
-)
-def _(spark, sf):
-    path, schema = scratch_dir(spark, "curated"), writers.curated_schema("posts")
-    versioned.write_curated(_post_columns(spark, sf), path, schema, "2024-01-01", "append")
-    versioned.write_curated(_post_columns(spark, sf), path, schema, "2024-03-01", "overwrite")
-    versioned.expire_snapshots(spark, path, "2024-03-15")
-    return versioned.list_snapshots(spark, path)
-
-
 @query(
     "l5_null_violations",
     """SELECT 'userId' AS "column", count(*) FILTER (WHERE user_id IS NULL) AS violations FROM events

@@ -71,7 +71,7 @@ def _(spark, sf):
 
 @query(
     "r7_session_stream",
-    """WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < 1800000000 THEN 0 ELSE 1 END AS opens
+    """WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 1800000000 THEN 0 ELSE 1 END AS opens
                   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
        s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM g)
        SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS event_count

@@ -11,12 +11,12 @@ Moment = dt.datetime | dt.date | str
 
 
 def moment(value: Moment) -> dt.datetime:
-    """A naive datetime from a datetime, a date or ISO text."""
+    """A naive datetime from a datetime, a date or ISO text; with an offset, in UTC."""
     if isinstance(value, str):
         value = dt.datetime.fromisoformat(value)
     if not isinstance(value, dt.datetime):
         value = dt.datetime(value.year, value.month, value.day)
-    return value
+    return value if value.tzinfo is None else value.astimezone(dt.timezone.utc).replace(tzinfo=None)
 
 
 def instant(value: Moment) -> Column:

@@ -6,8 +6,8 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, TimestampType
 
 from lakeops.functions.timeparts import Moment, instant, moment
 from lakeops.operators.ordered import latest_per_key, neighbor
@@ -47,10 +47,19 @@ def _latest_deterministic(df: DataFrame, keys: Sequence[str], order_by: Sequence
     return latest_per_key(df.withColumn("_tie", tie), keys, [*order_by, "_tie"]).drop("_tie")
 
 
-def high_water_mark(target: DataFrame, ts: str) -> dt.datetime | None:
-    """Largest ``ts`` in the target: one scalar, answered from Parquet statistics
-    where the source supports aggregate pushdown."""
-    return target.agg(F.max(ts)).first()[0]
+def high_water_mark(target: DataFrame, ts: str) -> Column | None:
+    """Largest ``ts`` in the target as a literal, or None.
+
+    One scalar, answered from Parquet statistics where the source supports aggregate
+    pushdown. An instant travels as microseconds: a Python datetime would be read in
+    the time zone of the driver's process.
+    """
+    top = F.max(ts)
+    if isinstance(target.schema[ts].dataType, TimestampType):
+        mark = target.agg(F.unix_micros(top)).first()[0]
+        return None if mark is None else F.timestamp_micros(F.lit(mark))
+    mark = target.agg(top.cast("string")).first()[0]
+    return None if mark is None else F.lit(mark)
 
 
 def incremental_filter(source: DataFrame, target: DataFrame | None, ts: str) -> DataFrame:
@@ -62,8 +71,7 @@ def incremental_filter(source: DataFrame, target: DataFrame | None, ts: str) ->
     mark = None if target is None else high_water_mark(target, ts)
     if mark is None:
         return source
-    kind = source.schema[ts].dataType
-    return source.filter(F.col(ts) > F.lit(str(mark)).cast(kind))
+    return source.filter(F.col(ts) > mark.cast(source.schema[ts].dataType))
 
 
 def evolve_schema(

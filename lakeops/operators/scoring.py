@@ -10,6 +10,8 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from lakeops.session import scratch_dir
+
 TREES = 100
 
 
@@ -30,7 +32,12 @@ def train_forest(
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="_label", numTrees=trees, seed=seed, maxDepth=max_depth
     )
-    return Pipeline(stages=[*stages, labels, forest]).fit(data)
+    fitted = Pipeline(stages=[*stages, labels, forest]).fit(data)
+    # A saved model has no training summary. That of a fitted one refers to the session,
+    # which can't be sent to tasks any more once an observation was made in it.
+    path = scratch_dir(df.sparkSession, "forest")
+    fitted.write().save(path)
+    return PipelineModel.load(path)
 
 
 def score(

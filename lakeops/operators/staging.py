@@ -18,8 +18,8 @@ def stage_posts(raw: DataFrame) -> DataFrame:
     freshness and volume monitors on a view would otherwise always see "now".
     """
     return raw.select(
-        F.col("id").cast("int").alias("post_id"),
-        F.col("userId").cast("int").alias("user_id"),
+        F.col("id").cast("bigint").alias("post_id"),
+        F.col("userId").cast("bigint").alias("user_id"),
         F.col("title").cast("string").alias("title"),
         F.col("body").cast("string").alias("body"),
         F.col("ingestion_timestamp").alias("loaded_at"),
@@ -38,7 +38,7 @@ def json_text(df: DataFrame, column: str) -> Column:
 def stage_users(raw: DataFrame) -> DataFrame:
     """Typed users; nested address and company become JSON text."""
     return raw.select(
-        F.col("id").cast("int").alias("user_id"),
+        F.col("id").cast("bigint").alias("user_id"),
         F.col("name").cast("string").alias("user_name"),
         F.col("username").cast("string").alias("username"),
         F.col("email").cast("string").alias("email"),
@@ -55,12 +55,11 @@ def clean_rows(
 ) -> DataFrame:
     """Drop rows without id or amount, trim the name, fix amounts at DECIMAL(10,2).
 
-    An amount that does not fit becomes NULL instead of failing the job.
+    An amount that does not fit is no amount: its row is dropped as well.
     """
-    kept = df.filter(F.col(id_col).isNotNull() & F.col(amount_col).isNotNull())
-    return kept.withColumns(
-        {name_col: F.trim(F.col(name_col)), amount_col: F.col(amount_col).try_cast("decimal(10,2)")}
-    )
+    amount = F.col(amount_col).try_cast("decimal(10,2)")
+    kept = df.filter(F.col(id_col).isNotNull() & amount.isNotNull())
+    return kept.withColumns({name_col: F.trim(F.col(name_col)), amount_col: amount})
 
 
 def event_category(action: Column) -> Column:

@@ -11,7 +11,6 @@ from lakeops.functions.timeparts import Moment, instant, moment
 from lakeops.operators import checks
 from lakeops.operators.checks import Expectation, Suite
 from lakeops.operators.ordered import exact_quantile, order_violations
-from lakeops.session import spread
 
 RESULT_SCHEMA = (
     "suite string, position int, expectation string, column string, success boolean, "
@@ -54,8 +53,6 @@ def _one_pass(df: DataFrame, suite: Suite, wanted: list[tuple[int, Expectation]]
     verdicts = [
         checks.is_expected(e).alias(f"e{at}") for at, e in wanted if e.name in checks.MAP_EXPECTATIONS
     ]
-    if any(e.name in ("matches_regex", "not_contains_pii") for _, e in wanted):
-        df = spread(df)
     judged = df.select(*verdicts, *[F.col(c).alias(f"m_{c}") for c in sorted(measured)])
     aggs, rows = [F.count(F.lit(1)).alias("rows")], []
     for at, e in wanted:
@@ -157,8 +154,9 @@ def run_checkpoint(
 ) -> DataFrame:
     """Results of several ``(dataset, frame, suite)``, stamped with the run.
 
-    With ``history_path`` the results are appended there and read back, so that
-    callers of the returned frame do not run the checks again.
+    With ``history_path`` the results are stored there, one partition per run, and that
+    partition is read back, so that callers of the returned frame do not run the
+    checks again. A repeated run replaces its partition.
     """
     results = reduce(
         DataFrame.unionByName,
@@ -171,9 +169,13 @@ def run_checkpoint(
     )
     if history_path is None:
         return results
-    results.coalesce(1).write.mode("append").parquet(history_path)
-    stored = spark.read.schema(results.schema).parquet(history_path)
-    return stored.filter(F.col("run_at") == instant(run_at))
+    run = moment(run_at).strftime("%Y%m%dT%H%M%S%f")
+    (
+        results.withColumn("run", F.lit(run)).coalesce(1).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(history_path)
+    )
+    schema = results.schema.add("run", "string")
+    return spark.read.schema(schema).parquet(history_path).filter(F.col("run") == run).drop("run")
 
 
 def checkpoint_outcome(results: DataFrame) -> DataFrame:

@@ -3,9 +3,9 @@
 Vector records: ``id``, ``values array<float>``, ``metadata map<string,string>``.
 Queries: ``query_id``, ``values``.
 
-Every query is compared with every vector, but the pairs are never rows: a task
-multiplies a block of queries with a batch of vectors and keeps the best k per
-query. Only those candidates are shuffled. Scores are compared at
+Every query is compared with every vector of its own length (others have no score),
+but the pairs are never rows: a task multiplies a block of queries with a batch of
+vectors and keeps the best k per query. Only those candidates are shuffled. Scores are compared at
 ``SCORE_DECIMALS``, so that the order of float additions cannot decide a tie;
 ties go to the smaller id.
 """
@@ -22,12 +22,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions.similarity import METRICS
 from lakeops.operators.ordered import latest_per_key
-from lakeops.session import spread
 
 SCORE_DECIMALS = 12
-MAX_DIMENSION = 1536
-# Queries up to this number go to every task: at MAX_DIMENSION that is 25 MB of floats.
+# Queries up to this number, and up to this many numbers in all, go to every task.
 MAX_BROADCAST_QUERIES = 4096
+MAX_BROADCAST_FLOATS = 8 << 20
 # Cell size of the block join used beyond that number.
 TILE_QUERIES = 2048
 BLOCK_VECTORS = 16_384
@@ -130,8 +129,8 @@ def _id_ddl(df: DataFrame, name: str) -> str:
     return "bigint" if _arrow_type(df, name) == pa.int64() else "string"
 
 
-def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> tuple[DataFrame, bool]:
-    """Best k per query and task, and whether the query side is known to be small."""
+def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
+    """Best k per query and task."""
     q_id, c_id = _id_ddl(queries, "query_id"), _id_ddl(corpus, "id")
     queries = queries.select(F.col("query_id").cast(q_id), "values").filter("values IS NOT NULL")
     corpus = corpus.select(F.col("id").cast(c_id), "values").filter("values IS NOT NULL")
@@ -139,40 +138,44 @@ def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> t
     arrow = pa.schema(
         [("query_id", _arrow_type(queries, "query_id")), ("id", _arrow_type(corpus, "id")), ("score", pa.float64())]
     )
-    head = queries.limit(MAX_BROADCAST_QUERIES + 1).toArrow()
-    if len(head) == 0:
-        return corpus.sparkSession.createDataFrame([], ddl), True
-    dimension = len(head["values"][0])
-    if dimension > MAX_DIMENSION:
-        raise ValueError(f"vectors have {dimension} dimensions, at most {MAX_DIMENSION} are supported")
-    same = F.size("values") == dimension  # other lengths have no score
-    corpus = corpus.filter(same)
-    if len(head) <= MAX_BROADCAST_QUERIES:
-        head = head.filter(pa.compute.equal(pa.compute.list_value_length(head["values"]), dimension))
-        shared = corpus.sparkSession.sparkContext.broadcast(
-            (head["query_id"].combine_chunks(), _matrix(head["values"]).astype(np.float32))
-        )
+    # The query side is measured before any of it comes to the driver.
+    size = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("values")), F.lit(0)).alias("floats")).first()
+    if size.n == 0:
+        return corpus.sparkSession.createDataFrame([], ddl)
+    if size.n <= MAX_BROADCAST_QUERIES and size.floats <= MAX_BROADCAST_FLOATS:
+        head = queries.toArrow()
+        lengths = pa.compute.list_value_length(head["values"])
+        groups = {}
+        for n in pa.compute.unique(lengths).to_pylist():
+            own = head.filter(pa.compute.equal(lengths, n))
+            groups[n] = (own["query_id"].combine_chunks(), _matrix(own["values"]).astype(np.float32))
+        shared = corpus.sparkSession.sparkContext.broadcast(groups)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            query_ids, matrix = shared.value
-            best = _Best(matrix.astype(np.float64), k, metric)
+            best = {n: _Best(m.astype(np.float64), k, metric) for n, (_, m) in shared.value.items()}
             for batch in batches:
-                best.add(_ids(batch.column(0)), _matrix(batch.column(1)))
-            yield from best.table(query_ids, arrow).to_batches()
+                lengths = pa.compute.list_value_length(batch.column(1))
+                for n, found in best.items():
+                    own = batch.filter(pa.compute.equal(lengths, n))
+                    if not own.num_rows:
+                        continue
+                    found.add(_ids(own.column(0)), _matrix(own.column(1)))
+            for n, found in best.items():
+                yield from found.table(shared.value[n][0], arrow).to_batches()
 
-        return spread(corpus).mapInArrow(scan, ddl), True
+        return corpus.mapInArrow(scan, ddl)
 
     # Block join: each (tile, block) cell is one group of bounded size.
-    tiles = math.ceil(queries.count() / TILE_QUERIES)
+    tiles = math.ceil(size.n / TILE_QUERIES)
     blocks = max(1, math.ceil(corpus.count() / BLOCK_VECTORS))
     slot = lambda name, n: F.pmod(F.xxhash64(name, "values"), F.lit(n))
     copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q_cells = queries.filter(same).select(
-        slot("query_id", tiles).cast("int").alias("tile"), copies(blocks).alias("block"),
+    q_cells = queries.select(
+        F.size("values").alias("length"), slot("query_id", tiles).cast("int").alias("tile"), copies(blocks).alias("block"),
         F.col("query_id").alias("q_id"), F.col("values").alias("q_values"),  # own names: both sides may be one table
     )
     c_cells = corpus.select(
-        copies(tiles).alias("tile"), slot("id", blocks).cast("int").alias("block"), "id", "values"
+        F.size("values").alias("length"), copies(tiles).alias("tile"), slot("id", blocks).cast("int").alias("block"), "id", "values"
     )
 
     def cell(q: pa.Table, c: pa.Table) -> pa.Table:
@@ -182,8 +185,8 @@ def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> t
         best.add(_ids(c["id"]), _matrix(c["values"]))
         return best.table(q["q_id"].combine_chunks(), arrow)
 
-    grouped = q_cells.groupBy("tile", "block").cogroup(c_cells.groupBy("tile", "block"))
-    return grouped.applyInArrow(cell, ddl), False
+    by = ("length", "tile", "block")
+    return q_cells.groupBy(*by).cogroup(c_cells.groupBy(*by)).applyInArrow(cell, ddl)
 
 
 def _ranked(candidates: DataFrame, k: int, score: str = "score", lowest_first: bool = False) -> DataFrame:
@@ -195,21 +198,19 @@ def _ranked(candidates: DataFrame, k: int, score: str = "score", lowest_first: b
 def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine") -> DataFrame:
     """``query_id, id, score, rank`` of the k best vectors per query.
 
-    The query side is counted first. Up to ``MAX_BROADCAST_QUERIES`` queries go
-    to every task and the corpus is scanned in place, without a shuffle. More
-    queries are joined with the corpus block by block.
+    The query side is measured first. A bounded one goes to every task and the corpus
+    is scanned in place, without a shuffle. More queries are joined with the corpus
+    block by block.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
-    found, _ = _candidates(queries, corpus, k, metric)
+    found = _candidates(queries, corpus, k, metric)
     return _ranked(found, k, lowest_first=metric == "euclidean")
 
 
-def _with_corpus(found: DataFrame, small: bool, corpus: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Join results with corpus columns. Results of a bounded query set are
-    broadcast to the corpus scan; otherwise the join is left to AQE."""
-    side = F.broadcast(found) if small else found
-    return spread(corpus.select("id", *columns)).join(side, "id")
+def _with_corpus(found: DataFrame, corpus: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Join results with corpus columns; AQE broadcasts them where they turn out small."""
+    return corpus.select("id", *columns).join(found, "id")
 
 
 def filter_metadata(corpus: DataFrame, wanted: dict[str, str] | None) -> DataFrame:
@@ -221,16 +222,19 @@ def filter_metadata(corpus: DataFrame, wanted: dict[str, str] | None) -> DataFra
 
 def semantic_search(
     queries: DataFrame, corpus: DataFrame, k: int = 10, filter: dict[str, str] | None = None,
-    threshold: float = 0.0, metric: str = "cosine",
+    threshold: float | None = 0.0, metric: str = "cosine",
 ) -> DataFrame:
     """Top-k with text: the metadata filter applies before, the threshold after top-k.
+    It is the least score, for the euclidean metric the largest distance; None: none.
 
     Returns ``query_id, rank, id, score, text, metadata``.
     """
     corpus = filter_metadata(corpus, filter)
-    found, small = _candidates(queries, corpus, k, metric)
-    hits = _ranked(found, k, lowest_first=metric == "euclidean").filter(F.col("score") >= threshold)
-    return _with_corpus(hits, small, corpus, ["metadata"]).select(
+    found = _candidates(queries, corpus, k, metric)
+    near = F.col("score") <= threshold if metric == "euclidean" else F.col("score") >= threshold
+    hits = _ranked(found, k, lowest_first=metric == "euclidean")
+    hits = hits if threshold is None else hits.filter(near)
+    return _with_corpus(hits, corpus, ["metadata"]).select(
         "query_id", "rank", "id", "score", F.try_element_at("metadata", F.lit("text")).alias("text"), "metadata"
     )
 
@@ -244,7 +248,7 @@ def hybrid_search(
     share of keywords found in the text, ignoring case, 0 without keywords.
     ``total_results`` is the number of candidates of the query.
     """
-    found, small = _candidates(queries, corpus, 2 * k, "cosine")
+    found = _candidates(queries, corpus, 2 * k, "cosine")
     words = queries.select(F.col("query_id").cast(_id_ddl(queries, "query_id")), "keywords")
     near = _ranked(found, 2 * k).drop("rank").join(words, "query_id")
     text = F.coalesce(F.try_element_at("metadata", F.lit("text")), F.lit(""))
@@ -256,7 +260,7 @@ def hybrid_search(
     # a one-element array binds the lowered text, so that it is computed once per row
     keyword_score = F.get(F.transform(F.array(F.lower(text)), share), F.lit(0))
     scored = (
-        _with_corpus(near, small, corpus, ["metadata"])
+        _with_corpus(near, corpus, ["metadata"])
         .withColumn("text", F.try_element_at("metadata", F.lit("text")))
         .withColumn("keyword_score", F.coalesce(keyword_score, F.lit(0.0)))
         .drop("metadata", "keywords")
@@ -283,14 +287,14 @@ def find_similar(corpus: DataFrame, ids: DataFrame, k: int = 5) -> DataFrame:
     """
     wanted = ids.select("id").distinct()
     queries = corpus.join(wanted, "id", "left_semi").select(F.col("id").alias("query_id"), "values")
-    found, _ = _candidates(queries, corpus, k + 1, "cosine")
+    found = _candidates(queries, corpus, k + 1, "cosine")
     return _ranked(found.filter("query_id <> id"), k)
 
 
 def rag_context(queries: DataFrame, corpus: DataFrame, k: int = 3) -> DataFrame:
     """One context text per query from its k nearest documents, in rank order."""
-    found, small = _candidates(queries, corpus, k, "cosine")
-    hits = _with_corpus(_ranked(found, k), small, corpus, ["metadata"])
+    found = _candidates(queries, corpus, k, "cosine")
+    hits = _with_corpus(_ranked(found, k), corpus, ["metadata"])
     line = F.format_string(
         "[Document %d] (Similarity: %.3f)\n%s",
         F.col("rank"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,6 +20,9 @@ class RetentionRule:
     action: str  # "delete" or "archive"
 
 
+# ZSTD level of archives: written once, seldom read.
+ARCHIVE_LEVEL = 15
+
 # Retention per layer.
 RETENTION = {
     "raw": RetentionRule(90, "archive"),
@@ -47,9 +51,10 @@ def apply_retention(
 ) -> list[str]:
     """Archive or delete the expired ``year/month/day`` partitions of a layer.
 
-    Only expired partitions are read; kept ones are not rewritten. The archive is
-    written with dynamic partition overwrite before anything is deleted, so an
-    interrupted run can be repeated. Returns the removed dates.
+    Only expired partitions are read; kept ones are not rewritten. Archived rows lie
+    below their date in a ``batch`` named after the files they came from: a run that was
+    interrupted before it deleted writes the same batch again, and rows that arrive
+    late for an archived date become a further batch. Returns the removed dates.
     """
     rule = RETENTION[layer]
     last = moment(as_of).date() - dt.timedelta(days=rule.days + 1)
@@ -70,12 +75,20 @@ def apply_retention(
         padded = expired.withColumns(
             {"month": F.lpad(F.col("month").cast("string"), 2, "0"), "day": F.lpad(F.col("day").cast("string"), 2, "0")}
         )
+        batches = {}
+        for date in dates:
+            y, m, d = date.split("-")
+            names = paths.child_files(spark, f"{path}/year={y}/month={m}/day={d}")
+            batches[f"{y}-{m}-{d}"] = hashlib.sha256("/".join(names).encode()).hexdigest()[:16]
+        dated = F.concat_ws("-", F.col("year").cast("string"), "month", "day")
+        batch = F.create_map(*[F.lit(x) for pair in batches.items() for x in pair])[dated]
         (
-            balanced(padded, *DATE_PARTITIONS)
+            balanced(padded.withColumn("batch", batch), *DATE_PARTITIONS, "batch")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", LAYER_CODEC["archive"])
-            .partitionBy(*DATE_PARTITIONS)
+            .option("parquet.compression.codec.zstd.level", ARCHIVE_LEVEL)
+            .partitionBy(*DATE_PARTITIONS, "batch")
             .parquet(archive_path)
         )
     for date in dates:

@@ -23,6 +23,12 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``, sorted."""
+    fs, jpath = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isFile())
+
+
 def delete_dir(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     fs.delete(jpath, True)

@@ -32,7 +32,8 @@ def curated_schema(table: str) -> StructType:
 def add_ingest_metadata(df: DataFrame, load_id: str, ingested_at: Moment) -> DataFrame:
     """Add ``ingestion_timestamp``, ``_dlt_load_id`` and a content-derived ``_dlt_id``.
 
-    The id is a hash of load and row, so a retried task writes the same id.
+    The id is a hash of load and row, so a retried task writes the same id, however the
+    rows are partitioned. Equal rows of one load share it.
     """
     content = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
     return df.withColumns(
@@ -65,7 +66,8 @@ def write_raw(
 ) -> str:
     """Write below ``base/table/year=/month=/day=``.
 
-    ``append`` adds files; ``replace`` replaces the dates that the frame contains.
+    ``append`` adds files; ``replace`` replaces the whole table, ``replace_dates`` only
+    the dates that the frame contains.
     """
     path = f"{base.rstrip('/')}/{table}"
     parts = [*DATE_PARTITIONS, *(["hour"] if hourly else [])]
@@ -73,10 +75,11 @@ def write_raw(
     writer = rows.write.partitionBy(*parts).option("compression", LAYER_CODEC[layer])
     if mode == "append":
         writer.mode("append").parquet(path)
-    elif mode == "replace":
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    elif mode in ("replace", "replace_dates"):
+        kind = "static" if mode == "replace" else "dynamic"
+        writer.mode("overwrite").option("partitionOverwriteMode", kind).parquet(path)
     else:
-        raise ValueError(f"mode must be append or replace, not {mode!r}")
+        raise ValueError(f"mode must be append, replace or replace_dates, not {mode!r}")
     return path
 
 

@@ -33,13 +33,19 @@ def last_change_per_key(
 
 
 def keyed_changes(changes: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
-    """``_key, operation, after``, the order columns and ``_tie``."""
-    known = changes.filter(F.col("operation").isin(*OPERATIONS))
-    return known.select(
-        F.coalesce(F.col(f"after.{key}"), F.col(f"before.{key}")).alias("_key"),
-        "operation", "after", *order_by,
-        F.xxhash64("operation", F.to_json("after")).alias("_tie"),
-    )
+    """``_key, operation, after``, the order columns and ``_tie``.
+
+    An update that changes the key is a delete of the old one as well. An operation
+    that is none of ``OPERATIONS`` fails the job: a skipped event would be lost.
+    """
+    new, old = F.col(f"after.{key}"), F.col(f"before.{key}")
+    unknown = F.raise_error(F.concat(F.lit("unknown operation "), F.coalesce("operation", F.lit("NULL")))).cast("string")
+    operation = F.when(F.col("operation").isin(*OPERATIONS), F.col("operation")).otherwise(unknown)
+    own = F.struct(F.coalesce(new, old).alias("_key"), operation.alias("operation"), F.col("after").alias("after"))
+    gone = F.struct(old.alias("_key"), F.lit("d").alias("operation"), F.lit(None).cast(changes.schema["after"].dataType).alias("after"))
+    moved = F.coalesce((F.col("operation") != "d") & (new != old), F.lit(False))
+    events = changes.select(F.explode(F.when(moved, F.array(own, gone)).otherwise(F.array(own))).alias("_e"), *order_by)
+    return events.select("_e.*", *order_by).withColumn("_tie", F.xxhash64("operation", F.to_json("after")))
 
 
 def apply_cdc(

@@ -106,9 +106,11 @@ def hourly_counts_stream(
 
 
 def session_stream(
-    events: DataFrame, keys: list[str], ts: str, gap: str = "30 minutes", delay: str = "1 hour"
+    events: DataFrame, keys: list[str], ts: str, gap: str = "30 minutes 1 microsecond", delay: str = "1 hour"
 ) -> DataFrame:
-    """Gap sessions per key, emitted once closed by the watermark."""
+    """Gap sessions per key, emitted once closed by the watermark. As in batch, events
+    exactly 30 minutes apart share a session; a window ends where its gap begins, so
+    the gap is one microsecond longer."""
     return (
         as_event_time(events, ts)
         .withWatermark(ts, delay)

@@ -117,7 +117,7 @@ def test_failing_rows(people):
 def test_checkpoint_history(spark, people, tmp_path):
     path = str(tmp_path / "history")
     s = Suite("s", (E("not_null", "id"), E("unique", "v")))
-    for moment in ("2024-01-01", "2024-01-02"):
+    for moment in ("2024-01-01", "2024-01-02", "2024-01-02"):  # a repeated run replaces its results
         out = suite.run_checkpoint(spark, [("a", people, s), ("b", people.filter("id = 1"), s)], moment, path)
         assert out.count() == 4
     assert tuple(suite.checkpoint_outcome(out).first()) == (False, 4, 3, 1)

@@ -30,19 +30,3 @@ def test_cluster_without_shared_folder_is_an_error():
 def test_local_session_may_use_a_temporary_folder():
     a, b = (session.scratch_dir(Fake(None, "local[4]"), "x") for _ in range(2))
     assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
-
-
-def test_materialize(spark):
-    df = session.materialize(spark.range(5), "copy")
-    assert df.count() == 5
-    assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_spread_only_touches_few_small_files(spark, tmp_path):
-    few, many = str(tmp_path / "few"), str(tmp_path / "many")
-    spark.range(10).coalesce(1).write.parquet(few)
-    spark.range(100).repartition(8).write.parquet(many)
-    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobin" in plan(session.spread(spark.read.parquet(few)))
-    assert "RoundRobin" not in plan(session.spread(spark.read.parquet(many)))
-    assert "RoundRobin" not in plan(session.spread(spark.range(3)))

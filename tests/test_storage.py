@@ -57,7 +57,7 @@ def test_raw_layer_modes_and_pruning(spark, tmp_path):
     path = writers.write_raw(frame(spark, [1, 2, 3]), base, "posts")
     writers.write_raw(frame(spark, [3, 4]), base, "posts")
     assert readers.read_layer(spark, base, "posts").count() == 5
-    writers.write_raw(frame(spark, [3], "new"), base, "posts", mode="replace")
+    writers.write_raw(frame(spark, [3], "new"), base, "posts", mode="replace_dates")
     assert readers.read_layer(spark, base, "posts").count() == 4
     assert os.path.isdir(f"{path}/year=2024/month=01/day=03")
     part = readers.read_layer(spark, base, "posts", start="2024-01-02", end="2024-01-03")
@@ -201,6 +201,35 @@ def test_retention(spark, tmp_path):
     assert maintenance.apply_retention(spark, path, "processed", "2024-05-02") == ["2024-01-03", "2024-01-04"]
 
 
+def test_late_rows_join_the_archive(spark, tmp_path):
+    base, archive = str(tmp_path / "raw"), str(tmp_path / "archive")
+    path = writers.write_raw(frame(spark, [1, 1, 1, 2, 3]), base, "posts")
+    maintenance.apply_retention(spark, path, "raw", "2024-04-02", archive)
+    writers.write_raw(frame(spark, [1], "late"), base, "posts")
+    maintenance.apply_retention(spark, path, "raw", "2024-04-02", archive)
+    assert spark.read.parquet(archive).count() == 5
+    assert spark.read.parquet(archive).filter("title like 'late%'").count() == 1
+
+
+def test_interrupted_archive_is_repeated(spark, tmp_path, monkeypatch):
+    base, archive = str(tmp_path / "raw"), str(tmp_path / "archive")
+    path = writers.write_raw(frame(spark, [1, 2, 2]), base, "posts")
+    monkeypatch.setattr(maintenance.paths, "delete_dir", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        maintenance.apply_retention(spark, path, "raw", "2024-04-02", archive)
+    monkeypatch.undo()
+    assert maintenance.apply_retention(spark, path, "raw", "2024-04-02", archive) == ["2024-01-01", "2024-01-02"]
+    assert spark.read.parquet(archive).count() == 3
+
+
+def test_replace_whole_table_or_dates(spark, tmp_path):
+    base = str(tmp_path)
+    for mode, left in (("replace", 1), ("replace_dates", 2)):
+        path = writers.write_raw(frame(spark, [1, 2]), base, mode)
+        writers.write_raw(frame(spark, [2], "new"), base, mode, mode=mode)
+        assert spark.read.parquet(path).count() == left
+
+
 def test_retention_split_keeps_undated_rows(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01' ts UNION ALL SELECT NULL UNION ALL SELECT timestamp_ntz'2024-03-01'")
     kept, expired = maintenance.retention_split(df, "ts", "2024-03-02", maintenance.RETENTION["processed"])

@@ -2,8 +2,10 @@ import datetime as dt
 import os
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeops.operators import metrics, staging
 from lakeops.streaming import cdc, events as ev
@@ -149,6 +151,14 @@ def test_apply_cdc_equals_event_fold(spark):
         assert rows(got) == fold(target, changes)
 
 
+def test_unknown_operations_fail_and_moved_keys_are_deleted(spark):
+    target = spark.createDataFrame([(1, "a"), (3, "c")], ROW)
+    moved = spark.createDataFrame([change("u", 2, "b", 1)], CDC).withColumn("before", F.expr("named_struct('id', 1, 'v', 'a')").cast(StructType.fromDDL(ROW)))
+    assert rows(cdc.apply_cdc(target, moved, "id")) == [(2, "b"), (3, "c")]
+    with pytest.raises(Exception, match="unknown operation t"):
+        cdc.apply_cdc(target, spark.createDataFrame([change("t", 1, "x", 1)], CDC), "id").collect()
+
+
 def test_stream_cdc_replays_and_versions(spark, tmp_path):
     src, table, state = (str(tmp_path / n) for n in ("src", "table", "state"))
     os.makedirs(src)

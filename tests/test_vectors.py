@@ -59,6 +59,20 @@ def test_top_k_against_brute_force(spark, path, metric):
     assert ranking(out) == brute(m, m, 7, metric)
 
 
+def test_vectors_of_several_lengths(spark, path):
+    queries = [(1, [1.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [1.0, 2.0, 3.0]), (5, [1.0] * 2000)]
+    corpus = [(10, [2.0]), (11, [1.0, 0.1]), (12, [0.1, 1.0]), (13, [5.0] * 2000)]
+    frame = lambda r, key: spark.createDataFrame(r, f"{key} bigint, values array<float>")
+    out = vectors.vector_top_k(frame(queries, "query_id"), frame(corpus, "id"), 1)
+    assert ranking(out) == {1: [10], 2: [11], 3: [12], 5: [13]}
+
+
+def test_euclidean_threshold_is_the_largest_distance(spark):
+    q = spark.createDataFrame([(1, [0.0, 0.0])], "query_id bigint, values array<float>")
+    c = spark.createDataFrame([(1, [0.1, 0.0], {}), (2, [4.9, 0.0], {})], "id bigint, values array<float>, metadata map<string,string>")
+    assert [r.id for r in vectors.semantic_search(q, c, threshold=1.0, metric="euclidean").collect()] == [1]
+
+
 def test_k_above_corpus_size(spark, path):
     m, df = make(spark, 5)
     out = vectors.vector_top_k(df.withColumnRenamed("id", "query_id"), df, 50)
