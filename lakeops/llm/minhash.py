@@ -16,9 +16,11 @@ and a class is what links connect.
 4. What stars leave: classes that share a bucket with a class of another component.
    Among them an exact prefix filter applies. With shingles in a fixed order, rarest
    first, two sets of n and m shingles can reach 0.8 only if their first
-   n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 shingles meet. Pairs of different
-   components that meet so are confirmed on full sets as well. An edited copy that is too
-   far from the rest has only shingles of its own in front, and meets none.
+   n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 shingles meet. An edited copy that is too
+   far from the rest has only shingles of its own in front, and meets none. Classes that
+   meet across components form families. A family is cut into blocks of about ``BLOCK``
+   classes; a task gets two blocks and counts all overlaps of their full sets as one
+   matrix product, so pairs are never rows and only links come out.
 
 Defined results: null texts and texts without words have an empty set and are linked
 with nothing. Rows of one id and one text are one document. A null id is kept as it
@@ -40,6 +42,8 @@ ROWS = 5
 BANDS = 38
 PERMUTATIONS = ROWS * BANDS // 2
 PERCENT = 80
+BLOCK = 256
+_COLUMNS = 8192
 
 _A, _B = (W.mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, -1))
 _A |= np.uint64(1)
@@ -153,6 +157,54 @@ def _prefixes(rest: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     return shared.select("c", "comp", "n", F.explode(F.slice("have", 1, left)).alias("x")).select("c", "comp", "n", F.col("x")["s"].alias("s"))
 
 
+def overlaps(ones: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """The number of common members of each pair of sets."""
+    flat = np.concatenate([*ones, *others])
+    shared, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1  # members of one set only need no column
+    row = np.repeat(np.arange(len(ones) + len(others)), [len(x) for x in (*ones, *others)])
+    keep = count[place] > 1
+    row, column = row[keep], number[place[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(ones), len(others)), dtype=np.int64)
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, _COLUMNS):
+        part = slice(*np.searchsorted(column, [first, first + _COLUMNS]))
+        m = np.zeros((len(ones) + len(others), _COLUMNS), dtype=np.float32)
+        m[row[part], column[part] - first] = 1
+        out += np.rint(m[: len(ones)] @ m[len(ones):].T).astype(np.int64)
+    return out
+
+
+def _family_links(prefix: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """``a`` and ``b``: links between components among classes whose prefixes meet."""
+    split = prefix.groupBy("s").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("c").alias("leader"))
+    met = prefix.join(split.filter("low <> high"), "s").select("c", "leader", "comp").distinct()
+    met = common.written(met, "met")
+    families = graph.components(met.select("c", "leader")).withColumnsRenamed({"node": "c", "component": "family"})
+    member = met.select("c", "comp").distinct().join(families, "c")
+    size = member.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    member = common.written(member.join(size, "family"), "members").join(texts, "c")
+    member = member.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    cells = member.select("*", other.alias("other"))
+    cells = cells.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "c", "comp", "text")
+
+    def compare(cell: pa.Table) -> pa.Table:
+        c, comp, own = (cell[x].to_numpy() for x in ("c", "comp", "own"))
+        texts = cell["text"].combine_chunks().cast(pa.large_string())
+        texts = texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks)
+        sets = list(shingle_sets(texts, k))
+        n = np.array([len(x) for x in sets])
+        one = np.flatnonzero(own == cell["i"][0].as_py())
+        two = np.flatnonzero(own == cell["j"][0].as_py())
+        both = overlaps([sets[x] for x in one], [sets[x] for x in two])
+        a, b = np.nonzero((100 * both >= percent * (n[one][:, None] + n[two][None, :] - both)) & (comp[one][:, None] != comp[two][None, :]))
+        return pa.table({"a": pa.array(c[one[a]], pa.int64()), "b": pa.array(c[two[b]], pa.int64())})
+
+    return cells.groupBy("family", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``key``, ``n_shingles``, ``component_id`` (the smallest id of
     its class) and ``kept`` (it is that one)."""
@@ -182,14 +234,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     rest = common.written(named.join(mixed, "band").groupBy("c").agg(F.min("comp").alias("comp"), F.min("n").alias("n")), "rest")
     rest_texts = common.written(_texts(docs, buckets.select("c", "rep").join(rest.select("c"), "c"), key, text), "texts")
     prefix = common.written(_prefixes(rest, rest_texts, k, percent), "prefixes")
-    # Of two components at least one is not the first of its shingle.
-    split = prefix.groupBy("s").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").drop("high")
-    known = prefix.join(split, "s")
-    left = known.filter("comp <> low").select("s", F.col("c").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("na"))
-    right = known.select("s", F.col("c").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("nb"))
-    more = left.join(right, "s").filter((F.col("comp_a") != F.col("comp_b")) & _similar_sizes(F.col("na"), F.col("nb"), percent))
-    more = common.written(more.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct().withColumnsRenamed({"x": "a", "y": "b"}), "pairs")
-    late = common.written(confirmed(more, rest_texts, k=k, percent=percent), "links")
+    late = common.written(_family_links(prefix, rest_texts, k, percent), "links")
     whole = graph.components(links.unionByName(late)).withColumnsRenamed({"node": "c", "component": "comp"})
 
     labelled = classes.join(whole, "c", "left").withColumn("comp", F.coalesce("comp", "c"))

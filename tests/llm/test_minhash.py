@@ -62,8 +62,8 @@ def test_classes_equal_all_pairs(spark, seed):
 
 def test_prefixes_find_what_stars_leave(spark, monkeypatch):
     rows = corpus(3)
-    monkeypatch.setattr(M, "confirmed", lambda pairs, texts, real=M.confirmed, calls=[], **o: (  # the stars find nothing
-        calls.append(1) or real(pairs, texts, **o).filter("false" if len(calls) == 1 else "true")))
+    monkeypatch.setattr(M, "confirmed", lambda pairs, texts, **o: pairs.filter("false"))  # the stars find nothing
+    monkeypatch.setattr(M, "BLOCK", 5)
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert result(M.near_duplicates(df)) == brute(rows)
 
