@@ -20,8 +20,8 @@ shards that can hold a match:
    what is built so far, and where the matching statistic reaches ``WINDOW`` the
    window occurs earlier; then it joins the automaton. Repeats of a segment lose all of it.
 4. An anchor of more than ``HOT`` documents (the edge of a passage that very many share)
-   would make a shard of unbounded size. Its windows are folded one by one instead, by
-   a hash of all their words, to the first place of each.
+   would make a shard of unbounded size. The windows of its distinct segments are folded
+   one by one instead, by a hash of all their words, to the first place of each.
 
 Texts are read three times and shuffled twice (to attach a document's anchors, and its
 ranges). Folds are aggregates with map-side combination; folded rows are joined with
@@ -178,7 +178,7 @@ def _events(docs: DataFrame, width: int) -> DataFrame:
                 k = keys[first + g.row] if len(g.row) else np.zeros(0, dtype=np.int64)
                 gone = np.flatnonzero((state == 1) | again)
                 out = [(_GONE, k[gone], g.start[gone], g.count[gone], None, None, None)]
-                mixed = np.flatnonzero((state == 2) & ~again)
+                mixed = np.flatnonzero((state >= 2) & ~again)
                 out.append((_OCCURS, k[mixed], g.start[mixed], g.count[mixed], None, g.text[mixed], None))
                 fresh = []
                 for i, x, place in zip(mixed.tolist(), g.text[mixed].tolist(), zip(k[mixed].tolist(), g.start[mixed].tolist())):
@@ -189,9 +189,11 @@ def _events(docs: DataFrame, width: int) -> DataFrame:
                         sent[x] = place
                         fresh.append(i)
                 fresh = np.array(fresh, dtype=np.int64)
-                raw = [g.hashes[a: a + n + width - 1].astype("<u8").tobytes() for a, n in zip(g.first[fresh].tolist(), g.count[fresh].tolist())]
+                raw = [
+                    g.hashes[a: a + n + width - 1].astype("<u8").tobytes() if code == 2 else None
+                    for a, n, code in zip(g.first[fresh].tolist(), g.count[fresh].tolist(), state[fresh].tolist())]
                 out.append((_SEGMENT, k[fresh], g.start[fresh], g.count[fresh], g.anchor[fresh], g.text[fresh], raw))
-                hot = np.flatnonzero((state == 3) & ~again)
+                hot = fresh[state[fresh] == 3]
                 n = g.count[hot]
                 step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 at = np.repeat(g.first[hot], n) + step
@@ -210,7 +212,7 @@ def _events(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _shard(width: int):
-    """One shard: the first place of each segment (n = -1), and the windows of it that occur earlier."""
+    """One shard: the windows of each segment's first place that occur earlier."""
 
     def run(table: pa.Table) -> pa.Table:
         first: dict[int, tuple[int, int, bytes]] = {}
@@ -220,12 +222,11 @@ def _shard(width: int):
         automaton, rows = SuffixAutomaton(), []
         for x, (k, s, raw) in sorted(first.items(), key=lambda item: item[1][:2]):
             sequence = np.frombuffer(raw, dtype="<u8").tolist()
-            rows.append((x, k, s, -1))
             for end, length in enumerate(automaton.matching(sequence)):
                 if length >= width:
-                    rows.append((x, k, s + end - width + 1, 1))
+                    rows.append((k, s + end - width + 1, 1))
             automaton.add(sequence)
-        return pa.table({c: pa.array([r[i] for r in rows], pa.int64()) for i, c in enumerate(("x", "k", "s", "n"))})
+        return pa.table({c: pa.array([r[i] for r in rows], pa.int64()) for i, c in enumerate(("k", "s", "n"))})
 
     return run
 
@@ -246,18 +247,17 @@ def repeated_ranges(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     events = common.written(_events(own.join(own_anchors, "k", "left").select("k", "text", "alike", "mixed", "hot"), width), "events")
 
     of = lambda kind: events.filter(F.col("kind") == kind)
-    segments = of(_SEGMENT)
+    segments = of(_SEGMENT).filter("words IS NOT NULL")
     shards = max(1, segments.count() // shard)
     judged = segments.withColumn("shard", F.pmod("a", F.lit(shards))).groupBy("shard").applyInArrow(
-        lambda t: _shard(width)(t), "x bigint, k bigint, s bigint, n bigint")
-    judged = common.written(judged, "judged")
+        lambda t: _shard(width)(t), "k bigint, s bigint, n bigint")
     place = F.struct("k", "s")
-    begin = judged.filter("n = -1").select("x", place.alias("first"))
+    begin = of(_SEGMENT).groupBy("x").agg(F.min(place).alias("first"))
     later = of(_OCCURS).join(begin, "x").filter(place > F.col("first")).select("k", "s", "n")
     windows = of(_HOT).select("a", "x", "k", "s")
     top = windows.groupBy("a", "x").agg(F.min(place).alias("first"), F.count("*").alias("m")).filter("m > 1").drop("m")
     single = windows.join(top, ["a", "x"]).filter(place > F.col("first")).select("k", "s", F.lit(1).cast("bigint").alias("n"))
-    ranges = of(_GONE).select("k", "s", "n").unionByName(later).unionByName(judged.filter("n > 0").select("k", "s", "n")).unionByName(single)
+    ranges = of(_GONE).select("k", "s", "n").unionByName(later).unionByName(judged).unionByName(single)
     return common.written(ranges.groupBy("k").agg(F.collect_set(F.struct("s", "n")).alias("gone")), "ranges")
 
 
