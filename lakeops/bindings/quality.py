@@ -10,6 +10,7 @@ from lakeops.operators import anomaly, checks, profile, suite
 from lakeops.operators.checks import Expectation as E, Suite
 from lakeops.operators.staging import stage_posts, stage_users
 from lakeops.plans.suites import POSTS_SUITE, USERS_SUITE
+from lakeops.session import scratch_dir
 
 AS_OF = EVENTS_AS_OF
 
@@ -412,3 +413,22 @@ def _(spark, sf):
     )
 
 
+@query(
+    "q31_own_expectation",
+    """SELECT 0 AS position, count(*) AS element_count, count(*) FILTER (WHERE o_orderkey % 4 <> 0) AS unexpected_count,
+              count(*) FILTER (WHERE o_orderkey % 4 <> 0) = 0 AS success FROM orders""",
+)
+def _(spark, sf):
+    checks.register_expectation("multiple_of", lambda c, by: c % by == 0)
+    s = Suite("orders", (E("multiple_of", "o_orderkey", {"by": 4}),))
+    return suite.run_suite(table(spark, sf, "orders"), s).select("position", "element_count", "unexpected_count", "success")
+
+
+@query("q30_observed_run", "SELECT 'events' AS job, count(*) AS rows_written FROM events")
+def _(spark, sf):
+    seen, observation = suite.observe_run(table(spark, sf, "events"), "events")
+    path = scratch_dir(spark, "observed")
+    seen.write.parquet(path)
+    rows = observation.get["rows"]
+    return suite.run_record(
+        spark, "run-1", "events", "COMPLETE", AS_OF, AS_OF, rows, rows, [sf], [path]).select("job", "rows_written")
