@@ -29,7 +29,8 @@ equi-joins whose hot partitions AQE splits. Words are compared by 64-bit hashes,
 by at least two of them.
 
 Defined results: a null or empty text has no words. A null id is greater than any other.
-Rows of one id are one document (their ranges are cut from each). A text of which
+Rows of one id and one text are one document (its ranges are cut from each row). Rows of
+one id and other texts, null ids too, are documents in order of the text's hash. A text of which
 nothing goes is still rewritten with single blanks between its words.
 """
 
@@ -50,7 +51,7 @@ SHARD = 4000
 HELD = 100_000
 LAST_ID = (1 << 63) - 1
 
-_EVENTS = "kind int, k bigint, s bigint, n bigint, a bigint, x bigint, words binary"
+_EVENTS = "kind int, k bigint, t bigint, s bigint, n bigint, a bigint, x bigint, words binary"
 _GONE, _OCCURS, _SEGMENT, _HOT = range(4)
 
 
@@ -84,12 +85,12 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
 
 
 def anchors(docs: DataFrame, width: int) -> DataFrame:
-    """``a``, ``lo``, ``hi``, ``k``: per document and anchor the extremes of its segments' hashes."""
+    """``a``, ``lo``, ``hi``, ``k``, ``t``: per document and anchor the extremes of its segments' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = b.column(0).to_numpy()
-            for first, _, column in _chunks(b.column(1)):
+            keys, hashes = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for first, _, column in _chunks(b.column(2)):
                 g = Segments(column, width)
                 order = np.lexsort((g.text, g.anchor, g.row))
                 row, anchor, text = g.row[order], g.anchor[order], g.text[order]
@@ -98,10 +99,11 @@ def anchors(docs: DataFrame, width: int) -> DataFrame:
                 begin = np.flatnonzero(new)
                 end = np.append(begin[1:], len(order)) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor[begin]), pa.array(text[begin]), pa.array(text[end[: len(begin)]]), pa.array(keys[first + row[begin]])],
-                    ["a", "lo", "hi", "k"])
+                    [pa.array(anchor[begin]), pa.array(text[begin]), pa.array(text[end[: len(begin)]]), pa.array(keys[first + row[begin]]),
+                     pa.array(hashes[first + row[begin]])],
+                    ["a", "lo", "hi", "k", "t"])
 
-    return docs.select("k", "text").mapInArrow(run, "a bigint, lo bigint, hi bigint, k bigint")
+    return docs.select("k", "t", "text").mapInArrow(run, "a bigint, lo bigint, hi bigint, k bigint, t bigint")
 
 
 class SuffixAutomaton:
@@ -155,18 +157,18 @@ class SuffixAutomaton:
 
 def _events(docs: DataFrame, width: int) -> DataFrame:
     """What each document's anchors settle, and what they leave open (``_EVENTS``).
-    ``docs`` has ``k``, ``text``, and arrays ``alike``, ``mixed`` and ``hot`` of anchors."""
+    ``docs`` has ``k``, ``t``, ``text``, and arrays ``alike``, ``mixed`` and ``hot`` of anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: dict[int, tuple[int, int]] = {}
+        sent: dict[int, tuple[int, int, int]] = {}
         for b in batches:
-            keys = b.column(0).to_numpy()
-            for first, upto, column in _chunks(b.column(1)):
+            keys, hashes = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for first, upto, column in _chunks(b.column(2)):
                 g = Segments(column, width)
                 part = b.slice(first, upto - first)
                 state = np.zeros(len(g.row), dtype=np.int8)
                 begin = np.searchsorted(g.row, np.arange(upto - first + 1))
-                for code, at in ((1, 2), (2, 3), (3, 4)):
+                for code, at in ((1, 3), (2, 4), (3, 5)):
                     lists = part.column(at)
                     for r in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
                         own = slice(begin[r], begin[r + 1])
@@ -175,13 +177,13 @@ def _events(docs: DataFrame, width: int) -> DataFrame:
                 order = np.lexsort((g.first, g.text, g.row))
                 again = np.zeros(len(order), dtype=bool)
                 again[order[1:]] = (g.row[order[1:]] == g.row[order[:-1]]) & (g.text[order[1:]] == g.text[order[:-1]])
-                k = keys[first + g.row] if len(g.row) else np.zeros(0, dtype=np.int64)
+                k, t = (x[first + g.row] if len(g.row) else np.zeros(0, dtype=np.int64) for x in (keys, hashes))
                 gone = np.flatnonzero((state == 1) | again)
-                out = [(_GONE, k[gone], g.start[gone], g.count[gone], None, None, None)]
+                out = [(_GONE, k[gone], t[gone], g.start[gone], g.count[gone], None, None, None)]
                 mixed = np.flatnonzero((state >= 2) & ~again)
-                out.append((_OCCURS, k[mixed], g.start[mixed], g.count[mixed], None, g.text[mixed], None))
+                out.append((_OCCURS, k[mixed], t[mixed], g.start[mixed], g.count[mixed], None, g.text[mixed], None))
                 fresh = []
-                for i, x, place in zip(mixed.tolist(), g.text[mixed].tolist(), zip(k[mixed].tolist(), g.start[mixed].tolist())):
+                for i, x, place in zip(mixed.tolist(), g.text[mixed].tolist(), zip(k[mixed].tolist(), t[mixed].tolist(), g.start[mixed].tolist())):
                     before = sent.get(x)
                     if before is None or place < before:  # only the first place of a segment counts
                         if len(sent) >= HELD:
@@ -192,21 +194,21 @@ def _events(docs: DataFrame, width: int) -> DataFrame:
                 raw = [
                     g.hashes[a: a + n + width - 1].astype("<u8").tobytes() if code == 2 else None
                     for a, n, code in zip(g.first[fresh].tolist(), g.count[fresh].tolist(), state[fresh].tolist())]
-                out.append((_SEGMENT, k[fresh], g.start[fresh], g.count[fresh], g.anchor[fresh], g.text[fresh], raw))
+                out.append((_SEGMENT, k[fresh], t[fresh], g.start[fresh], g.count[fresh], g.anchor[fresh], g.text[fresh], raw))
                 hot = fresh[state[fresh] == 3]
                 n = g.count[hot]
                 step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 at = np.repeat(g.first[hot], n) + step
-                out.append((_HOT, np.repeat(k[hot], n), np.repeat(g.start[hot], n) + step, np.ones(len(at), dtype=np.int64),
+                out.append((_HOT, np.repeat(k[hot], n), np.repeat(t[hot], n), np.repeat(g.start[hot], n) + step, np.ones(len(at), dtype=np.int64),
                             np.repeat(g.anchor[hot], n), g.ranges(at, at + width).astype(np.int64), None))
-                for kind, ks, s, c, a, x, text in out:
+                for kind, ks, ts, s, c, a, x, text in out:
                     if len(ks):
                         none = pa.nulls(len(ks), pa.int64())
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(ks), kind, dtype=np.int32)), pa.array(ks), pa.array(s), pa.array(c),
+                            [pa.array(np.full(len(ks), kind, dtype=np.int32)), pa.array(ks), pa.array(ts), pa.array(s), pa.array(c),
                              none if a is None else pa.array(a), none if x is None else pa.array(x),
                              pa.nulls(len(ks), pa.binary()) if text is None else pa.array(text, pa.binary())],
-                            ["kind", "k", "s", "n", "a", "x", "words"])
+                            ["kind", "k", "t", "s", "n", "a", "x", "words"])
 
     return docs.mapInArrow(run, _EVENTS)
 
@@ -215,50 +217,50 @@ def _shard(width: int):
     """One shard: the windows of each segment's first place that occur earlier."""
 
     def run(table: pa.Table) -> pa.Table:
-        first: dict[int, tuple[int, int, bytes]] = {}
-        for x, k, s, raw in zip(*(table[c].to_pylist() for c in ("x", "k", "s", "words"))):
-            if x not in first or (k, s) < first[x][:2]:
-                first[x] = (k, s, raw)
+        first: dict[int, tuple[int, int, int, bytes]] = {}
+        for x, k, t, s, raw in zip(*(table[c].to_pylist() for c in ("x", "k", "t", "s", "words"))):
+            if x not in first or (k, t, s) < first[x][:3]:
+                first[x] = (k, t, s, raw)
         automaton, rows = SuffixAutomaton(), []
-        for x, (k, s, raw) in sorted(first.items(), key=lambda item: item[1][:2]):
+        for x, (k, t, s, raw) in sorted(first.items(), key=lambda item: item[1][:3]):
             sequence = np.frombuffer(raw, dtype="<u8").tolist()
             for end, length in enumerate(automaton.matching(sequence)):
                 if length >= width:
-                    rows.append((k, s + end - width + 1, 1))
+                    rows.append((k, t, s + end - width + 1, 1))
             automaton.add(sequence)
-        return pa.table({c: pa.array([r[i] for r in rows], pa.int64()) for i, c in enumerate(("k", "s", "n"))})
+        return pa.table({c: pa.array([r[i] for r in rows], pa.int64()) for i, c in enumerate(("k", "t", "s", "n"))})
 
     return run
 
 
 def repeated_ranges(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WINDOW, hot: int = HOT, shard: int = SHARD) -> DataFrame:
-    """``k`` (the id; null: ``LAST_ID``) and ``gone``: an array of (``s``, ``n``), n windows
+    """``k`` (the id; null: ``LAST_ID``), ``t`` (hash of the text) and ``gone``: an array of (``s``, ``n``), n windows
     from word s on that occur earlier."""
-    own = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias("k"), F.col(text).alias("text"))
-    seen = anchors(own, width)
-    folded = seen.groupBy("a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("k").alias("least"), F.max("k").alias("most"), F.count("*").alias("n"))
+    own = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias("k"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
+    seen, document = anchors(own, width), F.struct("k", "t")
+    folded = seen.groupBy("a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(document).alias("least"), F.max(document).alias("most"), F.count("*").alias("n"))
     code = F.when(F.col("lo") == F.col("hi"), 1).when(F.col("n") <= hot, 2).otherwise(3)
     folded = folded.filter("lo <> hi or least <> most").select("a", "least", code.alias("code"))
     folded = common.written(folded, "anchors")
-    met = seen.select("a", "k").join(folded, "a").filter("code <> 1 or k > least")
+    met = seen.select("a", "k", "t").join(folded, "a").filter((F.col("code") != 1) | (document > F.col("least")))
     lists = {name: F.collect_list(F.when(F.col("code") == c, F.col("a"))) for c, name in ((1, "alike"), (2, "mixed"), (3, "hot"))}
     lists = {name: F.when(F.size(c) > 0, c).alias(name) for name, c in lists.items()}
-    own_anchors = common.written(met.groupBy("k").agg(*lists.values()), "own-anchors")
-    events = common.written(_events(own.join(own_anchors, "k", "left").select("k", "text", "alike", "mixed", "hot"), width), "events")
+    own_anchors = common.written(met.groupBy("k", "t").agg(*lists.values()), "own-anchors")
+    events = common.written(_events(own.join(own_anchors, ["k", "t"], "left").select("k", "t", "text", "alike", "mixed", "hot"), width), "events")
 
     of = lambda kind: events.filter(F.col("kind") == kind)
     segments = of(_SEGMENT).filter("words IS NOT NULL")
     shards = max(1, segments.count() // shard)
     judged = segments.withColumn("shard", F.pmod("a", F.lit(shards))).groupBy("shard").applyInArrow(
-        lambda t: _shard(width)(t), "k bigint, s bigint, n bigint")
-    place = F.struct("k", "s")
+        lambda t: _shard(width)(t), "k bigint, t bigint, s bigint, n bigint")
+    place = F.struct("k", "t", "s")
     begin = of(_SEGMENT).groupBy("x").agg(F.min(place).alias("first"))
-    later = of(_OCCURS).join(begin, "x").filter(place > F.col("first")).select("k", "s", "n")
-    windows = of(_HOT).select("a", "x", "k", "s")
+    later = of(_OCCURS).join(begin, "x").filter(place > F.col("first")).select("k", "t", "s", "n")
+    windows = of(_HOT).select("a", "x", "k", "t", "s")
     top = windows.groupBy("a", "x").agg(F.min(place).alias("first"), F.count("*").alias("m")).filter("m > 1").drop("m")
-    single = windows.join(top, ["a", "x"]).filter(place > F.col("first")).select("k", "s", F.lit(1).cast("bigint").alias("n"))
-    ranges = of(_GONE).select("k", "s", "n").unionByName(later).unionByName(judged).unionByName(single)
-    return common.written(ranges.groupBy("k").agg(F.collect_set(F.struct("s", "n")).alias("gone")), "ranges")
+    single = windows.join(top, ["a", "x"]).filter(place > F.col("first")).select("k", "t", "s", F.lit(1).cast("bigint").alias("n"))
+    ranges = of(_GONE).select("k", "t", "s", "n").unionByName(later).unionByName(judged).unionByName(single)
+    return common.written(ranges.groupBy("k", "t").agg(F.collect_set(F.struct("s", "n")).alias("gone")), "ranges")
 
 
 _CUT = "struct<n_words: bigint, n_removed: bigint, kept: string>"
@@ -289,10 +291,10 @@ def _cutter(width: int):
 
 def dedup_substrings(docs: DataFrame, name: str, *, key: str = "doc_id", text: str = "text", width: int = WINDOW, **options) -> DataFrame:
     """``docs`` with a column ``name``: words, how many went, and the text that is left."""
-    k, gone = common.fresh(docs.columns, "k"), common.fresh(docs.columns, "gone")
-    ranges = repeated_ranges(docs, key=key, text=text, width=width, **options).withColumnsRenamed({"k": k, "gone": gone})
-    on = F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)) == F.col(k)
-    return docs.join(ranges, on, "left").withColumn(name, _cutter(width)(F.col(text), F.col(gone))).drop(k, gone)
+    k, t, gone = (common.fresh(docs.columns, c) for c in ("k", "t", "gone"))
+    ranges = repeated_ranges(docs, key=key, text=text, width=width, **options).withColumnsRenamed({"k": k, "t": t, "gone": gone})
+    on = (F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)) == F.col(k)) & (F.xxhash64(docs[text]) == F.col(t))
+    return docs.join(ranges, on, "left").withColumn(name, _cutter(width)(F.col(text), F.col(gone))).drop(k, t, gone)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

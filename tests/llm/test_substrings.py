@@ -62,6 +62,19 @@ def test_nulls_twins_long_texts_and_clashing_columns(spark):
     assert D.dedup_substrings(df.limit(0), "found").collect() == []
 
 
+@pytest.mark.parametrize("options", [{}, {"hot": 0}])
+def test_null_and_repeated_ids(spark, options):
+    p, q = ([f"{x}{i}" for i in range(40)] for x in "pq")
+    clean = lambda x: [f"{x}own{i}" for i in range(80)]
+    texts = [(1, p), (None, ["start", *p, "end"]), (None, clean("a")), (None, ["begin", *q, "x"]), (None, ["begun", *q, "y"]),
+             (4, clean("b")), (4, ["front", *p, "back"])]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in texts], "doc_id bigint, text string")
+    got = {r.text: r.found["kept"] for r in D.dedup_substrings(df, "found", **options).collect()}
+    text = [" ".join(w) for _, w in texts]
+    assert [got[text[i]] for i in (0, 1, 2, 5, 6)] == [text[0], "start end", text[2], text[5], "front back"]
+    assert (got[text[3]], got[text[4]]) in [(text[3], "begun y"), ("begin x", text[4])]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), max_size=14), max_size=5), st.lists(st.integers(0, 3), max_size=14))
 def test_matching_statistics(references, probe):
