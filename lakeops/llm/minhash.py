@@ -23,8 +23,11 @@ and a class is what links connect.
    matrix product, so pairs are never rows and only links come out.
 
 Defined results: null texts and texts without words have an empty set and are linked
-with nothing. Rows of one id and one text are one document. A null id is kept as it
-is, greater than any other as a class name. Only ids and texts are read.
+with nothing. Rows of one id and one text are one document; rows of one id and other
+texts, null ids too, are judged each by its own text. A null id is kept as it is, greater
+than any other as a class name. Of rows that share the smallest id of a class, or that
+are all without one, those with the smallest text hash are kept. Only ids and texts
+are read.
 """
 
 from __future__ import annotations
@@ -84,14 +87,14 @@ def _set_hash(s: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """``k``, ``n`` (set size), ``c`` (hash of the set) and ``bands``."""
+    """``k``, ``t`` (hash of the text), ``n`` (set size), ``c`` (hash of the set) and ``bands``."""
     schema = T.StructType([
-        docs.schema[key].__class__("k", docs.schema[key].dataType), T.StructField("n", T.LongType()),
+        docs.schema[key].__class__("k", docs.schema[key].dataType), T.StructField("t", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("c", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column = b.column(1).cast(pa.large_string()).fill_null("")
+            column = b.column(2).cast(pa.large_string()).fill_null("")
             n, c, keys = [], [], []
             for s in shingle_sets(column, k):
                 n.append(len(s))
@@ -100,9 +103,9 @@ def sketches(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
             flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *keys]))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat)], schema.names)
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat)], schema.names)
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.col(text)).mapInArrow(run, schema)
 
 
 def _similar_sizes(a, b, percent: int):
@@ -110,9 +113,11 @@ def _similar_sizes(a, b, percent: int):
 
 
 def _texts(docs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
-    """One text of each of ``classes`` (``c``, ``rep``)."""
-    wanted = classes.groupBy("c").agg(F.min("rep").alias("rep"))
-    return docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(wanted, "rep").groupBy("c").agg(F.max("text").alias("text"))
+    """The text of each of ``classes`` (``c``, one row each), by the id ``rep`` and the
+    text's hash ``t`` of one of its documents."""
+    own = docs.select(F.col(key).alias("k_"), F.xxhash64(text).alias("t_"), F.col(text).alias("text"))
+    found = own.join(classes.select("c", "rep", "t"), F.col("k_").eqNullSafe(F.col("rep")) & (F.col("t_") == F.col("t")))
+    return found.groupBy("c").agg(F.max("text").alias("text"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, *, k: int, percent: int) -> DataFrame:
@@ -205,13 +210,17 @@ def _family_links(prefix: DataFrame, texts: DataFrame, k: int, percent: int) ->
     return cells.groupBy("family", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per document: ``key``, ``n_shingles``, ``component_id`` (the smallest id of
-    its class) and ``kept`` (it is that one)."""
+def _place(k: str):
+    return F.struct(F.col(k).isNull().alias("last"), F.col(k).alias("rep"), "t")
+
+
+def _judged(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """One row per document: ``k``, ``t``, ``n``, ``component_id`` and ``kept``."""
     rows = common.written(sketches(docs, key, text, k), "sketches")
     some = rows.filter("n > 0")
-    classes = some.groupBy("c").agg(F.min("k").alias("rep"), F.min("n").alias("n"))
-    buckets = common.written(some.groupBy("c").agg(F.first("bands").alias("bands"), F.min("k").alias("rep"), F.min("n").alias("n")), "classes")
+    buckets = some.groupBy("c").agg(F.first("bands").alias("bands"), F.min(_place("k")).alias("place"), F.min("n").alias("n"))
+    buckets = common.written(buckets.select("c", "bands", F.col("place")["rep"].alias("rep"), F.col("place")["t"].alias("t"), "n"), "classes")
+    classes = buckets.drop("bands")
     member = buckets.select("c", "rep", "n", F.explode("bands").alias("band"))
     lead = F.struct(F.col("rep").isNull().alias("last"), "rep", "c", "n")
     star = member.groupBy("band").agg(F.min(lead).alias("one"), F.min(F.struct("c", "n")).alias("two"), F.count("*").alias("m")).filter("m > 1").drop("m")
@@ -223,7 +232,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     pairs = pairs.filter(_similar_sizes(F.col("na"), F.col("nb"), percent))
     pairs = common.written(pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct().withColumnsRenamed({"x": "a", "y": "b"}), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    texts = common.written(_texts(docs, buckets.select("c", "rep").join(ends, "c"), key, text), "texts")
+    texts = common.written(_texts(docs, classes.join(ends, "c"), key, text), "texts")
     links = common.written(confirmed(pairs, texts, k=k, percent=percent), "links")
     joined = common.written(graph.components(links), "components")
 
@@ -232,26 +241,32 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     named = named.withColumn("comp", F.coalesce("comp", "c"))
     mixed = named.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("band")
     rest = common.written(named.join(mixed, "band").groupBy("c").agg(F.min("comp").alias("comp"), F.min("n").alias("n")), "rest")
-    rest_texts = common.written(_texts(docs, buckets.select("c", "rep").join(rest.select("c"), "c"), key, text), "texts")
+    rest_texts = common.written(_texts(docs, classes.join(rest.select("c"), "c"), key, text), "texts")
     prefix = common.written(_prefixes(rest, rest_texts, k, percent), "prefixes")
     late = common.written(_family_links(prefix, rest_texts, k, percent), "links")
     whole = graph.components(links.unionByName(late)).withColumnsRenamed({"node": "c", "component": "comp"})
 
     labelled = classes.join(whole, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
-    first = labelled.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = common.written(labelled.join(first, "comp").select("c", "component_id"), "named")
-    out = rows.select("k", "n", "c").join(named, "c", "left")
-    own = F.coalesce("component_id", "k")
-    return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("k").eqNullSafe(own).alias("kept"))
+    first = labelled.groupBy("comp").agg(F.min(_place("rep")).alias("first"))
+    named = common.written(labelled.join(first, "comp").select("c", "first"), "named")
+    out = rows.select("k", "t", "n", "c").join(named, "c", "left")
+    kept = F.col("first").isNull() | (F.col("k").eqNullSafe(F.col("first")["rep"]) & (F.col("t") == F.col("first")["t"]))
+    return out.select("k", "t", "n", F.coalesce(F.col("first")["rep"], "k").alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per document: ``key``, ``n_shingles``, ``component_id`` (the smallest id of
+    its class) and ``kept`` (it is that one)."""
+    out = _judged(docs, key, text, k, percent)
+    return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each class: the smallest id, columns unchanged."""
-    gone = common.fresh(docs.columns, "gone")
-    found = near_duplicates(docs, key=key, text=text, **options)
-    # Rows of one id and other texts stay together if one of them is kept.
-    found = found.groupBy(F.col(key).alias(gone)).agg(F.max("kept").alias("kept")).filter("not kept").select(gone)
-    return docs.join(found, docs[key].eqNullSafe(found[gone]), "left_anti")
+    own, gone, hashed = (common.fresh(docs.columns, c) for c in ("own_hash", "gone_id", "gone_hash"))
+    found = _judged(docs, key, text, k, percent).filter("not kept").select(F.col("k").alias(gone), F.col("t").alias(hashed)).distinct()
+    on = F.col(key).eqNullSafe(F.col(gone)) & (F.col(own) == F.col(hashed))
+    return docs.withColumn(own, F.xxhash64(text)).join(found, on, "left_anti").drop(own)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

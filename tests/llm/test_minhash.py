@@ -101,6 +101,18 @@ def test_nulls_twins_clashing_columns_and_empty(spark):
     assert M.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_null_and_repeated_ids(spark):
+    a, b, c = ([f"{x}{i}" for i in range(100)] for x in "abc")
+    near = lambda w, i: " ".join([*w[:i], "other", *w[i + 1:]])
+    texts = [(None, near(a, 1)), (None, near(a, 50)), (7, near(b, 3)), (7, near(c, 3)), (8, near(b, 60)), (9, near(c, 60)), (None, "quite another text"), (None, near(c, 80))]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in M.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(None, None, True), (None, None, False), (7, 7, True), (7, 7, True), (8, 7, False), (9, 7, False),
+                          (None, None, True), (None, 7, False)], key=str)
+    kept = [(r.doc_id, r.text) for r in M.one_of_each(df).collect()]
+    assert len(kept) == 4 and set(kept) >= {texts[2], texts[3], texts[6]} and len(set(kept) & set(texts[:2])) == 1
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, x) for x in range(6, 60)] + [(rnd.randint(200, 400), rnd.randint(200, 400)) for _ in range(120)] + [(9, 9)]
