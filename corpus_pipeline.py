@@ -16,7 +16,7 @@ SHINGLE = 5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or without any n-gram of a known language, go."""
+    """Documents without a letter, or with too few n-grams of a known language, go."""
     return langid.identified(docs, langid.train(langid.learn_from(docs)))
 
 

@@ -10,6 +10,11 @@ power of the number of hash functions), the expected number of true members is
 (n - N p) / (1 - p). The language with most members wins; the score is its share of
 all languages' members.
 
+A text must also be known enough: if its best language has a smaller share of the text's
+n-grams than that language's ``least``, the score is 0. ``least`` is half of the 5th
+percentile of this share among every fifth training row, measured with the n-grams of
+the other rows; a language without such rows takes the lowest ``least`` of the others.
+
 The classifier is fitted on a sample of about ``SAMPLE`` labelled texts per language
 (all of them where a language has fewer), whole texts each. The filter has
 ``GRAMS`` entries per language whatever the corpus, which bounds what is collected and
@@ -42,6 +47,8 @@ SLOTS = 1 << 20
 HASHES = 3
 UNKNOWN = "und"
 MIN_SCORE = 0.0
+FOLD = 5  # every fifth training row sets ``least``
+LOW, MARGIN = 0.05, 0.5
 
 PREDICTION = "struct<lang: string, score: double>"
 _ARROW = pa.struct([("lang", pa.string()), ("score", pa.float64())])
@@ -89,9 +96,10 @@ class Model:
     bits: np.ndarray
     false_rate: np.ndarray
     prior: int
+    least: np.ndarray
 
     @staticmethod
-    def fit(languages: list[str], grams: list[np.ndarray], rows: list[int]) -> Model:
+    def fit(languages: list[str], grams: list[np.ndarray], rows: list[int], least: list[float] | None = None) -> Model:
         bits = np.zeros((max(1, -(-len(languages) // 8)), SLOTS), dtype=np.uint8)
         fill = []
         for i, values in enumerate(grams):
@@ -99,7 +107,8 @@ class Model:
             for s in _slots(values):
                 plane[s] |= bit
             fill.append(float((plane & bit > 0).mean()))
-        return Model(languages, bits, np.array(fill) ** HASHES, int(np.argmax(rows)) if rows else 0)
+        return Model(languages, bits, np.array(fill) ** HASHES, int(np.argmax(rows)) if rows else 0,
+                     np.array(least if least is not None else [0.0] * len(languages)))
 
     def members(self, g: Grams) -> tuple[np.ndarray, np.ndarray]:
         """Corrected number of n-grams in each language, by row; n-grams by row."""
@@ -128,7 +137,7 @@ class Model:
             m, s = members[row], float(members[row].sum())
             best = int(np.argmax(m)) if s > 0 else self.prior
             langs.append(self.languages[best])
-            scores.append(float(m[best]) / s if s > 0 else 0.0)
+            scores.append(float(m[best]) / s if s > 0 and m[best] >= self.least[best] * total[row] else 0.0)
         return langs, scores
 
 
@@ -148,26 +157,53 @@ def train(labelled: DataFrame, *, key: str = "doc_id", text: str = "text", lang:
     share = F.create_map(*[x for name, n in counts for x in (F.lit(name), F.lit(min(1.0, sample / n)))])
     drawn = (F.xxhash64("k") % 1_000_003 + 1_000_003) % 1_000_003 < share[F.col("l")] * 1_000_003
 
+    fold = F.pmod(F.xxhash64("k", F.lit("fold")), F.lit(FOLD)) == 0
+    rows = rows.filter(drawn).select("l", "t", fold.alias("own"))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name in b.column(0).unique():
-                own = b.column(1).filter(pc.equal(b.column(0), name))
-                for first, upto in W.chunks(own):
-                    values, n = np.unique(ngrams(own.slice(first, upto - first)).values, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name.as_py()] * len(n), pa.string()), pa.array(values.astype(np.int64)), pa.array(n)],
-                        ["l", "g", "n"])
-
-    counted = rows.filter(drawn).select("l", "t").mapInArrow(count, "l string, g bigint, n bigint")
+                for fold in (False, True):
+                    own = b.column(1).filter(pc.and_(pc.equal(b.column(0), name), pc.equal(b.column(2), fold)))
+                    for first, upto in W.chunks(own):
+                        values, n = np.unique(ngrams(own.slice(first, upto - first)).values, return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([name.as_py()] * len(n), pa.string()), pa.array(values.astype(np.int64)), pa.array(n),
+                             pa.array([fold] * len(n), pa.bool_())],
+                            ["l", "g", "n", "own"])
+
+    counted = rows.mapInArrow(count, "l string, g bigint, n bigint, own boolean")
     best = Window.partitionBy("l").orderBy(F.desc("n"), "g")
     top = (
-        counted.groupBy("l", "g").agg(F.sum("n").alias("n"))
+        counted.groupBy("l", "g").agg(F.sum("n").alias("n"), F.bool_or(~F.col("own")).alias("other"))
         .withColumn("at", F.row_number().over(best)).filter(F.col("at") <= grams)
-        .select("l", "g").toArrow()
+        .select("l", "g", "other").toArrow()
     )
     names = [name for name, _ in counts]
-    own = {n: top.filter(pc.equal(top["l"], n))["g"].to_numpy().astype(np.uint64) for n in names}
-    return Model.fit(names, [own[n] for n in names], [n for _, n in counts])
+    own = {n: top.filter(pc.equal(top["l"], n)) for n in names}
+    of = lambda table: table["g"].to_numpy().astype(np.uint64)
+    others = Model.fit(names, [of(own[n].filter(own[n]["other"])) for n in names], [n for _, n in counts])
+    return Model.fit(names, [of(own[n]) for n in names], [n for _, n in counts], _least(rows.filter("own"), others))
+
+
+def _least(rows: DataFrame, model: Model) -> list[float]:
+    """By language, the share of n-grams that ``model`` must know of a text: from rows
+    (``l``, ``t``) that it has not seen."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, upto in W.chunks(b.column(1)):
+                members, total = shared.value.members(ngrams(b.column(1).slice(first, upto - first)))
+                names = b.column(0).slice(first, upto - first)
+                at = np.array([shared.value.languages.index(n) for n in names.to_pylist()], dtype=np.int64)
+                some = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(some)), pa.array(members[some, at[some]] / total[some])], ["l", "share"])
+
+    shares = rows.select("l", "t").mapInArrow(known, "l string, share double")
+    low = {r.l: MARGIN * r.low for r in shares.groupBy("l").agg(F.percentile("share", LOW).alias("low")).collect()}
+    return [low.get(n, min(low.values(), default=0.0)) for n in model.languages]
 
 
 def predict(spark: SparkSession, model: Model):
@@ -193,8 +229,8 @@ def with_language(docs: DataFrame, name: str, model: Model, text: str = "text")
 
 
 def identified(docs: DataFrame, model: Model, *, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` whose language is known with a score above ``min_score`` (0: some n-gram is
-    known), columns unchanged."""
+    """``docs`` whose language is known with a score above ``min_score`` (0: enough of the
+    n-grams are known), columns unchanged."""
     name = common.fresh(docs.columns, "language")
     found = with_language(docs, name, model, text)
     return found.filter((F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] > min_score)).drop(name)

@@ -1,5 +1,6 @@
 """n-grams and filter counts against plain Python; held-out accuracy."""
 
+import random
 import zlib
 
 import numpy as np
@@ -43,6 +44,23 @@ def test_accuracy_on_held_out_rows(spark, sf):
     assert got.filter("score < 0 or score > 1").count() == 0
 
 
+def test_foreign_and_random_texts_are_rejected(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    model = L.train(L.learn_from(docs))
+    assert (model.least > 0.2).all() and (model.least < 0.5).all()
+    rng = random.Random(1)
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        " ".join(f"{rng.getrandbits(64):x}" for _ in range(60)),
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(150))]
+    probe = spark.createDataFrame([(-i, t, None) for i, t in enumerate(foreign, 1)], docs.schema)
+    kept = {r.doc_id for r in L.identified(docs.unionByName(probe), model).select("doc_id").collect()}
+    assert not kept & {-1, -2, -3, -4}
+    own = [r.doc_id for r in docs.filter(L.held_out(F.col("doc_id"))).collect()]
+    assert len(own) > 20 and sum(d in kept for d in own) > 0.97 * len(own)
+
+
 def test_nulls_ties_and_empty_tables(spark):
     schema = "doc_id bigint, text string, lang string, language string"
     rows = [(i, f"the cat and the dog number {i}", "en", "x") for i in range(1, 40)]
