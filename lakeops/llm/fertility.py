@@ -8,15 +8,19 @@ byte-fallback tokens, and the entropy of its token ids in bits.
 Every group of documents has rejection bands. A group is a language (or, without a
 language column, the script of most letters) and a length class (the binary logarithm
 of the number of tokens, rounded down), because entropy grows with length. A band is
-the group's median plus and minus a multiple of its standard deviation, both estimated
-robustly (median, and 1.4826 times the median absolute deviation) over all documents
-that pass the base rule. Groups of fewer than ``LEAST`` such documents take the band of
-their length class over all groups, and a class that small rejects nothing.
+a centre plus and minus a multiple of a standard deviation, over all documents of the
+language that pass the base rule, and both are smooth in the length: the centre is the
+mean of the medians of the length classes, the deviation that of 1.4826 times their median
+absolute deviations from the centre. A class counts by its number of documents, times
+``PULL`` for each class of the language that it is away. The centre of entropy is that
+mean, or a line through the medians where that is lower, as short texts need. So a class of
+few documents leans on its neighbours in the same language, never on another language, at
+any table size; a language's only document is its own measure and passes.
 
 The base rule: at least 50 words, and at most half of the words in 3-word windows that
 occur twice or more in the text.
 
-Bands come from approximate percentiles (one row per group), measures are written once
+Bands come from approximate percentiles (one row per group, smoothed per language), measures are written once
 to the shared folder. Texts are never shuffled.
 
 Defined results: a null or empty text has zeros, no measures, and fails the base rule.
@@ -40,7 +44,8 @@ ENTROPY_BAND = 3.0
 CHARS_BAND = 5.0
 BYTES_BAND = 3.0
 BYTES_SLACK = 0.05
-LEAST = 100
+PULL = 0.25
+ROUNDING = 1e-9
 ACCURACY = 10_000
 
 MEASURES = (
@@ -149,13 +154,40 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
 
 
-def _bands(measured: DataFrame, by: list[str]) -> DataFrame:
-    """Robust centre and spread of each ratio, by group; all rows are counted."""
+def _smoothed(size: np.ndarray, n: np.ndarray, values: np.ndarray, degree: int) -> np.ndarray:
+    """At each length class, the weighted fit of a polynomial to the values of all classes."""
+    out, rank = np.zeros(len(size)), np.argsort(np.argsort(size))
+    for i, at in enumerate(size):
+        away = (size - at).astype(float)
+        root = np.sqrt(n * PULL ** np.abs(rank - rank[i]))
+        terms = np.stack([away ** d for d in range(degree + 1)], axis=1)
+        out[i] = np.linalg.lstsq(terms * root[:, None], values * root, rcond=None)[0][0]
+    return out
+
+
+def _along_lengths(classes: DataFrame, columns: list[str]) -> DataFrame:
+    """``grp``, ``size``, ``n``, and ``columns`` smoothed over the classes of each ``grp``."""
+
+    def smooth(t: pa.Table) -> pa.Table:
+        size, n = t["size"].to_numpy(), t["n"].to_numpy()
+        fitted = {c: _smoothed(size, n, t[c].to_numpy(), 0) for c in columns}
+        if "entropy_at" in fitted:
+            fitted["entropy_at"] = np.minimum(fitted["entropy_at"], _smoothed(size, n, t["entropy_at"].to_numpy(), 1))
+        return pa.table({"grp": t["grp"], "size": t["size"], "n": t["n"], **fitted})
+
+    return classes.groupBy("grp").applyInArrow(smooth, "grp string, size bigint, n bigint, " + ", ".join(f"{c} double" for c in columns))
+
+
+def _bands(measured: DataFrame) -> DataFrame:
+    """Centre and spread of each ratio, by ``grp`` and ``size``; all rows are counted."""
+    by = ["grp", "size"]
     middle = lambda c: F.percentile_approx(c, 0.5, ACCURACY)
     centre = measured.groupBy(*by).agg(F.count("*").alias("n"), *(middle(c).alias(f"{c}_at") for c in _RATIOS))
-    spread = _joined(measured, centre, by).groupBy(*by).agg(*(
+    centre = common.written(_along_lengths(centre, [f"{c}_at" for c in _RATIOS]), "centres")
+    spread = _joined(measured, centre, by).groupBy(*by).agg(F.count("*").alias("n"), *(
         (1.4826 * middle(F.abs(F.col(c) - F.col(f"{c}_at")))).alias(f"{c}_sd") for c in _RATIOS))
-    return _joined(centre, spread, by)
+    spread = _along_lengths(spread, [f"{c}_sd" for c in _RATIOS])
+    return _joined(centre.drop("n"), spread.drop("n"), by)
 
 
 def _joined(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
@@ -173,16 +205,13 @@ def verdicts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", group:
     found = found.withColumn("size", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))))
     found = common.written(found, "measures")
     good = found.filter(~F.col("base_failed")).select("grp", "size", *_RATIOS)
-    own = _bands(good, ["grp", "size"]).filter(F.col("n") >= LEAST)
-    wide = _bands(good, ["size"]).filter(F.col("n") >= LEAST)
-    wide = wide.withColumnsRenamed({c: f"all_{c}" for c in wide.columns if c != "size"})
-    judged = _joined(_joined(found, own, ["grp", "size"], "left"), wide, ["size"], "left")
-    band = lambda c, s: F.when(F.col("n").isNotNull(), F.col(f"{c}_{s}")).otherwise(F.col(f"all_{c}_{s}"))
-    away = lambda c: F.col(c) - band(c, "at")
+    judged = _joined(found, _bands(good), ["grp", "size"], "left")
+    away = lambda c: F.col(c) - F.col(f"{c}_at")
+    band = lambda c, times: times * F.col(f"{c}_sd") + ROUNDING
     outside = (
-        (away("entropy") < -ENTROPY_BAND * band("entropy", "sd"))
-        | (F.abs(away("chars_per_token")) > CHARS_BAND * band("chars_per_token", "sd"))
-        | (away("byte_share") > BYTES_BAND * band("byte_share", "sd") + BYTES_SLACK)
+        (away("entropy") < -band("entropy", ENTROPY_BAND))
+        | (F.abs(away("chars_per_token")) > band("chars_per_token", CHARS_BAND))
+        | (away("byte_share") > band("byte_share", BYTES_BAND) + BYTES_SLACK)
     )
     kept = ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False))
     return judged.select(key, *_COUNTS, *_RATIOS, "script", "base_failed", kept.alias("kept"))
