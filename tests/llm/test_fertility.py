@@ -82,7 +82,7 @@ def test_a_rare_language_has_its_own_bands(spark):
     english = "the house water people number first great world during history between government large under small".split()
     chinese = [chr(0x4E00 + rnd.randrange(2000)) + chr(0x4E00 + rnd.randrange(2000)) for _ in range(400)]
     text = lambda pool, n: " ".join(rnd.choice(pool) + rnd.choice(["", "s", "ing"]) if pool is english else rnd.choice(pool) for _ in range(n))
-    rows = [(i, text(english, rnd.randint(70, 120)), "en") for i in range(600)]
+    rows = [(i, text(english, rnd.randint(300, 700)), "en") for i in range(600)]
     rows += [(1000 + i, text(chinese, rnd.randint(60, 160)), "zh") for i in range(30)]
     rows += [(2000, text(english, 2500), "zh"), (2001, text(chinese, 5000), "en")]  # each in the wrong language, alone in its length class
     found = {r.doc_id: r for r in Q.verdicts(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
