@@ -3,7 +3,7 @@ imports this package. ``QUERIES`` and ``ORACLES`` bind them to the shared tables
 
 from __future__ import annotations
 
-from lakeops.llm import decontaminate, fertility, fim, langid, linededup, minhash, packing, substrings, toxicity, trainorder, warc
+from lakeops.llm import binpack, decontaminate, fertility, fim, langid, linededup, merkle, minhash, packing, substrings, toxicity, trainorder, warc
 
 _BOUND = {
     "op1_training_order": trainorder,
@@ -17,6 +17,8 @@ _BOUND = {
     "op9_token_fertility": fertility,
     "op10_ordinal_toxicity": toxicity,
     "op11_fill_in_middle": fim,
+    "op12_merkle_manifest": merkle,
+    "op13_bin_completion": binpack,
 }
 
 QUERIES = {name: module.query for name, module in _BOUND.items()}

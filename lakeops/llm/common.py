@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -53,6 +53,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[str], name: str, label: str) -> DataFrame:
+    """``df`` as a written table with a column ``name``: each row's place, from 0, in the
+    order of the columns ``order``. Rows are range-partitioned, so the order of no key is
+    made by one task; rows that are equal in ``order`` may part too, and have their places
+    in any order. Only the row count of each partition comes to the driver."""
+    spark, tie, part = df.sparkSession, fresh(df.columns, "tie"), fresh([*df.columns, name], "part")
+    spread = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*order, tie)
+    placed = spread.sortWithinPartitions(*order, tie).drop(tie).withColumn(name, F.monotonically_increasing_id())
+    placed = written(placed, label)  # partition number times 2**33, plus the place within it
+    of = F.shiftright(name, 33)
+    before, rows = 0, []
+    for p, n in sorted(tuple(r) for r in placed.groupBy(of).count().collect()):
+        rows.append((p, before - (p << 33)))
+        before += n
+    shift = fresh([*df.columns, name, part], "shift")
+    bases = spark.createDataFrame(rows, f"`{part}` bigint, `{shift}` bigint")  # one row per partition
+    out = placed.withColumn(part, of).join(F.broadcast(bases), part)
+    return out.withColumn(name, F.col(name) + F.col(shift)).select(*df.columns, name)
+
+
 def fresh(names: Iterable[str], wanted: str) -> str:
     """``wanted``, with underscores in front until no name equals it."""
     taken = {n.lower() for n in names}
