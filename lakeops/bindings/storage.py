@@ -20,13 +20,74 @@ def _(spark, sf):
     return readers.read_upload(spark, path, "csv", _EVENTS)
 
 
+_CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
+
+
 @query("s2_read_raw_json", "SELECT conv_id, turn, role, text FROM conversations")
+def _(spark, sf):
+    """Lists of many rows and, for every fiftieth conversation, objects of one."""
+    base, talks = scratch_dir(spark, "landed"), table(spark, sf, "conversations")
+    alone = F.concat(F.lit("turn-"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    name = F.when(F.col("conv_id") % 50 == 0, alone).otherwise(F.concat(F.lit("list-"), (F.col("conv_id") % 50).cast("string")))
+    writers.write_json_files(talks, base, name, lone_objects=True).collect()
+    return readers.read_raw_json(spark, base, _CONVERSATIONS)
+
+
+@query("s2_read_raw_json_lines", "SELECT conv_id, turn, role, text FROM conversations")
 def _(spark, sf):
     path = scratch_dir(spark, "landed")
     table(spark, sf, "conversations").write.json(path)
-    return readers.read_raw_json(
-        spark, path, "conv_id bigint, turn bigint, role string, text string", multi_line=False
-    )
+    return readers.read_raw_json(spark, path, _CONVERSATIONS, multi_line=False)
+
+
+def _billing_files(spark, sf, since):
+    """Line items from a date on as daily billing files; their folder."""
+    base, lines = scratch_dir(spark, "billing"), table(spark, sf, "lineitem").filter(F.col("l_shipdate") >= since)
+    rows = lines.select(
+        F.col("l_shipdate").cast("date").alias("date"), F.col("l_returnflag").alias("service"), F.col("l_suppkey").cast("string").alias("resource"),
+        F.col("l_linestatus").alias("metric"), F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("unit_cost"),
+        F.col("l_extendedprice").alias("total_cost"), F.lit("USD").alias("currency"))
+    writers.write_json_files(rows, base, F.col("date")).collect()
+    return base
+
+
+_BILLING_ROWS = """SELECT l_shipdate::DATE AS date, l_returnflag AS service, l_suppkey::VARCHAR AS resource, l_linestatus AS metric,
+       l_quantity AS quantity, l_discount AS unit_cost, l_extendedprice AS total_cost, 'USD' AS currency, l_shipdate::DATE AS file_date
+FROM lineitem"""
+
+
+@query("s3_read_billing", f"{_BILLING_ROWS} WHERE year(l_shipdate) = 1996")
+def _(spark, sf):
+    return readers.read_billing(spark, _billing_files(spark, sf, "1900-01-01"), prefix="1996-")
+
+
+@query("s3_read_billing_days", f"{_BILLING_ROWS} WHERE l_shipdate >= TIMESTAMP '1996-11-15' AND l_shipdate < TIMESTAMP '1997-02-16'")
+def _(spark, sf):
+    return readers.read_billing(spark, _billing_files(spark, sf, "1900-01-01"), start="1996-11-15", end="1997-02-15")
+
+
+@query("l11_retention_billing", f"{_BILLING_ROWS} WHERE l_shipdate >= TIMESTAMP '{BILLING_AS_OF}' - INTERVAL 90 DAY")
+def _(spark, sf):
+    base = _billing_files(spark, sf, "1900-01-01")
+    maintenance.expire_files(spark, base, "billing", BILLING_AS_OF)
+    return readers.read_billing(spark, base)
+
+
+_MONTHS = """WITH month AS (SELECT date_trunc('month', l_shipdate) AS m, max(l_shipdate) AS newest FROM lineitem GROUP BY 1)
+SELECT l_orderkey, l_linenumber, l_shipdate, CASE WHEN newest < TIMESTAMP '{0}' - INTERVAL 365 DAY THEN 'archive' ELSE 'curated' END AS layer
+FROM lineitem JOIN month ON m = date_trunc('month', l_shipdate)""".format(BILLING_AS_OF)
+
+
+@query("l11_retention_curated", _MONTHS)
+def _(spark, sf):
+    """One file per month, none of them in a date directory."""
+    path, archive = scratch_dir(spark, "curated"), scratch_dir(spark, "archive")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    month = F.date_format("l_shipdate", "yyyyMM")
+    lines.withColumn("part", month).repartition("part").write.partitionBy("part").parquet(path)
+    maintenance.expire_files(spark, path, "curated", BILLING_AS_OF, "l_shipdate", archive)
+    left, gone = (spark.read.parquet(p).select(*lines.columns, F.lit(layer).alias("layer")) for p, layer in ((path, "curated"), (archive, "archive")))
+    return left.unionByName(gone)
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.bindings.base import query, table
 from lakeops.session import scratch_dir
+from lakeops.sources import paths
 from lakeops.streaming import cdc, events as ev
 
 
@@ -95,12 +96,29 @@ def _(spark, sf):
     )
     broken = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("{"), "text")).otherwise(F.col("text"))
     raw = orders.select(F.col("o_orderpriority").alias("name"), broken.alias("value"))
-    path, dead, state = (scratch_dir(spark, x) for x in ("parsed", "rejected", "checkpoint"))
-    for q in ev.run_with_dead_letters(raw, "o_orderkey bigint, o_totalprice double", path, dead, state):
-        q.awaitTermination()
-    good = spark.read.parquet(path).groupBy("name").agg(F.count("o_orderkey").alias("parsed"))
-    bad = spark.read.parquet(dead).groupBy("name").agg(F.count("record").alias("rejected"))
-    return good.join(bad, "name", "full").select("name", "parsed", "rejected")
+    path, state = scratch_dir(spark, "records"), scratch_dir(spark, "checkpoint")
+    ev.run_with_dead_letters(raw, "o_orderkey bigint, o_totalprice double", path, state).awaitTermination()
+    stored = spark.read.parquet(path)
+    return stored.groupBy("name").agg(F.count("o_orderkey").alias("parsed"), F.count("record").alias("rejected"))
+
+
+_FILES = 6
+
+
+@query(
+    "r7_micro_batch",
+    f"""SELECT (event_id % {_FILES}) // 2 AS batch_id, count(*) AS rows, sum(count(*)) OVER (ORDER BY (event_id % {_FILES}) // 2)::BIGINT AS running_total
+        FROM events GROUP BY 1""",
+)
+def _(spark, sf):
+    """Six landed files, admitted two at a time in order of their times."""
+    landed, path, state = (scratch_dir(spark, x) for x in ("landed", "batches", "batches-checkpoint"))
+    rows = table(spark, sf, "events").withColumn("file", F.col("event_id") % _FILES)
+    rows.repartition(_FILES, "file").write.partitionBy("file").parquet(landed)
+    paths.set_times(spark, [f"{landed}/file={i}" for i in range(_FILES)])
+    feed = ev.read_stream(spark, landed, rows.schema, max_files_per_trigger=2)
+    ev.micro_batches(feed, path, state).awaitTermination()
+    return ev.batch_totals(spark, path, rows.schema)
 
 
 # ------------------------------------------------------- change data
@@ -151,10 +169,9 @@ def _(spark, sf):
     f"WITH last AS ({_LAST}) SELECT l_orderkey AS o_orderkey, l_suppkey AS o_custkey, l_extendedprice AS amount FROM last WHERE op <> 'd'",
 )
 def _(spark, sf):
-    path, state = scratch_dir(spark, "cdc"), scratch_dir(spark, "cdc-checkpoint")
-    feed = changes(stream(spark, sf, "lineitem"))
-    cdc.stream_cdc(feed, path, "o_orderkey", _ROW, state, _ORDER_BY, buckets=8).awaitTermination()
-    return cdc.read_current(spark, path, "o_orderkey", _ROW, feed.schema, _ORDER_BY)
+    state = scratch_dir(spark, "cdc-checkpoint")
+    cdc.stream_cdc(changes(stream(spark, sf, "lineitem")), state, "o_orderkey", _ORDER_BY).awaitTermination()
+    return cdc.read_current(spark, state)
 
 
 @query(

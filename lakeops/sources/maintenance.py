@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.functions.timeparts import Moment, before, moment
 from lakeops.sources import paths
-from lakeops.sources.readers import date_partitions
+from lakeops.sources.readers import date_partitions, file_date
 from lakeops.sources.writers import DATE_PARTITIONS, LAYER_CODEC, balanced
 
 
@@ -97,6 +97,45 @@ def apply_retention(
     return dates
 
 
+def expire_files(
+    spark: SparkSession, path: str, layer: str, as_of: Moment, ts: str | None = None,
+    archive_path: str | None = None,
+) -> list[str]:
+    """Archive or delete whole files of a layer that has no date directories.
+
+    A file is expired when all of it is: with ``ts``, when its newest row is older than
+    the layer's term (Parquet; only that column is read, and a row without a time keeps
+    its file); without, when the date that its name begins with is (``<date>.json``; only
+    the listing is read). Files are never rewritten. An archive gets the rows of expired
+    files as a ``batch`` named after those files, so an interrupted run writes the same
+    batch again before it deletes them. Returns the removed files.
+    """
+    rule = RETENTION[layer]
+    cutoff = moment(as_of) - dt.timedelta(days=rule.days)
+    if ts is None:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)  # contents are not read
+        dated = listed.select(F.col("path").alias("file"), file_date(F.element_at(F.split("path", "/"), -1)).alias("newest"))
+        expired = dated.filter(F.col("newest") < F.lit(cutoff.date()))
+    else:
+        table = spark.read.parquet(path)
+        old = F.coalesce(before(table, ts, cutoff), F.lit(False))
+        files = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.bool_and(old).alias("old"))
+        expired = files.filter("old")
+    names = sorted(r["file"] for r in expired.select("file").toLocalIterator())
+    if not names:
+        return []
+    if rule.action == "archive":
+        if archive_path is None:
+            raise ValueError(f"layer {layer} is archived: name an archive path")
+        batch = hashlib.sha256("\n".join(n.rpartition("/")[2] for n in names).encode()).hexdigest()[:16]
+        rows = spark.read.option("basePath", path).parquet(*names)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", LAYER_CODEC["archive"])
+        writer.option("parquet.compression.codec.zstd.level", ARCHIVE_LEVEL).parquet(f"{archive_path}/batch={batch}")
+    for name in names:
+        paths.delete_dir(spark, name)
+    return names
+
+
 def _values(spark: SparkSession, path: str, key: str) -> list[str]:
     """Numeric values of one partition level (the NULL partition is never expired)."""
     values = [n.removeprefix(f"{key}=") for n in paths.child_dirs(spark, path)]

@@ -56,9 +56,32 @@ def read_raw_json(
     return spark.read.schema(schema).option("multiLine", multi_line).json(paths)
 
 
-def read_billing(spark: SparkSession, base: str, prefix: str = "") -> DataFrame:
-    """Daily billing files ``<date>.json``; ``prefix`` (``2025-``) limits the files listed."""
-    return read_raw_json(spark, f"{base.rstrip('/')}/{prefix}*.json", BILLING_SCHEMA)
+def file_date(name: Column | None = None) -> Column:
+    """The date that a file's name begins with, null if none: ``<date>.json``."""
+    name = F.col("_metadata.file_name") if name is None else name
+    return F.try_to_date(F.substring(name, 1, 10), "yyyy-MM-dd")
+
+
+def read_billing(
+    spark: SparkSession, base: str, prefix: str = "", start: Moment | None = None, end: Moment | None = None,
+    modified_after: Moment | None = None,
+) -> DataFrame:
+    """Daily billing files ``<date>.json`` of one folder, with ``file_date``.
+
+    Files are pruned before any is opened: ``prefix`` (``2025-``) limits the names
+    listed, ``modified_after`` the files by their time, and ``start``/``end`` (both
+    included) become a predicate on the file name, which Spark applies to its listing.
+    """
+    reader = spark.read.schema(BILLING_SCHEMA).option("multiLine", True).option("pathGlobFilter", f"{prefix}*.json")
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", moment(modified_after).strftime("%Y-%m-%dT%H:%M:%S"))
+    rows = reader.json(base.rstrip("/"))
+    name = F.col("_metadata.file_name")
+    if start is not None:
+        rows = rows.filter(name >= moment(start).date().isoformat())
+    if end is not None:  # names go on behind the date, and "~" follows all that do
+        rows = rows.filter(name <= moment(end).date().isoformat() + "~")
+    return rows.withColumn("file_date", file_date())
 
 
 def read_upload(

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import uuid
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.functions.timeparts import Moment, instant
@@ -124,3 +128,41 @@ def null_violations(df: DataFrame, schema: StructType) -> DataFrame:
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("violations")) for c in required]
     return counted.select(F.inline(F.array(*pairs)))
+
+
+def write_json_files(df: DataFrame, base: str, name: Column, lone_objects: bool = False, rows_per_file: int = 100_000) -> DataFrame:
+    """One JSON document ``base/<name>.json`` per value of ``name`` (null: its rows are not
+    written): a list with an item per row, over several lines. With ``lone_objects`` a
+    single row is an object without a list.
+
+    Such a document can't be split, so a name with more than ``rows_per_file`` rows is
+    dealt by row hash to further files ``<name>.<n>.json``. A file is streamed by one
+    task and moved into place when whole; a retry replaces it by the same one. Returns
+    ``file`` and ``rows``, a row per file: the files are there once that is read.
+    """
+    rows = df.select(name.cast("string").alias("_name"), F.to_json(F.struct(*df.columns)).alias("_json")).filter("_name IS NOT NULL")
+    files_of = rows.groupBy("_name").agg(F.ceil(F.count("*") / rows_per_file).alias("_files"))
+    dealt = rows.join(files_of, "_name").withColumn("_n", F.pmod(F.xxhash64("_json"), F.col("_files")))
+    file = F.concat(F.col("_name"), F.when(F.col("_n") > 0, F.concat(F.lit("."), F.col("_n").cast("string"))).otherwise(F.lit("")), F.lit(".json"))
+    gathered = dealt.select(file.alias("_file"), "_json").repartition("_file").sortWithinPartitions("_file")
+    target = base.rstrip("/")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = fs.FileSystem.from_uri(target)
+        store.create_dir(folder, recursive=True)
+        pairs = (pair for b in batches for pair in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        for file, group in itertools.groupby(pairs, key=lambda pair: pair[0]):
+            draft, held, n = f"{folder}/.{uuid.uuid4().hex}", None, 0
+            with store.open_output_stream(draft) as out:
+                for _, row in group:
+                    if held is not None:
+                        out.write(("[\n" if n == 1 else ",\n").encode() + held)
+                    held, n = row.encode(), n + 1
+                if n == 1 and lone_objects:
+                    out.write(held + b"\n")
+                else:
+                    out.write(("[\n" if n == 1 else ",\n").encode() + held + b"\n]\n")
+            store.move(draft, f"{folder}/{file}")
+            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([n], pa.int64())], ["file", "rows"])
+
+    return gathered.mapInArrow(write, "file string, rows bigint")

@@ -10,11 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from lakeops.operators.ordered import latest_per_key
-from lakeops.sources import paths
-from lakeops.sources.writers import balanced
 from lakeops.streaming.events import run_to_table
 
 OPERATIONS = ("c", "r", "u", "d")
@@ -69,121 +66,30 @@ def cdc_archive(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuer
 
 
 # ------------------------------------------------------------------ streamed state
-#
-# The table behind a change stream keeps the last event of every key, deletes
-# included, so that an older event which arrives in a later batch is recognised.
-# Rows are hashed into buckets; a micro-batch rewrites only the buckets it touches:
-#
-#     <path>/version=<batch id>/_bucket=<n>/...
-#
-# A version counts once Spark has marked it with _SUCCESS. Per bucket, the newest
-# version that has it is current.
 
-BUCKETS = 256
 
+def stream_cdc(changes: DataFrame, checkpoint: str, key: str, order_by: Sequence[str] = ("timestamp",)) -> StreamingQuery:
+    """Keep the table behind a change stream as keyed state below ``checkpoint``.
 
-def _versions(spark: SparkSession, path: str) -> dict[int, set[int]]:
-    """Finished versions and the buckets each of them holds."""
-    out = {}
-    for name in paths.child_dirs(spark, path):
-        if name.startswith("version=") and paths.exists(spark, f"{path}/{name}/_SUCCESS"):
-            inside = [d for d in paths.child_dirs(spark, f"{path}/{name}") if d.startswith("_bucket=")]
-            out[int(name.removeprefix("version="))] = {int(d.removeprefix("_bucket=")) for d in inside}
-    return out
-
-
-def _version_dir(path: str, version: int) -> str:
-    return f"{path}/version={version:012d}"
-
-
-def _newest(versions: dict[int, set[int]]) -> dict[int, int]:
-    """bucket -> newest version that has it."""
-    return {bucket: v for v in sorted(versions) for bucket in versions[v]}
-
-
-def current_version(spark: SparkSession, path: str) -> int | None:
-    """Newest finished version of a table kept by ``stream_cdc``."""
-    return max(_versions(spark, path), default=None)
-
-
-def _state(spark: SparkSession, path: str, schema: StructType, buckets: set[int] | None = None) -> DataFrame:
-    """Last event per key of the given buckets (default: all)."""
-    newest = _newest(_versions(spark, path))
-    wanted = [
-        f"{_version_dir(path, v)}/_bucket={b}" for b, v in sorted(newest.items()) if buckets is None or b in buckets
-    ]
-    if not wanted:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*wanted)
-
-
-def state_schema(key: str, row_schema: str, changes_schema: StructType, order_by: Sequence[str]) -> StructType:
-    row = StructType.fromDDL(row_schema)
-    schema = StructType().add("_key", row[key].dataType).add("operation", "string").add("after", row)
-    for name in order_by:
-        schema = schema.add(name, changes_schema[name].dataType)
-    return schema.add("_tie", "long")
-
-
-def read_current(
-    spark: SparkSession, path: str, key: str, row_schema: str, changes_schema: StructType,
-    order_by: Sequence[str] = ("timestamp",),
-) -> DataFrame:
-    """Rows of the table as of the newest version."""
-    schema = state_schema(key, row_schema, changes_schema, order_by)
-    return _state(spark, path, schema).filter(F.col("operation") != "d").select("after.*")
-
-
-def stream_cdc(
-    changes: DataFrame, path: str, key: str, row_schema: str, checkpoint: str,
-    order_by: Sequence[str] = ("timestamp",), keep_versions: int = 3, buckets: int = BUCKETS,
-) -> StreamingQuery:
-    """Merge a change stream into a table, one version per micro-batch.
-
-    The event order of a key holds across batches: its state is its last event by
-    ``order_by``, whenever that arrived. A batch that is replayed after a failure
-    finds its version and is skipped. Size ``buckets`` so that one bucket is a few
-    files; it must stay the same for the life of the table. One writer only.
+    A streaming aggregate holds each key's last event by ``order_by``, whenever it
+    arrived: events of a batch are folded before the shuffle, and the state store
+    (RocksDB, see ``lakeops.session``) touches only the keys of the batch. Deletes stay
+    in the state, so an older event that arrives later is recognised at any delay.
+    Replayed batches are settled by the checkpoint; the fold is the same twice.
     """
-    schema = state_schema(key, row_schema, changes.schema, order_by)
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        done = current_version(spark, path)
-        if done is not None and done >= batch_id:
-            return
-        bucket = F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int")
-        fresh = keyed_changes(batch, key, order_by)
-        # at most ``buckets`` small integers come to the driver
-        touched = {r[0] for r in fresh.select(bucket).distinct().collect()}
-        if not touched:
-            return
-        both = _state(spark, path, schema, touched).unionByName(fresh.select(*schema.fieldNames()))
-        last = latest_per_key(both, ["_key"], [*order_by, "_tie"]).withColumn("_bucket", bucket)
-        (
-            balanced(last, "_bucket")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("_bucket")
-            .parquet(_version_dir(path, batch_id))
-        )
-        _drop_superseded(spark, path, batch_id - keep_versions)
-
-    return (
-        changes.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def _drop_superseded(spark: SparkSession, path: str, horizon: int) -> None:
-    """Remove buckets that a newer version up to ``horizon`` replaces."""
-    old = {v: held for v, held in _versions(spark, path).items() if v <= horizon}
-    newest = _newest(old)
-    for v, held in old.items():
-        stale = {b for b in held if newest[b] > v}
-        for b in stale:
-            paths.delete_dir(spark, f"{_version_dir(path, v)}/_bucket={b}")
-        if stale == held:
-            paths.delete_dir(spark, _version_dir(path, v))
+    last = F.max_by(F.struct("operation", "after"), F.struct(*order_by, "_tie"))
+    states = keyed_changes(changes, key, order_by).groupBy("_key").agg(last.alias("last"))
+    writer = states.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def read_current(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """Rows of the table that ``stream_cdc`` keeps, as of its last finished batch or an
+    earlier one that the state store still holds."""
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    state = reader.load(checkpoint)
+    held = state.schema["value"].dataType.fields[0].name  # the event; its place comes second
+    event = F.col("value")[held]
+    return state.filter(event["operation"] != "d").select(event["after"].alias("after")).select("after.*")

@@ -6,7 +6,10 @@ the file sink. The same functions accept a batch frame where no watermark is use
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import functools
+import operator
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -17,11 +20,14 @@ from lakeops.sources.writers import balanced
 
 def read_stream(
     spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
-    max_files_per_trigger: int | None = 1000, glob: str | None = None,
+    max_files_per_trigger: int | None = 1000, glob: str | None = None, max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """File source with a declared schema; ``max_files_per_trigger`` bounds a batch."""
+    """File source with a declared schema. ``max_files_per_trigger`` or, instead of it,
+    ``max_bytes_per_trigger`` bounds a batch; files enter in order of their time."""
     reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    elif max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -120,33 +126,69 @@ def session_stream(
     )
 
 
-def split_bad_records(
-    raw: DataFrame, schema: StructType | str, text: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """``(parsed, rejected)`` from JSON text rows.
+def micro_batches(stream: DataFrame, path: str, checkpoint: str, codec: str = "zstd") -> StreamingQuery:
+    """Write what a stream admits per batch (see ``read_stream``) to ``path/batch_id=<n>``.
 
-    Rejected rows keep the text, so that they can be replayed. Blank text is
-    rejected too.
+    A batch that is run again after a failure replaces its own directory, so rows are
+    written exactly once and the batch that brought a row stays known.
     """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.option("compression", codec).parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def batch_progress(query: StreamingQuery, spark: SparkSession) -> DataFrame:
+    """``batch_id``, ``input_rows`` and ``duration_ms`` of the batches that the query's progress
+    still holds (``spark.sql.streaming.numRecentProgressUpdates`` of them)."""
+    found = {p.batchId: (p.batchId, p.numInputRows, p.batchDuration) for p in query.recentProgress}
+    return spark.createDataFrame(sorted(found.values()), "batch_id bigint, input_rows bigint, duration_ms bigint")
+
+
+def batch_totals(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """One row per written batch: ``batch_id``, ``rows`` and ``running_total``."""
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    with_corrupt = StructType([*fields.fields]).add("_corrupt_record", "string")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = raw.withColumn("_row", F.from_json(F.col(text), with_corrupt, options))
-    good = F.col("_row").isNotNull() & F.col("_row._corrupt_record").isNull()
+    written = spark.read.schema(StructType([*fields.fields]).add("batch_id", "long")).parquet(path)
+    counts = written.groupBy("batch_id").agg(F.count("*").alias("rows"))  # a row per batch, no more
+    return counts.withColumn("running_total", F.sum("rows").over(Window.orderBy("batch_id")))
+
+
+def typed_records(raw: DataFrame, schema: StructType | str, text: str = "value", extra: str = "extra") -> DataFrame:
+    """JSON text rows, parsed once: the fields of ``schema``, ``extra`` (JSON of the fields that
+    it lacks), ``record`` and ``rejected``.
+
+    The text becomes a VARIANT, from which fields are cast. A row is rejected, and keeps
+    its text as ``record`` for a replay, if the text is blank or no JSON object, or if a
+    field has a value that is none of its type; its fields are then null.
+    """
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
     others = [c for c in raw.columns if c != text]
-    return (
-        parsed.filter(good).select(*others, *[F.col(f"_row.{f.name}").alias(f.name) for f in fields.fields]),
-        parsed.filter(~good).select(*others, F.col(text).alias("record")),
-    )
+    members = F.try_variant_get("_variant", "$", "map<string, variant>")
+    parsed = raw.withColumn("_variant", F.try_parse_json(F.col(text))).withColumn("_members", members)
+    path = {f.name: "$['" + f.name.replace("'", "\\'") + "']" for f in fields}
+    typed = {f.name: F.try_variant_get("_variant", path[f.name], f.dataType.simpleString()) for f in fields}
+    value = {f.name: F.try_variant_get("_variant", path[f.name], "variant") for f in fields}
+    wrong = [value[f.name].isNotNull() & ~F.is_variant_null(value[f.name]) & typed[f.name].isNull() for f in fields]
+    bad = F.lit(False) if not wrong else functools.reduce(operator.or_, wrong)
+    rows = parsed.withColumn("_bad", F.col("_members").isNull() | bad)
+    good = ~F.col("_bad")
+    unknown = F.map_filter("_members", lambda k, _: ~k.isin([f.name for f in fields]))
+    return rows.select(
+        *others, *(F.when(good, typed[f.name]).alias(f.name) for f in fields),
+        F.when(good & (F.size(unknown) > 0), F.to_json(unknown)).alias(extra),
+        F.when(~good, F.col(text)).alias("record"), F.col("_bad").alias("rejected"))
+
+
+def split_bad_records(raw: DataFrame, schema: StructType | str, text: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(parsed, rejected)`` of ``typed_records``."""
+    rows = typed_records(raw, schema, text)
+    others = [c for c in raw.columns if c != text]
+    return rows.filter("NOT rejected").drop("record", "rejected"), rows.filter("rejected").select(*others, "record")
 
 
-def run_with_dead_letters(
-    raw: DataFrame, schema: StructType | str, path: str, dead_letter_path: str, checkpoint: str,
-    text: str = "value",
-) -> list[StreamingQuery]:
-    """Two exactly-once queries: parsed rows to ``path``, rejected ones beside it."""
-    good, bad = split_bad_records(raw, schema, text)
-    return [
-        run_to_table(good, path, f"{checkpoint}/parsed"),
-        run_to_table(bad, dead_letter_path, f"{checkpoint}/rejected"),
-    ]
+def run_with_dead_letters(raw: DataFrame, schema: StructType | str, path: str, checkpoint: str, text: str = "value") -> StreamingQuery:
+    """One exactly-once query that reads and parses the source once and writes good and
+    rejected rows beside each other, to ``path/rejected=false`` and ``path/rejected=true``."""
+    return run_to_table(typed_records(raw, schema, text), path, checkpoint, partition_by=("rejected",))

@@ -260,3 +260,69 @@ def test_ingest_to_mart(spark, tmp_path):
     curated = str(tmp_path / "curated")
     pipelines.promote_to_curated(raw_posts, curated, "posts", "2024-01-02")
     assert versioned.read_curated(spark, curated).columns == [f.name for f in writers.curated_schema("posts")]
+
+
+def landed(spark, tmp_path, days, **options):
+    from lakeops.sources import writers
+
+    data = [(d, "svc", str(i), "m", 1.0 * i, 0.5, 0.5 * i, "USD") for d in days for i in range(3)]
+    df = spark.createDataFrame(data, readers.BILLING_SCHEMA.replace("date date", "date string"))
+    base = str(tmp_path / "billing")
+    report = writers.write_json_files(df, base, F.col("date"), **options).collect()
+    return df, base, report
+
+
+DAYS = ["2024-12-31", "2025-01-01", "2025-01-02", "2025-02-03"]
+
+
+def test_billing_files_are_pruned_by_name(spark, tmp_path):
+    df, base, report = landed(spark, tmp_path, DAYS)
+    assert sorted(tuple(r) for r in report) == [(f"{d}.json", 3) for d in DAYS]
+    year = readers.read_billing(spark, base, prefix="2025-")
+    assert sorted(f.rpartition("/")[2] for f in year.inputFiles()) == [f"{d}.json" for d in DAYS[1:]]  # all that is listed
+    assert year.count() == 9 and {str(r.file_date) for r in year.collect()} == set(DAYS[1:])
+    days = readers.read_billing(spark, base, start="2025-01-01", end="2025-01-02")
+    assert {str(r.date) for r in days.collect()} == {"2025-01-01", "2025-01-02"} and days.count() == 6
+    scan = days._jdf.queryExecution().executedPlan().toString()
+    assert "file_name" in scan and days.rdd.getNumPartitions() <= 2  # two files are opened
+    os.utime(f"{base}/{DAYS[0]}.json", (1, 1))
+    assert readers.read_billing(spark, base, modified_after="2001-01-01").count() == 9
+    with open(f"{base}/notes.json", "w") as out:
+        out.write("{}")
+    assert readers.read_billing(spark, base).filter("file_date IS NULL").count() == 1
+
+
+def test_json_files_split_hot_names_and_keep_lone_objects(spark, tmp_path):
+    _, base, report = landed(spark, tmp_path, DAYS, rows_per_file=2)
+    assert sum(r["rows"] for r in report) == 12 and len(report) > 4
+    assert readers.read_billing(spark, base, prefix="2025-01-01").count() == 3
+    from lakeops.sources import writers
+
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4)], "n string, v int")
+    writers.write_json_files(df, str(tmp_path / "x"), F.col("n"), lone_objects=True).collect()
+    assert open(tmp_path / "x" / "a.json").read() == '{"n":"a","v":1}\n'
+    assert sorted(os.listdir(tmp_path / "x")) == ["a.json", "b.json"]
+    assert sorted(r.v for r in readers.read_raw_json(spark, str(tmp_path / "x"), "n string, v int").collect()) == [1, 2, 3]
+
+
+def test_files_expire_by_name(spark, tmp_path):
+    _, base, _ = landed(spark, tmp_path, DAYS)
+    with open(f"{base}/undated.json", "w") as out:
+        out.write("{}")
+    gone = maintenance.expire_files(spark, base, "billing", "2025-04-02")
+    assert [g.rpartition("/")[2] for g in gone] == [f"{d}.json" for d in DAYS[:3]][:len(gone)] and len(gone) == 2
+    assert sorted(os.listdir(base)) == ["2025-01-02.json", "2025-02-03.json", "undated.json"]
+    assert maintenance.expire_files(spark, base, "billing", "2025-04-02") == []
+
+
+def test_files_expire_by_newest_row(spark, tmp_path):
+    path, archive = str(tmp_path / "curated"), str(tmp_path / "archive")
+    for day, null in (("2023-01-05", False), ("2023-02-05", True), ("2024-05-05", False)):
+        times = [dt.datetime.fromisoformat(day), dt.datetime.fromisoformat("2023-01-01")] + [None] * null
+        spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz").coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(ValueError):
+        maintenance.expire_files(spark, path, "curated", "2024-06-01", "ts")
+    gone = maintenance.expire_files(spark, path, "curated", "2024-06-01", "ts", archive)
+    assert len(gone) == 1 and spark.read.parquet(archive).count() == 2
+    assert spark.read.parquet(path).count() == 5  # a missing time and a newer row keep their files whole
+    assert maintenance.expire_files(spark, path, "curated", "2024-06-01", "ts", archive) == []
