@@ -1,25 +1,29 @@
 """Token ids in training order: fixed-stride binary shards.
 
-1. Documents are tokenised, each followed by the end token, and the stream of a
-   partition is cut into sequences of ``SEQUENCE`` ids (the last one padded). They are
-   written once as a table, so partition and place of a sequence are settled.
-2. A sequence's number is its place after all sequences of earlier partitions. A keyed
-   Feistel network permutes the numbers: it is a bijection of the smallest square power of
-   two that holds all N of them, and numbers that land at N or above go through it again
-   until they don't (cycle walking), so slots are exactly 0 .. N - 1. Any key gives a
-   full shuffle without a sort by random numbers, and the same one on every retry.
-3. Sequences are range-partitioned by shard (slot // ``SHARD_ROWS``), sorted by slot, and
+1. Documents are range-partitioned and sorted by id and hash of the text, so that one
+   stream of all token ids has the same order however the input is dealt out. They are
+   tokenised in that order, each followed by the end token, and written as blocks of
+   ``BLOCK`` sequences' worth of ids. The token counts of partitions place each block in the
+   stream, and the stream is cut into sequences of ``SEQUENCE`` ids.
+2. A keyed Feistel network permutes the numbers of the sequences: it is a bijection of the
+   smallest square power of two that holds all N of them, and numbers that land at N or
+   above go through it again until they don't (cycle walking), so slots are exactly
+   0 .. N - 1. Any key gives a full shuffle without a sort by random numbers, and the same
+   one on every retry.
+3. Sequences, and the two parts of those that lie over the edge of a block, go to the
+   partition of their shard (slot // ``SHARD_ROWS``), sorted by slot, and are
    written: shard k holds slots k * rows .. of ``SEQUENCE`` little-endian ids each, 16 bit
    where the vocabulary allows. Slot s lies in shard s // rows at byte
    (s % rows) * stride, so reads are sequential and resume anywhere.
 
-Only the number of sequences per partition comes to the driver. A task holds one
-batch of sequences. Shards are moved into place when whole; a retry writes the same
-bytes.
+Only the token count of each partition comes to the driver. A task holds one block, and
+one document that is longer than it. Shards are moved into place when whole; a retry
+writes the same bytes.
 
-Defined results: a null or empty text is its end token alone. Repeated rows are written
-each. A sequence lists the ids of the documents in it, null ids included. An empty
-table gives no shard. Other columns are not stored.
+Defined results: a null or empty text is its end token alone. A null id comes first, rows
+of one id in order of the text's hash, and repeated rows are written each. Only the
+last sequence is padded. A sequence lists the ids of the documents in it, null ids
+included. An empty table gives no shard. Other columns are not stored.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ from lakeops.llm import common, tokens, words as W
 
 SEQUENCE = 2048
 SHARD_ROWS = 8192
+BLOCK = 32  # sequences
 ROUNDS = 6
 PAD = 0
 KEY = "training-order"
@@ -75,59 +80,87 @@ def id_bytes(path: str) -> int:
     return 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else 4
 
 
-def sequences(docs: DataFrame, *, key: str, text: str, path: str, length: int, width: int) -> DataFrame:
-    """``part``, ``place``, ``n`` (ids without padding), ``docs`` and ``z``, compressed ids."""
+def blocks(docs: DataFrame, *, key: str, text: str, path: str, size: int, width: int) -> DataFrame:
+    """The stream of token ids: ``part``, ``begin`` (place in the partition's stream), ``n`` ids,
+    ``docs`` (their documents), ``ends`` (where each of these ends), ``goes_on`` (the first one
+    began in the block before) and ``z``, compressed ids. A block has ``size`` ids but for the
+    last of a partition."""
     kind = docs.schema[key].dataType
     schema = T.StructType([
-        T.StructField("part", T.LongType()), T.StructField("place", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("docs", T.ArrayType(kind)), T.StructField("z", T.BinaryType())])
+        T.StructField("part", T.LongType()), T.StructField("begin", T.LongType()), T.StructField("n", T.LongType()),
+        T.StructField("docs", T.ArrayType(kind)), T.StructField("ends", T.ArrayType(T.LongType())),
+        T.StructField("goes_on", T.BooleanType()), T.StructField("z", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, place = TaskContext.get().partitionId(), 0
-        pack, dtype = zstandard.ZstdCompressor(level=3), f"<u{width}"
-        held: list[tuple[object, np.ndarray]] = []
-        size, rows, key_type = 0, [], None
-
-        def batch() -> pa.RecordBatch:
-            columns = [
-                pa.array([part] * len(rows), pa.int64()), *(pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)),
-                pa.array([r[2] for r in rows], pa.list_(key_type)), pa.array([r[3] for r in rows], pa.binary())]
-            rows.clear()
-            return pa.RecordBatch.from_arrays(columns, schema.names)
-
-        def cut() -> None:
-            nonlocal held, size, place
-            ids = np.concatenate([i for _, i in held])[:length]
-            names, left = [], length
-            rest: list[tuple[object, np.ndarray]] = []
-            for k, i in held:
-                if left > 0:
-                    names.append(k)
-                if len(i) > left:
-                    rest.append((k, i[max(left, 0):]))
-                left -= len(i)
-            padded = np.full(length, PAD, dtype=dtype)
-            padded[: len(ids)] = ids
-            rows.append((place, len(ids), names, pack.compress(padded.tobytes())))
-            held, size, place = rest, size - len(ids), place + 1
+        part, dtype = TaskContext.get().partitionId(), f"<u{width}"
+        pack = zstandard.ZstdCompressor(level=3)
+        begin, held, names, ends, key_type, goes_on = 0, [], [], [], None, False
+
+        def block() -> pa.RecordBatch:
+            nonlocal begin, held, names, ends
+            ids = np.concatenate(held)
+            row = [part, begin, len(ids), names, ends, goes_on, pack.compress(ids.astype(dtype).tobytes())]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(key_type), pa.list_(pa.int64()), pa.bool_(), pa.binary()]
+            begin, held, names, ends = begin + len(ids), [], [], []
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], schema.names)
 
         for b in batches:
             keys, key_type = b.column(0), b.schema.field(0).type
             for row, ids, _ in tokens.token_rows(b.column(1), path):
-                name = keys[row].as_py()
-                for a in range(0, len(ids), length):  # so that a cut looks at two sequences at most
-                    held.append((name, ids[a: a + length]))
-                    size += len(held[-1][1])
-                    while size >= length:
-                        cut()
-                if len(rows) > 500:
-                    yield batch()
-        if size:
-            cut()
-        if rows:
-            yield batch()
-
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+                name, at = keys[row].as_py(), 0
+                while at < len(ids):
+                    full = ends[-1] if ends else 0
+                    if not ends:
+                        goes_on = at > 0
+                    some = ids[at: at + size - full]
+                    held.append(some)
+                    names.append(name)
+                    ends.append(full + len(some))
+                    at += len(some)
+                    if ends[-1] == size:
+                        yield block()
+        if held:
+            yield block()
+
+    order = [F.col(key), F.xxhash64(text), F.monotonically_increasing_id()]  # equal rows may part
+    names = [common.fresh(docs.columns, n) for n in ("hash", "tie")]
+    own = docs.select(F.col(key), F.col(text), *(c.alias(n) for c, n in zip(order[1:], names)))
+    own = own.repartitionByRange(key, *names).sortWithinPartitions(key, *names)
+    return own.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+
+
+def _parts(stream: DataFrame, base: dict[int, int], order: Permutation, *, length: int, shard_rows: int, width: int) -> DataFrame:
+    """Blocks cut into sequences, or the part of one that they hold: ``slot``, ``shard``,
+    ``sequence_id``, ``at`` (the part's place in the sequence), ``n``, ``docs``, ``goes_on``, ``z``."""
+    schema = T.StructType([
+        *(T.StructField(c, T.LongType()) for c in ("slot", "shard", "sequence_id", "at", "n")), stream.schema["docs"],
+        T.StructField("goes_on", T.BooleanType()), T.StructField("z", T.BinaryType())])
+    shared = stream.sparkSession.sparkContext.broadcast((base, order))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bases, permute = shared.value
+        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        for b in batches:
+            for r in range(b.num_rows):
+                part, begin, n = (b.column(i)[r].as_py() for i in range(3))
+                names, ends, goes_on = b.column(3)[r].values, b.column(4)[r].values.to_numpy(), b.column(5)[r].as_py()
+                ids = unpack.decompress(b.column(6)[r].as_py(), max_output_size=n * width)
+                first = bases[part] + begin
+                cuts = np.unique(np.append(np.arange(-first % length, n, length), [0, n]))
+                a, z = cuts[:-1], cuts[1:]
+                sequence, at = np.divmod(first + a, length)
+                slot = permute(sequence)
+                since, upto = np.searchsorted(ends, a, side="right"), np.searchsorted(ends, z, side="left") + 1
+                offsets = np.concatenate([[0], np.cumsum(upto - since)])
+                own = names.take(pa.array(np.arange(offsets[-1]) - np.repeat(offsets[:-1] - since, upto - since)))
+                before = np.append(0, ends)[since] < a
+                before[0] |= goes_on
+                raw = [pack.compress(ids[width * x: width * y]) for x, y in zip(a.tolist(), z.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(x, pa.int64()) for x in (slot, slot // shard_rows, sequence, at, z - a)),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), own), pa.array(before), pa.array(raw, pa.binary())], schema.names)
+
+    return stream.mapInArrow(run, schema)
 
 
 def write_shards(
@@ -137,56 +170,59 @@ def write_shards(
     """Write shards below ``path``. A written table with one row per sequence: ``slot``, ``shard``,
     ``byte_offset``, ``sequence_id``, ``n_tokens``, ``doc_ids``, ``ids_crc32`` (padding
     included) and ``id_bytes``."""
-    spark = docs.sparkSession
     vocabulary = vocabulary or tokens.vocabulary_path()
     width = id_bytes(vocabulary)
-    table = common.written(sequences(docs, key=key, text=text, path=vocabulary, length=length, width=width), "sequences")
-    counts = sorted(tuple(r) for r in table.groupBy("part").count().collect())  # one row per partition
-    total = sum(n for _, n in counts)
-    order = Permutation(max(total, 1), seed)
-    parts = np.array([p for p, _ in counts], dtype=np.int64)
-    before = np.concatenate([[0], np.cumsum([n for _, n in counts])]).astype(np.int64)
-    shared = spark.sparkContext.broadcast((parts, before, order))
-
-    @F.arrow_udf("bigint")
-    def number(part: pa.Array, place: pa.Array) -> pa.Array:
-        at, base, _ = shared.value
-        return pa.array(base[np.searchsorted(at, part.to_numpy())] + place.to_numpy())
-
-    @F.arrow_udf("bigint")
-    def slot(numbers: pa.Array) -> pa.Array:
-        return pa.array(shared.value[2](numbers.to_numpy()))
-
-    placed = table.withColumn("sequence_id", number("part", "place")).withColumn("slot", slot("sequence_id"))
-    placed = placed.withColumn("shard", F.floor(F.col("slot") / shard_rows))
+    stream = common.written(blocks(docs, key=key, text=text, path=vocabulary, size=BLOCK * length, width=width), "blocks")
+    base, total = {}, 0
+    for part, n in sorted(tuple(r) for r in stream.groupBy("part").agg(F.sum("n")).collect()):  # one row per partition
+        base[part], total = total, total + n
+    total = -(-total // length)
+    parts = _parts(stream, base, Permutation(max(total, 1), seed), length=length, shard_rows=shard_rows, width=width)
     shards = max(1, -(-total // shard_rows))
-    placed = placed.select("slot", "shard", "sequence_id", "n", "docs", "z").repartitionByRange(shards, "shard").sortWithinPartitions("slot")
+    placed = parts.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot", "at")
     stride = length * width
     out = T.StructType([
         *(T.StructField(c, T.LongType()) for c in ("slot", "shard", "byte_offset", "sequence_id", "n_tokens")),
-        T.StructField("doc_ids", table.schema["docs"].dataType), T.StructField("ids_crc32", T.LongType()), T.StructField("id_bytes", T.LongType())])
+        T.StructField("doc_ids", stream.schema["docs"].dataType), T.StructField("ids_crc32", T.LongType()), T.StructField("id_bytes", T.LongType())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() if i != 4 else b.column(i) for i in range(6))))
-        row, list_type = next(rows, None), None
+        list_type = None
+
+        def whole() -> Iterator[tuple]:
+            """(slot, shard, sequence, ids in it, documents, bytes) from the parts of each."""
+            nonlocal list_type
+            now = None
+            for b in batches:
+                list_type = b.column(5).type
+                for slot, shard, sequence, at, n, names, goes_on, z in zip(*(b.column(i).to_pylist() for i in range(8))):
+                    if now is None or now[0] != slot:
+                        if now is not None:
+                            yield now
+                        now = [slot, shard, sequence, 0, [], b""]
+                    now[3] += n
+                    now[4] += names[1:] if goes_on and now[4] else names
+                    now[5] += unpack.decompress(z, max_output_size=stride)
+            if now is not None:
+                yield now
+
+        rows, padding = whole(), np.full(length, PAD, dtype=f"<u{width}").tobytes()
+        row = next(rows, None)
         while row is not None:
             shard, written = row[1], []
 
             def payloads() -> Iterator[bytes]:
                 nonlocal row
                 while row is not None and row[1] == shard:
-                    raw = unpack.decompress(row[5], max_output_size=stride)
-                    written.append((row[0], shard, len(written) * stride, row[2], row[3], row[4], zlib.crc32(raw), width))
+                    raw = row[5] + padding[len(row[5]):]
+                    written.append((row[0], shard, len(written) * stride, *row[2:5], zlib.crc32(raw), width))
                     yield raw
                     row = next(rows, None)
 
             common.write_once(shard_file(path, shard), payloads())
-            list_type = written[0][5].type
             for a in range(0, len(written), 4096):
                 some = written[a: a + 4096]
-                columns = [pa.array([w[i].as_py() if i == 5 else w[i] for w in some], list_type if i == 5 else pa.int64()) for i in range(8)]
-                yield pa.RecordBatch.from_arrays(columns, out.names)
+                yield pa.RecordBatch.from_arrays([pa.array([w[i] for w in some], list_type if i == 5 else pa.int64()) for i in range(8)], out.names)
 
     return common.written(placed.mapInArrow(write, out), "slots")
 
