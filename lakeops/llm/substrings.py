@@ -10,7 +10,7 @@ shards that can hold a match:
 
 1. Each window chooses an anchor, its least 4-word hash (leftmost of equal ones); equal
    windows choose the same. Neighbouring windows of one anchor form a segment. Anchors
-   are folded: how many documents, the smallest id, and whether all their segments are
+   are folded: how many segments, the smallest id, and whether all their segments are
    alike. Anchors of one document and one segment are dropped: no window of theirs occurs
    twice.
 2. Anchors whose segments are all alike are settled: every document but the first loses
@@ -19,8 +19,9 @@ shards that can hold a match:
    automaton over its distinct segments in order of (id, start): each is streamed through
    what is built so far, and where the matching statistic reaches ``WINDOW`` the
    window occurs earlier; then it joins the automaton. Repeats of a segment lose all of it.
-4. An anchor of more than ``HOT`` documents (the edge of a passage that very many share)
-   would make a shard of unbounded size. The windows of its distinct segments are folded
+4. An anchor of more than ``HOT`` segments (the edge of a passage that very many documents
+   share, or a phrase that one text repeats with other words between) would make a shard
+   of unbounded size. The windows of its distinct segments are folded
    one by one instead, by a hash of all their words, to the first place of each.
 
 Texts are read three times and shuffled twice (to attach a document's anchors, and its
@@ -85,7 +86,8 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
 
 
 def anchors(docs: DataFrame, width: int) -> DataFrame:
-    """``a``, ``lo``, ``hi``, ``k``, ``t``: per document and anchor the extremes of its segments' hashes."""
+    """``a``, ``lo``, ``hi``, ``c``, ``k``, ``t``: per document and anchor the extremes of its
+    segments' hashes, and how many it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -99,11 +101,21 @@ def anchors(docs: DataFrame, width: int) -> DataFrame:
                 begin = np.flatnonzero(new)
                 end = np.append(begin[1:], len(order)) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor[begin]), pa.array(text[begin]), pa.array(text[end[: len(begin)]]), pa.array(keys[first + row[begin]]),
-                     pa.array(hashes[first + row[begin]])],
-                    ["a", "lo", "hi", "k", "t"])
+                    [pa.array(anchor[begin]), pa.array(text[begin]), pa.array(text[end[: len(begin)]]), pa.array(end[: len(begin)] - begin + 1),
+                     pa.array(keys[first + row[begin]]), pa.array(hashes[first + row[begin]])],
+                    ["a", "lo", "hi", "c", "k", "t"])
 
-    return docs.select("k", "t", "text").mapInArrow(run, "a bigint, lo bigint, hi bigint, k bigint, t bigint")
+    return docs.select("k", "t", "text").mapInArrow(run, "a bigint, lo bigint, hi bigint, c bigint, k bigint, t bigint")
+
+
+def _folded(seen: DataFrame, hot: int) -> DataFrame:
+    """``a``, ``least`` and ``code`` of the anchors that occur twice: 1 segments all alike, 2 for
+    a shard, 3 too many segments for one."""
+    document = F.struct("k", "t")
+    folded = seen.groupBy("a").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(document).alias("least"), F.max(document).alias("most"), F.sum("c").alias("n"))
+    code = F.when(F.col("lo") == F.col("hi"), 1).when(F.col("n") <= hot, 2).otherwise(3)
+    return folded.filter("lo <> hi or least <> most").select("a", "least", code.alias("code"))
 
 
 class SuffixAutomaton:
@@ -238,10 +250,7 @@ def repeated_ranges(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     from word s on that occur earlier."""
     own = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias("k"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
     seen, document = anchors(own, width), F.struct("k", "t")
-    folded = seen.groupBy("a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(document).alias("least"), F.max(document).alias("most"), F.count("*").alias("n"))
-    code = F.when(F.col("lo") == F.col("hi"), 1).when(F.col("n") <= hot, 2).otherwise(3)
-    folded = folded.filter("lo <> hi or least <> most").select("a", "least", code.alias("code"))
-    folded = common.written(folded, "anchors")
+    folded = common.written(_folded(seen, hot), "anchors")
     met = seen.select("a", "k", "t").join(folded, "a").filter((F.col("code") != 1) | (document > F.col("least")))
     lists = {name: F.collect_list(F.when(F.col("code") == c, F.col("a"))) for c, name in ((1, "alike"), (2, "mixed"), (3, "hot"))}
     lists = {name: F.when(F.size(c) > 0, c).alias(name) for name, c in lists.items()}

@@ -84,3 +84,25 @@ def test_matching_statistics(references, probe):
     subs = {tuple(r[i:j]) for r in references for i in range(len(r)) for j in range(i + 1, len(r) + 1)}
     want = [max((n for n in range(e + 2) if n == 0 or tuple(probe[e + 1 - n: e + 1]) in subs)) for e in range(len(probe))]
     assert list(automaton.matching(probe)) == want
+
+
+def test_a_phrase_that_one_text_repeats(spark):
+    """60,000 segments of one anchor in one document, and a second one with some of them."""
+    import pyarrow as pa
+
+    from lakeops.llm import words as W
+
+    rnd = random.Random(4)
+    phrases = [f"p{i} is a phrase" for i in range(50_000)]
+    w = W.words(pa.array(phrases, pa.large_string()))
+    least = phrases[int(W.grams(w.hashes(), D.GRAM)[::4].argmin())]  # the anchor of each window that holds it
+    pieces = [f"{least} " + " ".join(f"v{rnd.randint(0, 300)}" for _ in range(12)) for _ in range(60_000)]
+    rows = [(1, " ".join(pieces)), (2, "own " + " ".join(pieces[500:700]) + " end"), (3, "nothing of it")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    own = df.selectExpr("doc_id AS k", "xxhash64(text) AS t", "text")
+    seen = D.anchors(own, D.WINDOW)
+    counts = {r.a: r.n for r in seen.groupBy("a").agg({"c": "sum"}).withColumnRenamed("sum(c)", "n").collect()}
+    codes = {r.a: r.code for r in D._folded(seen, D.HOT).collect()}
+    assert max(counts.values()) > 50_000 and max((n for a, n in counts.items() if codes.get(a) == 2), default=0) <= D.HOT < D.SHARD
+    got = {r.doc_id: tuple(r.found) for r in D.dedup_substrings(df, "found").collect()}
+    assert got == brute(rows)
