@@ -12,13 +12,16 @@ j and f(j) the least cost up to it,
 a minimum over a sliding range, kept in a monotone queue: linear time. A window whose
 length is a power of two needs no padding, which is settled after the cuts are made.
 
-A task holds one stretch of the stream (``stretch`` windows): it commits all windows
-of a stretch but the last, which opens the next stretch. Only the last window of a
-partition is cut short. There is no shuffle.
+A task holds one stretch of the stream (``stretch`` windows): it commits the windows of
+a stretch up to the cut of least cost that leaves at most one window's tokens, which open
+the next stretch. At the end of a partition they stay open. Pieces are written as a table, and the open windows of ``TAILS``
+neighbouring partitions, which hold at most ``TAILS`` windows of ids, are packed again as
+one stream. So one window in a group of partitions is short, not one in each. Only
+those open windows are shuffled.
 
 Defined results: a null or empty text is its end token alone. Repeated rows are packed
-each. Sequence ids are the partition number times 2**32 plus a running number; a
-retried task yields the same ids because it reads the same rows in the same order.
+each. Sequence ids are the partition number times 2**32 plus a running number, those of
+packed tails 2**62 plus the same of the group; the written table settles them.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ SENTENCE_PENALTY = 32
 FREE_PENALTY = 128
 FREE_GAP = 256
 STRETCH = 64
+TAILS = 256
+_TAIL_IDS = 1 << 62
 
 PIECES = T.StructType([
     T.StructField("start", T.LongType()),
@@ -50,9 +55,11 @@ PIECES = T.StructType([
 ])
 
 
-def least_cost_cuts(positions: list[int], penalties: list[int], limit: int) -> list[int]:
+def least_cost_cuts(positions: list[int], penalties: list[int], limit: int, open_end: bool = False) -> list[int]:
     """Indexes of the chosen cuts. ``positions`` ascend from the first cut (the start of
-    the stretch) to the last (its end), no two neighbours further apart than ``limit``."""
+    the stretch) to the last (its end), no two neighbours further apart than ``limit``.
+    With ``open_end`` the stretch goes on: at most ``limit`` tokens behind the last chosen
+    cut, possibly the first of all, stay open and cost nothing yet."""
     n = len(positions)
     cost, back = [0] * n, [0] * n
     queue: deque[tuple[int, int]] = deque([(positions[0], 0)])  # (f(i) + p(i), i), ascending
@@ -67,6 +74,8 @@ def least_cost_cuts(positions: list[int], penalties: list[int], limit: int) -> l
             queue.pop()
         queue.append((key, j))
     cuts, j = [], n - 1
+    if open_end:
+        j = min((i for i in range(n) if positions[-1] - positions[i] <= limit), key=lambda i: (cost[i], -i))
     while j:
         cuts.append(j)
         j = back[j]
@@ -98,21 +107,20 @@ class _Packer:
         self.docs: deque[tuple[object, int, int, np.ndarray, np.ndarray]] = deque()
         self.held = self.sequence = 0
 
-    def add(self, key, ids: np.ndarray, stops: np.ndarray) -> Iterator[tuple]:
-        total, start = len(ids), 0
-        while start < total or total == 0:
+    def add(self, key, ids: np.ndarray, stops: np.ndarray, start: int = 0, total: int | None = None) -> Iterator[tuple]:
+        """``ids`` from place ``start`` on of a document of ``total`` ids (default: all of it)."""
+        total, done = len(ids) if total is None else total, 0
+        while done < len(ids):
             # a very long document enters in parts, so a stretch stays bounded
-            room = min(total - start, self.stretch)
-            part = slice(start, start + room)
-            self.docs.append((key, start, total, ids[part], stops[part]))
-            self.held += room
-            start += room
+            part = slice(done, done + self.stretch)
+            self.docs.append((key, start + done, total, ids[part], stops[part]))
+            self.held += len(ids[part])
+            done += len(ids[part])
             if self.held >= self.stretch:
                 yield from self.pack(False)
-            if total == 0:
-                break
 
     def pack(self, final: bool) -> Iterator[tuple]:
+        """Windows of what is held; unless ``final``, the last one stays in ``docs``."""
         if not self.held:
             return
         lengths = np.array([len(d[3]) for d in self.docs])
@@ -120,9 +128,7 @@ class _Packer:
         whole = np.array([d[1] + len(d[3]) == d[2] for d in self.docs])
         positions, penalties = candidate_cuts(
             np.concatenate([d[4] for d in self.docs]), ends[whole], self.held, *self.costs)
-        cuts = [positions[j] for j in least_cost_cuts(positions, penalties, self.limit)]
-        if not final:
-            cuts.pop()  # the last window goes on with the next stretch
+        cuts = [positions[j] for j in least_cost_cuts(positions, penalties, self.limit, not final)]
         done = 0
         for cut in cuts:
             offset = 0
@@ -146,45 +152,57 @@ def pack(
     """One row per piece: ``key``, then ``PIECES``; ``ids`` are little-endian unsigned
     32-bit numbers. Each document's ids are followed by ``end_token``."""
     path = vocabulary or tokens.vocabulary_path()
+    names = [f.name for f in PIECES.fields]
     out = T.StructType([docs.schema[key], *PIECES.fields])
+    part, tail, stops_ = (common.fresh(out.names, c) for c in ("part", "tail", "stops"))
+    wide = out.add(part, T.LongType()).add(tail, T.BooleanType()).add(stops_, T.BinaryType())
+    out = T.StructType([docs.schema[key], *PIECES.fields])
+    new = lambda: _Packer(max_tokens, stretch, sentence_penalty, free_penalty, free_gap)
+
+    def columns(rows: list[tuple], base: int, key_type: pa.DataType) -> list[pa.Array]:
+        lengths = {r[3]: r[4] + len(r[5]) for r in rows}  # whole windows, pieces in order
+        return [
+            pa.array([r[0] for r in rows], key_type), pa.array([r[1] for r in rows], pa.int64()), pa.array([len(r[5]) for r in rows], pa.int64()),
+            pa.array([r[2] for r in rows], pa.int64()), pa.array([base + r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64()),
+            pa.array([padded_length(lengths[r[3]], max_tokens) for r in rows], pa.int64()),
+            pa.array([r[5].astype("<u4").tobytes() for r in rows], pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        base = (context.partitionId() if context else 0) << 32
-        packer = _Packer(max_tokens, stretch, sentence_penalty, free_penalty, free_gap)
-        kind, rows, key_type = [f.name for f in PIECES.fields], [], None
-
-        def batch() -> pa.RecordBatch:
-            keys = pa.array([r[0] for r in rows], key_type)
-            lengths = {}
-            for r in rows:
-                lengths[r[3]] = r[4] + len(r[5])
-            columns = [
-                pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([len(r[5]) for r in rows], pa.int64()),
-                pa.array([r[2] for r in rows], pa.int64()),
-                pa.array([base + r[3] for r in rows], pa.int64()),
-                pa.array([r[4] for r in rows], pa.int64()),
-                pa.array([padded_length(lengths[r[3]], max_tokens) for r in rows], pa.int64()),
-                pa.array([r[5].astype("<u4").tobytes() for r in rows], pa.binary()),
-            ]
-            rows.clear()
-            return pa.RecordBatch.from_arrays([keys, *columns], [key, *kind])
-
-        def take(pieces) -> Iterator[pa.RecordBatch]:
-            rows.extend(pieces)  # whole windows
-            if len(rows) > 2000:
-                yield batch()
+        number = TaskContext.get().partitionId()
+        packer, rows, key_type = new(), [], None
+
+        def batch(arrays: list[pa.Array], stops: list[bytes] | None = None) -> pa.RecordBatch:
+            n = len(arrays[0])
+            more = [pa.array([number] * n, pa.int64()), pa.array([stops is not None] * n), pa.array(stops or [None] * n, pa.binary())]
+            return pa.RecordBatch.from_arrays([*arrays, *more], wide.names)
 
         for b in batches:
             keys, key_type = b.column(0), b.schema.field(0).type
             for row, ids, stops in tokens.token_rows(b.column(1), path, end_token):
-                yield from take(packer.add(keys[row].as_py(), ids, stops))
-        yield from take(packer.pack(True))
+                rows.extend(packer.add(keys[row].as_py(), ids, stops))  # whole windows
+                if len(rows) > 2000:
+                    yield batch(columns(rows, number << 32, key_type))
+                    rows = []
+        rows.extend(packer.pack(False))
         if rows:
-            yield batch()
-
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, out)
+            yield batch(columns(rows, number << 32, key_type))
+        if packer.docs:  # the open window: its pieces in order, to be packed again
+            rows = [(k, start, total, 0, place, ids) for place, (k, start, total, ids, _) in enumerate(packer.docs)]
+            yield batch(columns(rows, 0, key_type), [np.packbits(d[4]).tobytes() for d in packer.docs])
+
+    def again(group: pa.Table) -> pa.Table:
+        group, packer, rows = group.sort_by([(part, "ascending"), ("offset", "ascending")]), new(), []
+        key_type = group.schema.field(key).type
+        for k, start, total, raw, stops in zip(*(group[c].to_pylist() for c in (key, "start", "doc_tokens", "ids", stops_))):
+            ids = np.frombuffer(raw, dtype="<u4")
+            rows.extend(packer.add(k, ids, np.unpackbits(np.frombuffer(stops, dtype=np.uint8), count=len(ids)).astype(bool), start, total))
+        rows.extend(packer.pack(True))
+        base = _TAIL_IDS + (group[part][0].as_py() // TAILS << 32)
+        return pa.Table.from_arrays(columns(rows, base, key_type), [key, *names])
+
+    table = common.written(docs.select(F.col(key), F.col(text)).mapInArrow(run, wide), "windows")
+    tails = table.filter(F.col(tail)).groupBy(F.floor(F.col(part) / TAILS).alias(common.fresh(wide.names, "group"))).applyInArrow(again, out)
+    return table.filter(~F.col(tail)).select(*out.names).unionByName(tails)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,6 +65,9 @@ def test_cuts_cost_the_least(steps, limit):
     options = (
         cost([*inner, n - 1]) for k in range(n) for inner in itertools.combinations(range(1, n - 1), k))
     assert cost(packing.least_cost_cuts(positions, penalties, limit)) == min(c for c in options if c is not None)
+    ends = [i for i in range(n) if positions[-1] - positions[i] <= limit]
+    options = [cost([*inner, i] if i else []) for i in ends for k in range(max(i, 1)) for inner in itertools.combinations(range(1, i), k)]
+    assert cost(packing.least_cost_cuts(positions, penalties, limit, True)) == min(c for c in options if c is not None)
 
 
 def check_contract(rows, texts, limit):
@@ -108,9 +111,21 @@ def test_query_on_shared_tables(spark, sf):
     assert crc == {(r.doc_id, r.start): zlib.crc32(bytes(r.ids)) for r in got}
 
 
+def test_padding_does_not_depend_on_partitions(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r[0]: r[1] for r in docs.select("doc_id", "text").collect()}
+    cols = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "padded_length")
+    share = []
+    for n in (3, 64):
+        got = packing.pack(docs.repartition(n), max_tokens=512).select(*cols).collect()
+        check_contract([tuple(r) for r in got], texts, 512)
+        share.append(sum(r.length for r in got) / sum({r.sequence_id: r.padded_length for r in got}.values()))
+    assert abs(share[0] - share[1]) < 0.01 and min(share) > 0.93  # a cut sentence costs as much as 32 ids
+
+
 def test_nulls_empty_tables_and_clashing_columns(spark):
-    schema = "doc_id bigint, text string, sequence_id string, ids int"
+    schema = "doc_id bigint, text string, sequence_id string, ids int, part int, tail string"
     assert packing.pack(spark.createDataFrame([], schema)).collect() == []
-    rows = [(None, None, "s", 1), (1, "", "s", 2), (1, "", "s", 2)]
+    rows = [(None, None, "s", 1, 1, "t"), (1, "", "s", 2, 1, "t"), (1, "", "s", 2, 1, "t")]
     got = packing.pack(spark.createDataFrame(rows, schema).coalesce(1)).collect()
     assert [(r.doc_id, r.length, r.doc_tokens) for r in got] == [(None, 1, 1), (1, 1, 1), (1, 1, 1)]
