@@ -2,11 +2,14 @@
 
 A text is split at line feeds; a line counts if it holds anything but blanks, and is
 compared without the blanks around it. A window is ``WINDOW`` consecutive counting
-lines of one document; a document of fewer, but not none, is one window. A line goes
-if some window that covers it has the same lines as a window that starts earlier: in
-a document of a smaller id, or in the same document further up.
-
-1. Winnowing: the least line hash of each window is its fingerprint (the leftmost of
+lines of one document; a document of fewer, but not none, is one window. Short windows
+are added: one or more, but fewer, consecutive counting lines with ``WORDS`` words or
+more in all (runs of anything but blanks). A line goes if some window that covers it has
+the same lines as a window that starts earlier: in a document of a smaller id, or in the
+same document further up.
+
+1. Each document's line hashes and word counts are written once, a few bytes a line.
+   Winnowing: the least line hash of each window is its fingerprint (the leftmost of
    equal ones). Equal windows choose the same line, so a repeated window is guaranteed
    to have a fingerprint that occurs at two positions. Fingerprints of one position
    are dropped here, and with them almost all of a corpus.
@@ -27,11 +30,15 @@ Any other columns are kept as they are.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeops.llm import common
 
 WINDOW = 3
+WORDS = 50
 BLANKS = " \t\n\x0b\f\r"
 
 
@@ -40,65 +47,73 @@ def _bare(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per document: ``k``, ``t`` (the text's hash) and ``h``, the hashes of counting lines."""
-    hashes = F.transform(
-        F.filter(F.transform(F.split(F.col(text), "\n"), _bare), lambda line: F.length(line) > 0), lambda line: F.xxhash64(line))
-    return docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), hashes.alias("h"))
-
-
-def windows(docs: DataFrame, key: str, text: str, width: int = WINDOW) -> DataFrame:
-    """``k``, ``t`` and ``w``: an array of each window's line number ``i``, fingerprint
-    ``f`` at line ``p``, and hash ``g`` of all its lines."""
-    lines = _lines(docs, key, text).filter(F.size("h") > 0)
-    count = F.greatest(F.size("h") - (width - 1), F.lit(1))
-    shifted = lines.select("k", "t", F.arrays_zip(*(F.slice("h", j + 1, count).alias(f"h{j}") for j in range(width))).alias("w"))
-    parts = [f"h{j}" for j in range(width)]
-
-    def window(w: Column, i: Column) -> Column:
-        least = F.least(*(w[c] for c in parts))
-        at = F.coalesce(*(F.when(w[c] == least, F.lit(j)) for j, c in enumerate(parts)))
-        return F.struct(i.alias("i"), least.alias("f"), (i + at).alias("p"), F.xxhash64(*(w[c] for c in parts)).alias("g"))
-
-    return shifted.select("k", "t", F.transform("w", window).alias("w"))
-
-
-def repeated_runs(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WINDOW) -> DataFrame:
-    """``k``, ``t`` and ``starts``: the sorted line numbers of windows that occur earlier."""
-    own = windows(docs, key, text, width)
+    """Per document with a counting line: ``k``, ``t`` (the text's hash), and of these lines ``h``,
+    the hashes, and ``v``, the numbers of words."""
+    bare = F.filter(F.transform(F.split(F.col(text), "\n"), _bare), lambda line: F.length(line) > 0)
+    lines = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), bare.alias("lines"))
+    words = F.transform("lines", lambda line: F.regexp_count(line, F.lit(r"[^ \t\n\x0B\f\r]+")))
+    return lines.filter(F.size("lines") > 0).select("k", "t", F.transform("lines", lambda line: F.xxhash64(line)).alias("h"), words.alias("v"))
+
+
+def windows(lines: DataFrame, width: int = WINDOW, words: int = WORDS) -> DataFrame:
+    """``k``, ``t`` and ``w``: an array of each window's first line ``i``, number of lines ``m``,
+    fingerprint ``f`` at line ``p``, and hash ``g`` of all its lines."""
+    n = F.size("h")
+    shifted = [F.slice(c, F.lit(j + 1), n).alias(f"{c}{j}") for j in range(width) for c in ("h", "v")]
+    zipped = lines.select("k", "t", F.arrays_zip(*shifted).alias("w"))
+
+    def of(w: Column, i: Column, m: int) -> Column:
+        parts = [w[f"h{j}"] for j in range(m)]  # null behind the last line, which hashes and least() skip
+        least = F.least(*parts) if m > 1 else parts[0]
+        at = F.coalesce(*(F.when(h == least, F.lit(j)) for j, h in enumerate(parts)))
+        return F.struct(
+            i.alias("i"), F.least(F.lit(m), F.size("w") - i).alias("m"), least.alias("f"), (i + at).alias("p"), F.xxhash64(*parts).alias("g"))
+
+    def at(w: Column, i: Column) -> Column:
+        long = F.when((i == 0) | w[f"h{width - 1}"].isNotNull(), of(w, i, width))
+        short = []
+        for m in range(1, width):
+            enough = functools.reduce(operator.add, (w[f"v{j}"] for j in range(m))) >= words
+            short.append(F.when(enough & (F.size("w") > m), of(w, i, m)))  # a text of m lines is a window anyway
+        return F.array_compact(F.array(long, *short))
+
+    return zipped.select("k", "t", F.flatten(F.transform("w", at)).alias("w"))
+
+
+def repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WINDOW, words: int = WORDS) -> DataFrame:
+    """``k``, ``t`` and ``gone``: the sorted numbers of the counting lines in windows that occur earlier."""
+    own = windows(common.written(_lines(docs, key, text), "lines"), width, words)
     marks = own.select(F.explode(F.array_distinct(F.transform("w", lambda w: F.struct(w["f"].alias("f"), w["p"].alias("p"))))).alias("m"))
     twice = marks.groupBy(F.col("m")["f"].alias("f")).agg(F.count("*").alias("n")).filter("n > 1").select("f")
     placed = own.select("k", "t", F.inline("w")).join(twice, "f")
     place = F.struct(F.col("k").isNotNull().alias("has"), "k", "i")
     first = placed.groupBy("f", "g").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = placed.join(first, ["f", "g"]).filter(place > F.col("first"))
-    return later.groupBy("k", "t").agg(F.array_sort(F.collect_set("i")).alias("starts"))
+    covered = F.flatten(F.collect_set(F.sequence("i", F.col("i") + F.col("m") - 1)))
+    return later.groupBy("k", "t").agg(F.array_sort(F.array_distinct(covered)).alias("gone"))
 
 
-def _cut(lines: Column, starts: Column, at: Column, width: int) -> Column:
-    """``lines`` less the runs that windows at ``starts`` form; ``at`` has the index of
+def _cut(lines: Column, gone: Column, at: Column) -> Column:
+    """``lines`` less the runs that the counting lines ``gone`` form; ``at`` has the index of
     each counting line."""
-    # A run goes on while the next window starts at most ``width`` lines further.
-    opens = F.filter(
-        F.zip_with(starts, F.concat(F.array(F.lit(-width - 1)), F.slice(starts, 1, F.size(starts) - 1)), lambda s, before: F.struct(s.alias("s"), (s - before > width).alias("opens"))),
-        lambda x: x["opens"])
-    closes = F.filter(
-        F.zip_with(starts, F.concat(F.slice(starts, 2, F.size(starts) - 1), F.array(F.lit(2**31 - 1))), lambda s, after: F.struct(s.alias("s"), (after - s > width).alias("closes"))),
-        lambda x: x["closes"])
-    last = F.size(at) - 1
-    first_line = F.transform(opens, lambda x: F.element_at(at, x["s"] + 1))
-    after_line = F.transform(closes, lambda x: F.element_at(at, F.least(x["s"] + width - 1, last) + 1) + 1)
+    before = F.concat(F.array(F.lit(-2)), F.slice(gone, 1, F.size(gone) - 1))
+    after = F.concat(F.slice(gone, 2, F.size(gone) - 1), F.array(F.lit(2**31 - 1)))
+    opens = F.filter(F.zip_with(gone, before, lambda c, b: F.when(c - b > 1, c)), lambda c: c.isNotNull())
+    closes = F.filter(F.zip_with(gone, after, lambda c, a: F.when(a - c > 1, c)), lambda c: c.isNotNull())
+    first_line = F.transform(opens, lambda c: F.element_at(at, c + 1))
+    after_line = F.transform(closes, lambda c: F.element_at(at, c + 1) + 1)
     gaps = F.zip_with(
         F.concat(F.array(F.lit(0)), after_line), F.concat(first_line, F.array(F.size(lines))),
         lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))
     return F.flatten(F.transform(gaps, lambda g: F.slice(lines, g["a"] + 1, g["n"])))
 
 
-def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WINDOW,
+def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WINDOW, words: int = WORDS,
                 counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with repeated runs cut from ``text``; ``counts`` names two more columns:
     counting lines, and how many of them went."""
-    hashed, lines, at, starts = (common.fresh(docs.columns, c) for c in ("hash", "lines", "at", "starts"))
-    runs = repeated_runs(docs, key=key, text=text, width=width).withColumnsRenamed({"starts": starts})
+    hashed, lines, at, gone = (common.fresh([*docs.columns, *(counts or ())], c) for c in ("hash", "lines", "at", "gone"))
+    runs = repeated_lines(docs, key=key, text=text, width=width, words=words).withColumnsRenamed({"gone": gone})
     runs = runs.withColumnsRenamed({"k": common.fresh(docs.columns, "k_"), "t": common.fresh(docs.columns, "t_")})
     k, t, _ = runs.columns
     joined = docs.withColumn(hashed, F.xxhash64(text)).join(
@@ -107,25 +122,19 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wid
     split = joined.withColumn(lines, F.split(text, "\n"))
     counting = F.filter(F.transform(F.col(lines), lambda line, i: F.struct(i.alias("i"), F.length(_bare(line)).alias("n"))), lambda x: x["n"] > 0)
     split = split.withColumn(at, F.transform(counting, lambda x: x["i"]))
-    left = _cut(F.col(lines), F.col(starts), F.col(at), width)
-    out = split.withColumn(text, F.when(F.col(starts).isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
+    left = _cut(F.col(lines), F.col(gone), F.col(at))
+    out = split.withColumn(text, F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
     if counts:
         n = F.coalesce(F.size(F.col(at)), F.lit(0))
-        covered = F.aggregate(
-            F.col(starts), F.struct(F.lit(0).alias("n"), F.lit(-1).alias("upto")),
-            lambda s, x: F.struct(
-                (s["n"] + F.least(x + width, F.size(F.col(at))) - F.greatest(x, s["upto"])).alias("n"),
-                F.least(x + width, F.size(F.col(at))).alias("upto")),
-            lambda s: s["n"])
         out = out.withColumn(counts[0], F.when(F.col(text).isNull(), 0).otherwise(n).cast("bigint"))
-        out = out.withColumn(counts[1], F.coalesce(covered, F.lit(0)).cast("bigint"))
-    return out.drop(lines, at, starts)
+        out = out.withColumn(counts[1], F.coalesce(F.size(F.col(gone)), F.lit(0)).cast("bigint"))
+    return out.drop(lines, at, gone)
 
 
-def without_repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WINDOW) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WINDOW, words: int = WORDS) -> DataFrame:
     """``dedup_lines`` less the documents of which all counting lines went, columns unchanged."""
     n, gone = common.fresh(docs.columns, "n_lines"), common.fresh(docs.columns, "n_removed")
-    out = dedup_lines(docs, key=key, text=text, width=width, counts=(n, gone))
+    out = dedup_lines(docs, key=key, text=text, width=width, words=words, counts=(n, gone))
     return out.filter((F.col(gone) == 0) | (F.col(gone) < F.col(n))).select(*docs.columns)
 
 
@@ -139,13 +148,17 @@ SQL = rf"""
 WITH line AS (
     SELECT doc_id, i, s, trim(s, E' \t\n\x0b\f\r') AS b
     FROM (SELECT doc_id, unnest(l) AS s, unnest(range(len(l))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
-counting AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS c, count(*) OVER (PARTITION BY doc_id) AS n FROM line WHERE b <> ''),
+counting AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS c, count(*) OVER (PARTITION BY doc_id) AS n,
+        len(regexp_extract_all(b, '[^\x20\x09-\x0D]+')) AS v FROM line WHERE b <> ''),
 win AS (
-    SELECT doc_id, c, n, i, array_agg(b) OVER (PARTITION BY doc_id ORDER BY c ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS w FROM counting),
-ranked AS (
-    SELECT doc_id, c, n, row_number() OVER (PARTITION BY w ORDER BY doc_id, c) AS r
-    FROM win WHERE c <= n - {WINDOW} OR c = 0),
-run AS (SELECT doc_id, c AS a, least(c + {WINDOW}, n) - 1 AS b FROM ranked WHERE r > 1),
+    SELECT doc_id, c, n, array_agg(b) OVER d AS w, array_agg(v) OVER d AS v
+    FROM counting WINDOW d AS (PARTITION BY doc_id ORDER BY c ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)),
+sized AS (  -- windows of m lines: the long ones, whole texts, and short ones with enough words
+    SELECT doc_id, c, m, list_slice(w, 1, m) AS w FROM (SELECT *, unnest(range(1, {WINDOW + 1})) AS m FROM win)
+    WHERE c + m <= n AND (m = {WINDOW} OR n = m OR list_sum(list_slice(v, 1, m)) >= {WORDS})),
+ranked AS (SELECT doc_id, c, m, row_number() OVER (PARTITION BY w ORDER BY doc_id, c) AS r FROM sized),
+run AS (SELECT doc_id, c AS a, c + m - 1 AS b FROM ranked WHERE r > 1),
 gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS c FROM run),
 span AS (  -- a gone line, and the blank ones up to the next counting line if that is gone too
     SELECT doc_id, i AS a, CASE WHEN lead(c) OVER d = c + 1 THEN lead(i) OVER d - 1 ELSE i END AS b

@@ -1,6 +1,7 @@
 """Winnowing against a comparison of every window with every earlier one."""
 
 import random
+import re
 
 import pytest
 
@@ -9,7 +10,7 @@ from lakeops.llm import linededup as D
 BLANK = " \t\n\x0b\f\r"
 
 
-def brute(rows, width=3):
+def brute(rows, width=3, words=50):
     """rows: (doc, text) with distinct ids; what is left, counting lines, lines gone."""
     seen, out = {}, {}
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
@@ -18,12 +19,15 @@ def brute(rows, width=3):
         bare = [lines[i].strip(BLANK) for i in at]
         n = len(bare)
         gone = set()
-        for i in range(max(0, n - width) + 1 if n else 0):
-            w = tuple(bare[i: i + width])
-            if w in seen:
-                gone.update(range(i, i + len(w)))
-            else:
-                seen[w] = (doc, i)
+        size = [len(re.findall(r"[^\x20\x09-\x0D]+", line)) for line in bare]
+        for i in range(n):
+            for m in range(1, min(width, n - i) + 1):
+                if m == width or m == n or sum(size[i: i + m]) >= words:
+                    w = tuple(bare[i: i + m])
+                    if w in seen:
+                        gone.update(range(i, i + m))
+                    else:
+                        seen[w] = (doc, i)
         cut = {at[c] for c in gone}
         for c in gone:
             if c + 1 in gone:
@@ -36,7 +40,7 @@ def brute(rows, width=3):
 @pytest.mark.parametrize("seed", range(4))
 def test_random_texts(spark, seed):
     rnd = random.Random(seed)
-    pool = ["a", "b ", "\tc", "", "  ", "d", "long line " * 9]
+    pool = ["a", "b ", "\tc", "", "  ", "d", "long line " * 9, "some\twords  " * 15, "w " * 49, "x\x0b" * 50, "nearly " * 24]
     passages = [[rnd.choice(pool) for _ in range(rnd.randint(2, 7))] for _ in range(6)]
     rows = []
     for i in range(60):
@@ -76,6 +80,19 @@ def test_very_long_text_and_one_hot_passage(spark):
     assert got[1] == ("first\nlast", 28_902, 28_900) and got[799][0] == "only 799\nof 799"
 
 
+def test_short_windows(spark):
+    long, half, other = "w " * 50, " ".join(f"h{i}" for i in range(30)), " ".join(f"o{i}" for i in range(25))
+    texts = [
+        long.strip(), f"one\n{long}\ntwo", f"{half}\n\n{other}", f"a\nb\n{half}\n{other}\nc\nd", f"{half}\nbetween\n{other}",
+        f"x\n{half}\ny", " ".join(["s"] * 49), f"p\n{' '.join(['s'] * 49)}\nq", f"{long}\n{long}\n{long}", "short", "short", "v\nshort\nw"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: (r.text, r.n, r.gone) for r in D.dedup_lines(df, counts=("n", "gone")).collect()}
+    assert got == brute(rows)
+    assert got[1] == ("one\ntwo", 3, 1) and got[3] == ("a\nb\nc\nd", 6, 2) and got[8] == ("", 3, 3)
+    assert all(got[i][2] == 0 for i in (0, 2, 4, 5, 6, 7, 9, 11)) and got[10] == ("", 1, 1)
+
+
 def test_native_plan(spark, sf):
     plan = D.query(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
