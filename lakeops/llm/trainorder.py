@@ -43,6 +43,7 @@ from lakeops.llm import common, tokens, words as W
 SEQUENCE = 2048
 SHARD_ROWS = 8192
 BLOCK = 32  # sequences
+LEVEL = 1  # of compression between stages
 ROUNDS = 6
 PAD = 0
 KEY = "training-order"
@@ -93,7 +94,7 @@ def blocks(docs: DataFrame, *, key: str, text: str, path: str, size: int, width:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, dtype = TaskContext.get().partitionId(), f"<u{width}"
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=LEVEL)
         begin, held, names, ends, key_type, goes_on = 0, [], [], [], None, False
 
         def block() -> pa.RecordBatch:
@@ -139,7 +140,7 @@ def _parts(stream: DataFrame, base: dict[int, int], order: Permutation, *, lengt
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bases, permute = shared.value
-        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        pack, unpack = zstandard.ZstdCompressor(level=LEVEL), zstandard.ZstdDecompressor()
         for b in batches:
             for r in range(b.num_rows):
                 part, begin, n = (b.column(i)[r].as_py() for i in range(3))
