@@ -56,36 +56,38 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def windows(lines: DataFrame, width: int = WINDOW, words: int = WORDS) -> DataFrame:
-    """``k``, ``t`` and ``w``: an array of each window's first line ``i``, number of lines ``m``,
-    fingerprint ``f`` at line ``p``, and hash ``g`` of all its lines."""
+    """``k``, ``t``, ``h`` and ``w``: an array of each window's first line ``i``, number of lines
+    ``m``, fingerprint ``f`` at line ``p``, and hash ``g`` of all its lines."""
     n = F.size("h")
     shifted = [F.slice(c, F.lit(j + 1), n).alias(f"{c}{j}") for j in range(width) for c in ("h", "v")]
-    zipped = lines.select("k", "t", F.arrays_zip(*shifted).alias("w"))
+    zipped = lines.select("k", "t", "h", F.arrays_zip(*shifted).alias("w"))
 
     def of(w: Column, i: Column, m: int) -> Column:
         parts = [w[f"h{j}"] for j in range(m)]  # null behind the last line, which hashes and least() skip
         least = F.least(*parts) if m > 1 else parts[0]
         at = F.coalesce(*(F.when(h == least, F.lit(j)) for j, h in enumerate(parts)))
         return F.struct(
-            i.alias("i"), F.least(F.lit(m), F.size("w") - i).alias("m"), least.alias("f"), (i + at).alias("p"), F.xxhash64(*parts).alias("g"))
+            i.alias("i"), F.least(F.lit(m), n - i).alias("m"), least.alias("f"), (i + at).alias("p"), F.xxhash64(*parts).alias("g"))
 
     def at(w: Column, i: Column) -> Column:
         long = F.when((i == 0) | w[f"h{width - 1}"].isNotNull(), of(w, i, width))
         short = []
         for m in range(1, width):
             enough = functools.reduce(operator.add, (w[f"v{j}"] for j in range(m))) >= words
-            short.append(F.when(enough & (F.size("w") > m), of(w, i, m)))  # a text of m lines is a window anyway
+            short.append(F.when(enough & (n > m), of(w, i, m)))  # a text of m lines is a window anyway
         return F.array_compact(F.array(long, *short))
 
-    return zipped.select("k", "t", F.flatten(F.transform("w", at)).alias("w"))
+    return zipped.select("k", "t", "h", F.flatten(F.transform("w", at)).alias("w"))
 
 
 def repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WINDOW, words: int = WORDS) -> DataFrame:
     """``k``, ``t`` and ``gone``: the sorted numbers of the counting lines in windows that occur earlier."""
     own = windows(common.written(_lines(docs, key, text), "lines"), width, words)
-    marks = own.select(F.explode(F.array_distinct(F.transform("w", lambda w: F.struct(w["f"].alias("f"), w["p"].alias("p"))))).alias("m"))
-    twice = marks.groupBy(F.col("m")["f"].alias("f")).agg(F.count("*").alias("n")).filter("n > 1").select("f")
-    placed = own.select("k", "t", F.inline("w")).join(twice, "f")
+    marked = F.array_distinct(F.transform("w", lambda w: w["p"]))  # a line is the fingerprint of several windows
+    # The outer forms: no text is without a window, and the others evaluate it twice, to filter.
+    marks = own.select(F.explode_outer(F.transform(marked, lambda p: F.element_at("h", p + 1))).alias("f"))
+    twice = marks.groupBy("f").agg(F.count("*").alias("n")).filter("n > 1").select("f")
+    placed = own.select("k", "t", F.inline_outer("w")).join(twice, "f")
     place = F.struct(F.col("k").isNotNull().alias("has"), "k", "i")
     first = placed.groupBy("f", "g").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = placed.join(first, ["f", "g"]).filter(place > F.col("first"))
