@@ -22,6 +22,9 @@ and a class is what links connect.
    classes; a task gets two blocks and counts all overlaps of their full sets as one
    matrix product, so pairs are never rows and only links come out.
 
+A document may come with another version of its text (``one_of_each``): then it has two
+sets, and is linked where either of them is.
+
 Defined results: null texts and texts without words have an empty set and are linked
 with nothing. Rows of one id and one text are one document; rows of one id and other
 texts, null ids too, are judged each by its own text. A null id is kept as it is, greater
@@ -86,15 +89,20 @@ def _set_hash(s: np.ndarray) -> int:
     return int(W.mix(np.add.reduce(W.mix(s), keepdims=True) + np.uint64(len(s)))[0].astype(np.int64))
 
 
-def sketches(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """``k``, ``t`` (hash of the text), ``n`` (set size), ``c`` (hash of the set) and ``bands``."""
+def _own(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``k``, ``t`` (hash of the document's text), ``x`` (hash of this text) and ``text``."""
+    return docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.xxhash64(text).alias("x"), F.col(text).alias("text"))
+
+
+def sketches(texts: DataFrame, k: int) -> DataFrame:
+    """``k``, ``t``, ``x``, ``n`` (set size), ``c`` (hash of the set) and ``bands`` of ``_own`` texts."""
     schema = T.StructType([
-        docs.schema[key].__class__("k", docs.schema[key].dataType), T.StructField("t", T.LongType()), T.StructField("n", T.LongType()),
+        texts.schema["k"], T.StructField("t", T.LongType()), T.StructField("x", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("c", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column = b.column(2).cast(pa.large_string()).fill_null("")
+            column = b.column(3).cast(pa.large_string()).fill_null("")
             n, c, keys = [], [], []
             for s in shingle_sets(column, k):
                 n.append(len(s))
@@ -103,20 +111,20 @@ def sketches(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
             flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *keys]))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat)], schema.names)
+                [*b.columns[:3], pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat)], schema.names)
 
-    return docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.col(text)).mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def _similar_sizes(a, b, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _texts(docs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+def _texts(own: DataFrame, classes: DataFrame) -> DataFrame:
     """The text of each of ``classes`` (``c``, one row each), by the id ``rep`` and the
-    text's hash ``t`` of one of its documents."""
-    own = docs.select(F.col(key).alias("k_"), F.xxhash64(text).alias("t_"), F.col(text).alias("text"))
-    found = own.join(classes.select("c", "rep", "t"), F.col("k_").eqNullSafe(F.col("rep")) & (F.col("t_") == F.col("t")))
+    hash ``x`` of one of its texts."""
+    rows = own.select(F.col("k").alias("k_"), F.col("x").alias("x_"), "text")
+    found = rows.join(classes.select("c", "rep", "x"), F.col("k_").eqNullSafe(F.col("rep")) & (F.col("x_") == F.col("x")))
     return found.groupBy("c").agg(F.max("text").alias("text"))
 
 
@@ -211,15 +219,18 @@ def _family_links(prefix: DataFrame, texts: DataFrame, k: int, percent: int) ->
 
 
 def _place(k: str):
-    return F.struct(F.col(k).isNull().alias("last"), F.col(k).alias("rep"), "t")
+    return F.struct(F.col(k).isNull().alias("last"), F.col(k).alias("rep"), "t", "x")
 
 
-def _judged(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """One row per document: ``k``, ``t``, ``n``, ``component_id`` and ``kept``."""
-    rows = common.written(sketches(docs, key, text, k), "sketches")
+def _judged(own: DataFrame, k: int, percent: int) -> DataFrame:
+    """One row per document of ``own`` (see ``_own``; rows of which ``x`` is not ``t`` are versions of
+    a document): ``k``, ``t``, ``n``, ``component_id`` and ``kept``."""
+    rows = common.written(sketches(own, k), "sketches")
     some = rows.filter("n > 0")
+    # the sets of one document are linked from the start
+    sets = some.groupBy("k", "t").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("a", "b").distinct()
     buckets = some.groupBy("c").agg(F.first("bands").alias("bands"), F.min(_place("k")).alias("place"), F.min("n").alias("n"))
-    buckets = common.written(buckets.select("c", "bands", F.col("place")["rep"].alias("rep"), F.col("place")["t"].alias("t"), "n"), "classes")
+    buckets = common.written(buckets.select("c", "bands", F.col("place")["rep"].alias("rep"), F.col("place")["t"].alias("t"), F.col("place")["x"].alias("x"), "n"), "classes")
     classes = buckets.drop("bands")
     member = buckets.select("c", "rep", "n", F.explode("bands").alias("band"))
     lead = F.struct(F.col("rep").isNull().alias("last"), "rep", "c", "n")
@@ -232,8 +243,8 @@ def _judged(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataF
     pairs = pairs.filter(_similar_sizes(F.col("na"), F.col("nb"), percent))
     pairs = common.written(pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct().withColumnsRenamed({"x": "a", "y": "b"}), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    texts = common.written(_texts(docs, classes.join(ends, "c"), key, text), "texts")
-    links = common.written(confirmed(pairs, texts, k=k, percent=percent), "links")
+    texts = common.written(_texts(own, classes.join(ends, "c")), "texts")
+    links = common.written(confirmed(pairs, texts, k=k, percent=percent).unionByName(sets), "links")
     joined = common.written(graph.components(links), "components")
 
     # Exactly, what the stars leave.
@@ -241,7 +252,7 @@ def _judged(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataF
     named = named.withColumn("comp", F.coalesce("comp", "c"))
     mixed = named.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("band")
     rest = common.written(named.join(mixed, "band").groupBy("c").agg(F.min("comp").alias("comp"), F.min("n").alias("n")), "rest")
-    rest_texts = common.written(_texts(docs, classes.join(rest.select("c"), "c"), key, text), "texts")
+    rest_texts = common.written(_texts(own, classes.join(rest.select("c"), "c")), "texts")
     prefix = common.written(_prefixes(rest, rest_texts, k, percent), "prefixes")
     late = common.written(_family_links(prefix, rest_texts, k, percent), "links")
     whole = graph.components(links.unionByName(late)).withColumnsRenamed({"node": "c", "component": "comp"})
@@ -249,7 +260,7 @@ def _judged(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataF
     labelled = classes.join(whole, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     first = labelled.groupBy("comp").agg(F.min(_place("rep")).alias("first"))
     named = common.written(labelled.join(first, "comp").select("c", "first"), "named")
-    out = rows.select("k", "t", "n", "c").join(named, "c", "left")
+    out = rows.filter("t = x").select("k", "t", "n", "c").join(named, "c", "left")
     kept = F.col("first").isNull() | (F.col("k").eqNullSafe(F.col("first")["rep"]) & (F.col("t") == F.col("first")["t"]))
     return out.select("k", "t", "n", F.coalesce(F.col("first")["rep"], "k").alias("component_id"), kept.alias("kept"))
 
@@ -257,16 +268,30 @@ def _judged(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataF
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``key``, ``n_shingles``, ``component_id`` (the smallest id of
     its class) and ``kept`` (it is that one)."""
-    out = _judged(docs, key, text, k, percent)
+    out = _judged(_own(docs, key, text), k, percent)
     return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each class: the smallest id, columns unchanged."""
-    own, gone, hashed = (common.fresh(docs.columns, c) for c in ("own_hash", "gone_id", "gone_hash"))
-    found = _judged(docs, key, text, k, percent).filter("not kept").select(F.col("k").alias(gone), F.col("t").alias(hashed)).distinct()
-    on = F.col(key).eqNullSafe(F.col(gone)) & (F.col(own) == F.col(hashed))
-    return docs.withColumn(own, F.xxhash64(text)).join(found, on, "left_anti").drop(own)
+def _versions(docs: DataFrame, other: DataFrame, key: str, text: str) -> DataFrame:
+    """The texts of ``other`` that differ from that of the document of the same id, as in
+    ``_own``. An id that ``other`` has twice names no text, so it has no version."""
+    hashes = other.groupBy(F.col(key).alias("k")).agg(F.max(F.xxhash64(text)).alias("x"), F.count("*").alias("rows")).filter("rows = 1 AND k IS NOT NULL")
+    changed = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("t")).distinct().join(hashes.drop("rows"), "k").filter("t <> x")
+    texts = other.select(F.col(key).alias("k"), F.xxhash64(text).alias("x"), F.col(text).alias("text"))
+    return texts.join(changed, ["k", "x"]).select("k", "t", "x", "text")
+
+
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT,
+                other: DataFrame | None = None) -> DataFrame:
+    """``docs`` with one document of each class: the smallest id, columns unchanged. ``other``
+    (``key``, ``text``) has further versions of the texts, which link documents as well."""
+    own = _own(docs, key, text)
+    if other is not None:
+        own = own.unionByName(_versions(docs, other, key, text))
+    mine, gone, hashed = (common.fresh(docs.columns, c) for c in ("own_hash", "gone_id", "gone_hash"))
+    found = _judged(own, k, percent).filter("not kept").select(F.col("k").alias(gone), F.col("t").alias(hashed)).distinct()
+    on = F.col(key).eqNullSafe(F.col(gone)) & (F.col(mine) == F.col(hashed))
+    return docs.withColumn(mine, F.xxhash64(text)).join(found, on, "left_anti").drop(mine)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,3 +123,19 @@ def test_components(spark):
         ra, rb = sorted((find(a), find(b)))
         root[rb] = ra
     assert {x: c for x, c in got.items()} == {x: find(x) for x in root if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_versions_link_documents(spark):
+    rnd = random.Random(8)
+    base = [f"w{rnd.randint(0, 9999)}" for _ in range(100)]
+    near = [*base[:96], "other", *base[97:]]
+    text = " ".join
+    now = [(1, text(base[:30])), (2, text(near[40:])), (3, "alone with its own words"), (4, text(base[:30])), (5, "alone too, nothing else here"),
+           (None, "no id"), (6, "twice in the other table"), (7, None)]
+    whole = [(1, text(base)), (2, text(near)), (3, "alone with its own words"), (5, "a longer version of five"), (5, "and another one"),
+             (6, text(base)), (6, text(near)), (8, text(base)), (None, text(base)), (7, text(near))]
+    df, other = (spark.createDataFrame(x, "doc_id bigint, text string").repartition(3) for x in (now, whole))
+    one = M.one_of_each(df, other=other)
+    # 1 and 2 by their whole texts, 4 and 1 by what is left of them; a null text of 7 keeps its row
+    assert sorted(r.doc_id or 0 for r in one.collect()) == [0, 1, 3, 5, 6, 7]
+    assert sorted(r.doc_id or 0 for r in M.one_of_each(df).collect()) == [0, 1, 2, 3, 5, 6, 7]
