@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.llm import common, decontaminate, langid, linededup, minhash, packing
 
-SHINGLE = 5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or with too few n-grams of a known language, go."""
@@ -26,8 +24,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates (shingles of five words, similarity 0.8) the smallest id stays."""
-    return minhash.one_of_each(docs, k=SHINGLE)
+    """Of near duplicates (shingles of four words, similarity 0.8) the smallest id stays.
+    Cut lines make copies less alike, so documents are near duplicates by what is left of
+    them or by their whole texts in ``documents``."""
+    return minhash.one_of_each(docs, other=common.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
