@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.bindings.base import averaged, EVENTS_AS_OF, KINDS, query, raw_posts, raw_users, rounded, table
-from lakeops.operators import scoring
+from lakeops.operators import metrics, scoring
 from lakeops.plans import marts, pipelines
+from lakeops.session import scratch_dir
 
 AS_OF = EVENTS_AS_OF
 
@@ -215,3 +216,33 @@ def _(spark, sf):
     inputs = ["n_events", "active_days", *[f"n_{k}" for k in KINDS]]
     model = scoring.train_forest(data, inputs, "high_value")
     return scoring.score(model, data, ["user_id"], inputs, "v1")
+
+
+@query(
+    "m8_feature_scores_hold",
+    """WITH u AS (SELECT user_id, avg(value) > 50 AS high FROM events GROUP BY 1)
+       SELECT count(*) AS rows, count(DISTINCT user_id) AS ids, count(*) AS likely,
+              greatest(count(*) FILTER (WHERE high), count(*) FILTER (WHERE NOT high)) AS majority, true AS beats_majority FROM u""",
+)
+def _(spark, sf):
+    features = marts.user_features(table(spark, sf, "events"), KINDS)
+    data = features.withColumn("high_value", (F.col("avg_value") > 50).cast("string"))
+    inputs = ["n_events", "active_days", *[f"n_{k}" for k in KINDS]]
+    scored = scoring.score(scoring.train_forest(data, inputs, "high_value"), data, ["user_id"], inputs, "v1")
+    most = data.groupBy("high_value").count().agg(F.max("count")).first()[0]
+    return scored.join(data.select("user_id", "high_value"), "user_id").agg(
+        F.count("*").alias("rows"), F.countDistinct("user_id").alias("ids"),
+        F.count_if(F.col("probability").between(0.5 - 1e-9, 1 + 1e-9)).alias("likely"), F.lit(most).alias("majority"),
+        (F.count_if(F.col("prediction") == F.col("high_value")) >= most).alias("beats_majority"))
+
+
+@query(
+    "a5_monthly_users_from_days",
+    "SELECT date_trunc('month', ts)::DATE AS month, event_type, count(DISTINCT user_id) AS unique_users FROM events GROUP BY 1, 2",
+)
+def _(spark, sf):
+    """Distinct users of a month from a written table of daily bitmaps."""
+    path = scratch_dir(spark, "daily-users")
+    metrics.daily_bitmaps(table(spark, sf, "events"), ["event_type"], "ts").write.partitionBy("date").parquet(path)
+    days = spark.read.parquet(path)
+    return metrics.distinct_users(days, F.trunc("date", "month").alias("month"), "event_type")

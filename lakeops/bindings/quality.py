@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.bindings.base import ORACLES, averaged, EVENTS_AS_OF, query, raw_posts, raw_users, rounded, table
+from lakeops.bindings.base import ORACLES, averaged, EVENTS_AS_OF, POSTS_SQL, USERS_SQL, query, raw_posts, raw_users, rounded, table
 from lakeops.functions import masks, pii
 from lakeops.operators import anomaly, checks, profile, suite
 from lakeops.operators.checks import Expectation as E, Suite
@@ -148,6 +148,21 @@ def _(spark, sf):
     return shown(suite.run_suite(dates, Suite("d", (E("dateutil_parseable", "text", mostly=0.0),))))
 
 
+@query(
+    "q11_dates_that_parse",
+    result_sql(
+        "(SELECT o_orderkey, 'x' AS text FROM orders)",
+        [map_row(0, "dateutil_parseable", "text", "o_orderkey % 3 = 0", 0.3)],
+    ),
+)
+def _(spark, sf):
+    day = F.to_date("o_orderdate")
+    good = F.when(F.col("o_orderkey") % 2 == 0, day.cast("string")).otherwise(F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
+    dates = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 3 == 0, good).otherwise(F.concat("o_orderstatus", F.substr(day.cast("string"), F.lit(2)))).alias("text"))
+    return shown(suite.run_suite(dates, Suite("d", (E("dateutil_parseable", "text", mostly=0.3),))))
+
+
 @query(
     "q12_increasing",
     """WITH s AS (SELECT event_id AS v, lag(event_id) OVER (ORDER BY ts, event_id) AS b FROM events)
@@ -237,11 +252,63 @@ def _(spark, sf):
     return rounded(out, value=6, **_Z)
 
 
-@query("q21_run_suite")
+def _unique_row(at: int, column: str, source: str):
+    n = f"count({column})"
+    bad = f"(SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM ({source}) WHERE {column} IS NOT NULL GROUP BY {column}) WHERE k > 1)"
+    return (at, "unique", column, f"{bad} = 0", n, bad, "NULL")
+
+
+def _not_null(at: int, column: str):
+    return map_row(at, "not_null", column, f"{column} IS NOT NULL", n="count(*)")
+
+
+def _rows(at: int, most: int):
+    return (at, "row_count_between", None, f"count(*) BETWEEN 1 AND {most}", "count(*)", "NULL", "count(*)")
+
+
+def _schema_row(at: int, name: str, column: str | None, observed: str):
+    return (at, name, column, "count(*) >= 0", "NULL", "NULL", f"max('{observed}')")
+
+
+# the staged model's own columns
+_POSTS_RESULTS = result_sql(
+    f"({POSTS_SQL})",
+    [
+        _rows(0, 1_000_000), _schema_row(1, "columns_match_ordered_list", None, "post_id,user_id,title,body,loaded_at"),
+        _not_null(2, "post_id"), _unique_row(3, "post_id", POSTS_SQL), _not_null(4, "user_id"), _schema_row(5, "type_in_list", "user_id", "bigint"),
+        _not_null(6, "title"), map_row(7, "length_between", "title", "length(title) BETWEEN 1 AND 500"), _not_null(8, "body"),
+        map_row(9, "length_between", "body", "length(body) BETWEEN 1 AND 10000"), _not_null(10, "loaded_at"),
+        _schema_row(11, "of_type", "loaded_at", "timestamp"),
+    ],
+)
+_USERS_RESULTS = result_sql(
+    f"({USERS_SQL})",
+    [
+        _rows(0, 100_000), _schema_row(1, "columns_match_set", None, "user_id"), _not_null(2, "user_id"), _unique_row(3, "user_id", USERS_SQL),
+        _not_null(4, "username"), _unique_row(5, "username", USERS_SQL), _not_null(6, "email"), _unique_row(7, "email", USERS_SQL),
+        map_row(8, "matches_regex", "email", r"regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$')"),
+        map_row(9, "length_between", "email", "length(email) BETWEEN 5 AND 255"), _not_null(10, "loaded_at"),
+    ],
+)
+
+
+@query("q21_run_suite", _POSTS_RESULTS)
 def _(spark, sf):
     return shown(suite.run_suite(stage_posts(raw_posts(spark, sf)), POSTS_SUITE))
 
 
+@query("q21_suite_at_write", _POSTS_RESULTS)
+def _(spark, sf):
+    """The same results, taken while the model is written."""
+    path = scratch_dir(spark, "posts")
+
+    def write(posts):
+        posts.write.parquet(path)
+        return spark.read.schema(posts.schema).parquet(path)
+
+    return shown(suite.write_checked(stage_posts(raw_posts(spark, sf)), POSTS_SUITE, write))
+
+
 def _checkpoint(spark, sf):
     return suite.run_checkpoint(
         spark,
@@ -254,7 +321,12 @@ def _checkpoint(spark, sf):
     )
 
 
-@query("q22_run_checkpoint")
+@query(
+    "q22_run_checkpoint",
+    f"""SELECT bool_and(success) AS success, count(*) AS evaluated, count(*) FILTER (WHERE success) AS successful,
+               count(*) FILTER (WHERE NOT success) AS unsuccessful
+        FROM ({_POSTS_RESULTS} UNION ALL {_USERS_RESULTS} UNION ALL {ORACLES["q3_q9_suite_maps"]})""",
+)
 def _(spark, sf):
     return suite.checkpoint_outcome(_checkpoint(spark, sf))
 

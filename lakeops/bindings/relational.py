@@ -17,6 +17,7 @@ from lakeops.bindings.base import (
 )
 from lakeops.functions.casts import lenient_double, lenient_long
 from lakeops.operators import joins, merge, metrics, ordered, staging
+from lakeops.session import scratch_dir
 from lakeops.sources import readers
 
 AS_OF = EVENTS_AS_OF
@@ -39,6 +40,26 @@ def _(spark, sf):
     return readers.file_inventory(table(spark, sf, "lineitem"), "raw", threshold_bytes=10**12)
 
 
+@query(
+    "s7_sample_is_contained",
+    "SELECT least(count(*), 100) AS rows, least(count(*), 100) AS distinct_rows, least(count(*), 100) AS contained FROM orders",
+)
+def _(spark, sf):
+    orders = table(spark, sf, "orders")
+    taken = readers.sample_rows(orders, 100, seed=7).withColumn("taken", F.lit(1))
+    both = taken.select(F.struct(*orders.columns).alias("row"), "taken").join(
+        orders.select(F.struct(*orders.columns).alias("row"), F.lit(1).alias("there")), "row", "left")
+    return both.agg(F.sum("taken").alias("rows"), F.countDistinct("row").alias("distinct_rows"), F.sum("there").alias("contained"))
+
+
+@query("s8_inventory_of_written", "SELECT 'raw' AS layer, count(DISTINCT o_orderstatus) AS object_count, true AS some_bytes, true AS over_threshold FROM orders")
+def _(spark, sf):
+    path = scratch_dir(spark, "inventory")
+    table(spark, sf, "orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    found = readers.file_inventory(spark.read.parquet(path), "raw", threshold_bytes=1)
+    return found.select("layer", "object_count", (F.col("total_bytes") > 100).alias("some_bytes"), "over_threshold")
+
+
 @query("p1_stage_posts", POSTS_SQL)
 def _(spark, sf):
     return staging.stage_posts(raw_posts(spark, sf))

@@ -207,3 +207,23 @@ def _(spark, sf):
     schema = StructType.fromDDL("id bigint NOT NULL, name string, note string")
     nation = table(spark, sf, "nation").withColumnsRenamed({"n_nationkey": "id", "n_name": "name"})
     return writers.conform(nation, schema)
+
+
+@query("l1_distinct_ids", "SELECT 2 * count(*) AS rows, 2 * count(DISTINCT o_orderkey) AS ids, 2 * count(DISTINCT o_orderkey) AS repeated_ids FROM orders")
+def _(spark, sf):
+    """Different rows and different loads have different ids; a repeated load has the same."""
+    orders = table(spark, sf, "orders")
+    loads = [writers.add_ingest_metadata(orders.repartition(n), load, INGESTED_AT) for n, load in ((3, "load-1"), (5, "load-2"))]
+    again = [writers.add_ingest_metadata(orders, load, INGESTED_AT) for load in ("load-1", "load-2")]
+    ids = lambda frames: frames[0].unionByName(frames[1]).select("_dlt_id")
+    seen = ids(loads).agg(F.count("*").alias("rows"), F.countDistinct("_dlt_id").alias("ids"))
+    same = ids(loads).distinct().join(ids(again).distinct(), "_dlt_id").agg(F.count("*").alias("repeated_ids"))
+    return seen.withColumn("_one", F.lit(1)).join(same.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+@query("l12_archive_footers", "SELECT 'ZSTD' AS codec, count(*) AS rows FROM events WHERE ts < TIMESTAMP '2024-01-16'")
+def _(spark, sf):
+    base = scratch_dir(spark, "raw")
+    path = writers.write_raw(table(spark, sf, "events"), base, "events", ts="ts")
+    maintenance.apply_retention(spark, path, "raw", "2024-04-15", f"{base}/archive")
+    return readers.parquet_codecs(spark.read.parquet(f"{base}/archive")).groupBy("codec").agg(F.sum("rows").alias("rows"))

@@ -153,3 +153,22 @@ def _(spark, sf):
     e = table(spark, sf, "embeddings")
     model = scoring.train_forest(e, "embedding", "label")
     return scoring.score(model, e, ["vec_id"], "embedding", "v1")
+
+
+@query(
+    "v8_scores_hold",
+    """SELECT count(*) AS rows, count(DISTINCT vec_id) AS ids, count(*) AS likely, (SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label)) AS majority,
+              true AS beats_majority FROM embeddings""",
+)
+def _(spark, sf):
+    """Every vector is scored once, with a probability over that of chance, and more of
+    them rightly than the most frequent label would be."""
+    e = table(spark, sf, "embeddings")
+    scored = scoring.score(scoring.train_forest(e, "embedding", "label"), e, ["vec_id"], "embedding", "v1")
+    labels = e.groupBy("label").count()
+    most, kinds = labels.agg(F.max("count"), F.count("*")).first()
+    right = F.col("prediction") == F.col("label").cast("string")
+    return scored.join(e.select("vec_id", "label"), "vec_id").agg(
+        F.count("*").alias("rows"), F.countDistinct("vec_id").alias("ids"),
+        F.count_if(F.col("probability").between(1 / kinds - 1e-9, 1 + 1e-9)).alias("likely"), F.lit(most).alias("majority"),
+        (F.count_if(right) > most).alias("beats_majority"))

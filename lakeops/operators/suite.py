@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from lakeops.functions.timeparts import Moment, instant, moment
 from lakeops.operators import checks
 from lakeops.operators.checks import Expectation, Suite
-from lakeops.operators.ordered import exact_quantile, order_violations
+from lakeops.operators.ordered import exact_quantiles, order_violations
 
 RESULT_SCHEMA = (
     "suite string, position int, expectation string, column string, success boolean, "
@@ -43,22 +43,15 @@ def _within(value: Column, low=None, high=None) -> Column:
     return F.coalesce(checks._between(value, low, high), F.lit(False))
 
 
-def _one_pass(df: DataFrame, suite: Suite, wanted: list[tuple[int, Expectation]]) -> DataFrame:
-    """All map, row-count, mean and stdev checks from a single aggregate.
-
-    Predicates are projected first, so that each is computed once per row although
-    it is counted twice.
-    """
-    measured = {e.column for _, e in wanted if e.name in checks.AGGREGATE_EXPECTATIONS}
-    verdicts = [
-        checks.is_expected(e).alias(f"e{at}") for at, e in wanted if e.name in checks.MAP_EXPECTATIONS
-    ]
-    judged = df.select(*verdicts, *[F.col(c).alias(f"m_{c}") for c in sorted(measured)])
+def _measures(suite: Suite, wanted: list[tuple[int, Expectation]], verdict: Callable[[int, Expectation], Column], measured: Callable[[str], Column]):
+    """Aggregates of all map, row-count, mean and stdev checks, and the result rows over
+    them. ``verdict`` and ``measured`` give the column of a check and of a measure."""
     aggs, rows = [F.count(F.lit(1)).alias("rows")], []
     for at, e in wanted:
         name = f"e{at}"
         if e.name in checks.MAP_EXPECTATIONS:
-            aggs += [F.count(name).alias(f"{name}_n"), F.count_if(~F.col(name)).alias(f"{name}_bad")]
+            ok = verdict(at, e)
+            aggs += [F.count(ok).alias(f"{name}_n"), F.count_if(~ok).alias(f"{name}_bad")]
             n, bad = F.col(f"{name}_n"), F.col(f"{name}_bad")
             cells = _result(suite.name, at, e, _mostly(n - bad, n, e.mostly), n, bad, F.lit(None))
         elif e.name == "row_count_between":
@@ -66,13 +59,27 @@ def _one_pass(df: DataFrame, suite: Suite, wanted: list[tuple[int, Expectation]]
             cells = _result(suite.name, at, e, ok, F.col("rows"), F.lit(None), F.col("rows"))
         else:
             measure = F.avg if e.name == "mean_between" else F.stddev_samp
-            source = f"m_{e.column}"
-            aggs += [measure(source).alias(f"{name}_v"), F.count(source).alias(f"{name}_n")]
+            aggs += [measure(measured(e.column)).alias(f"{name}_v"), F.count(measured(e.column)).alias(f"{name}_n")]
             value = F.col(f"{name}_v")
             cells = _result(
                 suite.name, at, e, _within(value, **e.kwargs), F.col(f"{name}_n"), F.lit(None), value
             )
         rows.append(F.struct(*cells))
+    return aggs, rows
+
+
+def _one_pass(df: DataFrame, suite: Suite, wanted: list[tuple[int, Expectation]]) -> DataFrame:
+    """All map, row-count, mean and stdev checks from a single aggregate.
+
+    Predicates are projected first, so that each is computed once per row although
+    it is counted twice.
+    """
+    measured = {e.column for _, e in wanted if e.name in checks.AGGREGATE_EXPECTATIONS}
+    verdicts = [
+        checks.is_expected(e).alias(f"e{at}") for at, e in wanted if e.name in checks.MAP_EXPECTATIONS
+    ]
+    judged = df.select(*verdicts, *[F.col(c).alias(f"m_{c}") for c in sorted(measured)])
+    aggs, rows = _measures(suite, wanted, lambda at, _: F.col(f"e{at}"), lambda c: F.col(f"m_{c}"))
     return judged.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
@@ -93,8 +100,8 @@ def _increasing(df: DataFrame, suite: Suite, at: int, e: Expectation) -> DataFra
     return sums.select(*_result(suite.name, at, e, _mostly(n - bad, n, e.mostly), n, bad, F.lit(None)))
 
 
-def _median(df: DataFrame, suite: Suite, at: int, e: Expectation) -> DataFrame:
-    value = F.lit(exact_quantile(df, e.column)).cast("double")
+def _median(df: DataFrame, suite: Suite, at: int, e: Expectation, median: float | None) -> DataFrame:
+    value = F.lit(median).cast("double")
     counted = df.agg(F.count(e.column).alias("n"))
     return counted.select(
         *_result(suite.name, at, e, _within(value, **e.kwargs), F.col("n"), F.lit(None), value)
@@ -117,33 +124,64 @@ def _from_schema(df: DataFrame, e: Expectation) -> tuple[bool, str]:
     return any(checks.accepted_type(kind, t) for t in accepted), checks.type_name(kind)
 
 
-def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """One result row per expectation, in suite order (``position``).
+_ONE_PASS = (*checks.AGGREGATE_EXPECTATIONS, "row_count_between")
 
-    Everything that is a plain count or moment shares one scan; uniqueness and
-    order checks add one shuffle each; schema checks read no data.
-    """
-    one_pass, parts = [], []
+
+def _is_one_pass(e: Expectation) -> bool:
+    return e.name in checks.MAP_EXPECTATIONS or e.name in _ONE_PASS
+
+
+def _other_parts(df: DataFrame, suite: Suite) -> list[DataFrame]:
+    """Results of the expectations that one aggregate can't give."""
+    parts = []
+    medians = {e.column: [0.5] for e in suite.expectations if e.name == "median_between"}
+    found = exact_quantiles(df, medians) if medians else {}
     for at, e in enumerate(suite.expectations):
-        if e.name in checks.MAP_EXPECTATIONS or e.name in (
-            *checks.AGGREGATE_EXPECTATIONS, "row_count_between"
-        ):
-            one_pass.append((at, e))
-        elif e.name == "unique":
+        if _is_one_pass(e):
+            continue
+        if e.name == "unique":
             parts.append(_unique(df, suite, at, e))
         elif e.name == "increasing":
             parts.append(_increasing(df, suite, at, e))
         elif e.name == "median_between":
-            parts.append(_median(df, suite, at, e))
+            parts.append(_median(df, suite, at, e, found[e.column, 0.5]))
         elif e.name in checks.TABLE_EXPECTATIONS:
             success, observed = _from_schema(df, e)
             row = (suite.name, at, e.name, e.column, success, None, None, None, observed)
             parts.append(df.sparkSession.createDataFrame([row], RESULT_SCHEMA))
         else:
             raise ValueError(f"unknown expectation {e.name!r}")
-    if one_pass:
-        parts.insert(0, _one_pass(df, suite, one_pass))
-    return reduce(DataFrame.unionByName, parts).select(*_COLUMNS)
+    return parts
+
+
+def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
+    """One result row per expectation, in suite order (``position``).
+
+    Everything that is a plain count or moment shares one scan; uniqueness and
+    order checks add one shuffle each, medians three jobs together; schema checks read
+    no data.
+    """
+    one_pass = [(at, e) for at, e in enumerate(suite.expectations) if _is_one_pass(e)]
+    parts = [_one_pass(df, suite, one_pass)] if one_pass else []
+    return reduce(DataFrame.unionByName, parts + _other_parts(df, suite)).select(*_COLUMNS)
+
+
+def write_checked(df: DataFrame, suite: Suite, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``run_suite`` on what ``write`` writes, with the plain counts and moments taken while the
+    rows are written: they cost no scan.
+
+    ``write`` gets the frame, writes it with one action and returns the table that it
+    wrote, on which the other expectations (uniqueness, order, medians) run.
+    """
+    one_pass = [(at, e) for at, e in enumerate(suite.expectations) if _is_one_pass(e)]
+    aggs, rows = _measures(suite, one_pass, lambda _, e: checks.is_expected(e), F.col)
+    observation = Observation(f"suite {suite.name}")
+    written = write(df.observe(observation, *aggs))
+    seen = observation.get
+    kinds = df.agg(*aggs).schema  # analysed only
+    counts = df.sparkSession.createDataFrame([tuple(seen[f.name] for f in kinds.fields)], kinds)
+    parts = [counts.select(F.inline(F.array(*rows)))] if one_pass else []
+    return reduce(DataFrame.unionByName, parts + _other_parts(written, suite)).select(*_COLUMNS)
 
 
 def run_checkpoint(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -149,3 +152,23 @@ def input_bytes(df: DataFrame) -> int:
     path = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
     return sum(path(f).getFileSystem(conf).getFileStatus(path(f)).getLen() for f in files)
+
+
+def parquet_codecs(df: DataFrame) -> DataFrame:
+    """``codec`` and ``rows`` of every row group behind a Parquet frame, from the footers alone,
+    which tasks read."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs, parquet
+
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                files, path = fs.FileSystem.from_uri(name)
+                with files.open_input_file(path) as source:
+                    footer = parquet.ParquetFile(source).metadata
+                groups = [footer.row_group(i) for i in range(footer.num_row_groups)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([g.column(0).compression for g in groups], pa.string()), pa.array([g.num_rows for g in groups], pa.int64())], ["codec", "rows"])
+
+    listed = df.sparkSession.createDataFrame([(f,) for f in df.inputFiles()], "file string")  # the scan's own listing
+    return listed.mapInArrow(read, "codec string, rows bigint")

@@ -182,15 +182,47 @@ def test_order_violations_against_brute_force(spark, data, strictly):
     assert tuple(got) == (len(kept), bad)
 
 
-@pytest.mark.parametrize("leaf", [4, 1000])
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
-def test_exact_quantile(spark, leaf, q):
+def test_exact_quantile(spark, q):
     import numpy as np
 
     rng = random.Random(5)
     values = [rng.gauss(0, 1) for _ in range(300)] + [0.5] * 400  # one value holds most rows
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
-    assert ordered.exact_quantile(df, "v", q, leaf) == pytest.approx(np.quantile(values, q))
+    assert ordered.exact_quantile(df, "v", q) == pytest.approx(np.quantile(values, q))
+
+
+def test_exact_quantiles_of_many_columns(spark):
+    import numpy as np
+
+    rng, n = np.random.default_rng(3), 60_000  # far more than a sketch holds
+    data = {"a": rng.normal(size=n), "b": rng.integers(0, 9, n).astype(float), "c": np.where(np.arange(n) % 3 == 0, 7.5, rng.random(n) * 100), "d": np.full(n, 2.0)}
+    df = spark.createDataFrame(list(zip(*(x.tolist() for x in data.values()))), "a double, b double, c double, d double")
+    df = df.repartition(7).withColumns({"e": F.lit(None).cast("double"), "f": F.when(F.col("b") < 8, F.col("a")).otherwise(float("nan")), "g": F.col("b").cast("decimal(4,1)")})
+    wanted = {c: (0.0, 0.001, 0.25, 0.5, 0.8, 0.999, 1.0) for c in "abcdefg"}
+    got = ordered.exact_quantiles(df, wanted)
+    for c in "abcd":
+        for q in wanted[c]:
+            assert got[c, q] == pytest.approx(np.quantile(data[c], q)), (c, q)
+    assert all(got["e", q] is None for q in wanted["e"]) and all(got["g", q] == got["b", q] for q in wanted["g"])
+    numbers = np.sort(data["a"][data["b"] < 8])
+    assert got["f", 0.5] == pytest.approx(np.append(numbers, [np.inf] * (n - len(numbers)))[int(0.5 * (n - 1)):][:2].mean())
+    assert np.isnan(got["f", 1.0]) and np.isnan(got["f", 0.999])
+
+
+def test_quantiles_take_three_actions(spark, monkeypatch):
+    df, calls = spark.range(5_000).selectExpr("id * 1.0 AS a", "id % 7 AS b", "-id AS c"), []
+    kind = type(df)
+    for name in ("first", "collect", "count"):
+        monkeypatch.setattr(kind, name, lambda self, *x, f=getattr(kind, name), name=name: (calls.append(name), f(self, *x))[1])
+    ordered.exact_quantiles(df, {c: (0.1, 0.5, 0.9) for c in "abc"})
+    assert calls.count("first") + calls.count("collect") - calls.count("first") <= 3 and calls.count("first") == 2
+
+
+def test_a_bracket_that_misses_is_replaced(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "RANK_ERROR", -0.05)
+    df = spark.range(40_001).selectExpr("(id * 7919) % 40001 * 1.0 AS v").repartition(3)
+    assert ordered.exact_quantile(df, "v", 0.5) == 20_000.0
 
 
 def test_exact_quantile_of_nothing(spark):
@@ -277,3 +309,25 @@ def test_calendar_fills_gaps(spark):
     df = spark.createDataFrame([(at(0),), (at(60 * 24 * 9),)], "ts timestamp_ntz")
     assert marts.dim_dates(df, "ts").count() == 10
     assert marts.dim_dates(df.limit(0), "ts").count() == 0
+
+
+def test_user_activity_expands_no_row(spark):
+    data = [(u, k, dt.datetime(2024, 1, d, h)) for u, k, d, h in [(1, "a", 1, 1), (1, "a", 1, 2), (1, "b", 2, 1), (1, None, 3, 1), (2, "a", 1, 1)]]
+    df = spark.createDataFrame([*data, (3, "a", None)], "user_id int, event_type string, ts timestamp_ntz")
+    got = marts.user_activity(df)
+    assert {r.user_id: (r.event_count, r.event_types, r.active_days) for r in got.collect()} == {1: (4, 2, 3), 2: (1, 1, 1), 3: (1, 1, 0)}
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_bitmaps_add_up(spark):
+    rng = random.Random(6)
+    data = [(dt.datetime(2024, rng.choice([1, 2]), rng.randint(1, 28)), rng.choice("ab"), rng.choice([rng.randint(0, 50), 32_767, 32_768, 32_769, 70_000, 2**40])) for _ in range(900)]
+    df = spark.createDataFrame([*data, (dt.datetime(2024, 1, 1), "a", None)], "timestamp timestamp_ntz, kind string, user_id bigint").repartition(4)
+    days = metrics.daily_bitmaps(df, ["kind"])
+    got = {(str(r.month), r.kind): r.unique_users for r in metrics.distinct_users(days, F.trunc("date", "month").alias("month"), "kind").collect()}
+    want = {}
+    for t, k, u in data:
+        want.setdefault((f"2024-{t.month:02}-01", k), set()).add(u)
+    assert got == {x: len(u) for x, u in want.items()}
+    plan = metrics.distinct_users(days, "kind")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and metrics.distinct_users(days.limit(0), "kind").collect() == []

@@ -237,3 +237,26 @@ def test_histogram_edges(spark):
 
 def test_ad_hoc_sql(people):
     assert profile.ad_hoc_sql("SELECT count(*) n FROM {t}", t=people).first()["n"] == 4
+
+
+def test_checks_at_write_time_equal_a_scan(spark, tmp_path):
+    data = [(i, None if i % 7 == 0 else f"t{i % 5}", float(i % 11) if i % 13 else None) for i in range(300)]
+    df = spark.createDataFrame(data, "id int, title string, v double").repartition(3)
+    wanted = Suite("s", (
+        E("row_count_between", kwargs={"low": 1, "high": 200}), E("not_null", "title"), E("unique", "id"), E("length_between", "title", {"low": 2, "high": 2}, mostly=0.5),
+        E("mean_between", "v", {"low": 4, "high": 6}), E("median_between", "v", {"low": 4, "high": 6}), E("stdev_between", "v", {"low": 0, "high": 1}),
+        E("values_between", "v", {"low": 3}), E("of_type", "id", {"type": "INT"})))
+    writes, path = [], str(tmp_path / "out")
+
+    def write(frame):
+        writes.append(frame)
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
+
+    got = suite.write_checked(df, wanted, write)
+    assert rows(got) == rows(suite.run_suite(df, wanted)) and len(writes) == 1
+    assert spark.read.parquet(path).count() == 300
+    scans = got.filter("expectation <> 'unique'")._jdf.queryExecution().optimizedPlan().toString()
+    assert scans.count("Relation [") <= 2  # uniqueness and the median's count read the table, plain counts don't
+    empty = suite.write_checked(df.limit(0), wanted, lambda f: (f.write.parquet(path + "0"), spark.read.schema(f.schema).parquet(path + "0"))[1])
+    assert rows(empty) == rows(suite.run_suite(df.limit(0), wanted))
