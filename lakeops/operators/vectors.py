@@ -3,34 +3,40 @@
 Vector records: ``id``, ``values array<float>``, ``metadata map<string,string>``.
 Queries: ``query_id``, ``values``.
 
-Every query is compared with every vector of its own length (others have no score),
-but the pairs are never rows: a task multiplies a block of queries with a batch of
-vectors and keeps the best k per query. Only those candidates are shuffled. Scores are compared at
-``SCORE_DECIMALS``, so that the order of float additions cannot decide a tie;
-ties go to the smaller id.
+Search is exact and pruned. The corpus is dealt into cells around seeded pivots, each
+with the largest distance of its vectors from the pivot. A query first visits the
+cells that promise most, until they hold k vectors; its k-th score then rules out every
+cell whose bound (triangle inequality, or Cauchy-Schwarz for products) can't beat it, and
+the others are visited in a second step. Both steps are the same block join: a cell is
+cut into blocks of vectors and its visitors into tiles of queries by their measured
+numbers, pairs are never rows, and a task multiplies one tile with one block and keeps
+the best k per query. Vectors of another length than the query have no score. Scores
+are compared at ``SCORE_DECIMALS``, so that the order of float additions cannot decide a
+tie; ties go to the smaller id.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lakeops.functions.similarity import METRICS
 from lakeops.operators.ordered import latest_per_key
+from lakeops.session import scratch_dir
 
 SCORE_DECIMALS = 12
-# Queries up to this number, and up to this many numbers in all, go to every task.
-MAX_BROADCAST_QUERIES = 4096
-MAX_BROADCAST_FLOATS = 8 << 20
-# Cell size of the block join used beyond that number.
+PIVOTS = 64  # go to the driver and to every task
 TILE_QUERIES = 2048
 BLOCK_VECTORS = 16_384
 _STRIPE = 256  # queries multiplied at a time, bounds the score matrix
+_BATCH = 4096  # vectors multiplied at a time
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -129,64 +135,169 @@ def _id_ddl(df: DataFrame, name: str) -> str:
     return "bigint" if _arrow_type(df, name) == pa.int64() else "string"
 
 
-def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
-    """Best k per query and task."""
-    q_id, c_id = _id_ddl(queries, "query_id"), _id_ddl(corpus, "id")
-    queries = queries.select(F.col("query_id").cast(q_id), "values").filter("values IS NOT NULL")
-    corpus = corpus.select(F.col("id").cast(c_id), "values").filter("values IS NOT NULL")
-    ddl = f"query_id {q_id}, id {c_id}, score double"
-    arrow = pa.schema(
-        [("query_id", _arrow_type(queries, "query_id")), ("id", _arrow_type(corpus, "id")), ("score", pa.float64())]
-    )
-    # The query side is measured before any of it comes to the driver.
-    size = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("values")), F.lit(0)).alias("floats")).first()
-    if size.n == 0:
-        return corpus.sparkSession.createDataFrame([], ddl)
-    if size.n <= MAX_BROADCAST_QUERIES and size.floats <= MAX_BROADCAST_FLOATS:
-        head = queries.toArrow()
-        lengths = pa.compute.list_value_length(head["values"])
-        groups = {}
-        for n in pa.compute.unique(lengths).to_pylist():
-            own = head.filter(pa.compute.equal(lengths, n))
-            groups[n] = (own["query_id"].combine_chunks(), _matrix(own["values"]).astype(np.float32))
-        shared = corpus.sparkSession.sparkContext.broadcast(groups)
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = {n: _Best(m.astype(np.float64), k, metric) for n, (_, m) in shared.value.items()}
-            for batch in batches:
-                lengths = pa.compute.list_value_length(batch.column(1))
-                for n, found in best.items():
-                    own = batch.filter(pa.compute.equal(lengths, n))
-                    if not own.num_rows:
-                        continue
-                    found.add(_ids(own.column(0)), _matrix(own.column(1)))
-            for n, found in best.items():
-                yield from found.table(shared.value[n][0], arrow).to_batches()
-
-        return corpus.mapInArrow(scan, ddl)
-
-    # Block join: each (tile, block) cell is one group of bounded size.
-    tiles = math.ceil(size.n / TILE_QUERIES)
-    blocks = max(1, math.ceil(corpus.count() / BLOCK_VECTORS))
-    slot = lambda name, n: F.pmod(F.xxhash64(name, "values"), F.lit(n))
-    copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q_cells = queries.select(
-        F.size("values").alias("length"), slot("query_id", tiles).cast("int").alias("tile"), copies(blocks).alias("block"),
-        F.col("query_id").alias("q_id"), F.col("values").alias("q_values"),  # own names: both sides may be one table
-    )
-    c_cells = corpus.select(
-        F.size("values").alias("length"), copies(tiles).alias("tile"), slot("id", blocks).cast("int").alias("block"), "id", "values"
-    )
+def _unit(m: np.ndarray, metric: str) -> np.ndarray:
+    """The vectors in which a metric's bounds are taken; a zero vector has no cosine."""
+    return m / np.maximum(_norms(m), 1e-300)[:, None] if metric == "cosine" else m
+
+
+@dataclass
+class _Cells:
+    """Written vectors with ``length``, ``cell``, ``block``, and what is known of the cells:
+    (length, cell) -> (vectors, radius, blocks)."""
+
+    vectors: DataFrame
+    pivots: dict[int, np.ndarray]
+    stats: dict[tuple[int, int], tuple[int, float, int]]
+    metric: str
+
+    def bounds(self, q: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """Cells of the queries' length, and the best score that each may hold for each query."""
+        length = q.shape[1]
+        cells = sorted(c for n, c in self.stats if n == length)
+        out = np.full((len(q), len(cells)), np.inf)
+        if length in self.pivots:
+            q, p = _unit(q, self.metric), self.pivots[length][cells]
+            r = np.array([self.stats[length, c][1] for c in cells])
+            if self.metric == "euclidean":
+                far = np.stack([_norms(q - x) for x in p], axis=1)
+                out = -np.maximum(far - r, 0.0)
+            else:
+                out = q @ p.T + _norms(q)[:, None] * r
+            out += 1e-9 * (1 + np.abs(out))
+        return cells, out
+
+
+def _cells(corpus: DataFrame, metric: str) -> _Cells:
+    """Deal vectors to the nearest of ``PIVOTS`` of them, drawn by hash."""
+    spark = corpus.sparkSession
+    drawn = corpus.filter(F.size("values") > 0).orderBy(F.xxhash64("id", "values"), "id").limit(PIVOTS).select("values").collect()
+    pivots: dict[int, list] = {}
+    for r in drawn:
+        pivots.setdefault(len(r["values"]), []).append(r["values"])
+    near = {n: _unit(np.array(x, dtype=np.float64), metric) for n, x in pivots.items()}
+    shared = spark.sparkContext.broadcast(near)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = pa.compute.list_value_length(batch.column(1))
+            for n in pa.compute.unique(lengths).to_pylist():
+                own = batch.filter(pa.compute.equal(lengths, n))
+                cell, far = np.zeros(own.num_rows, dtype=np.int32), np.full(own.num_rows, np.inf)
+                if n in shared.value:
+                    m = _unit(_matrix(own.column(1)), metric)
+                    for i, p in enumerate(shared.value[n]):
+                        d = _norms(m - p)
+                        closer = d < far
+                        cell[closer], far[closer] = i, d[closer]
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array(np.full(own.num_rows, n, dtype=np.int32)), pa.array(cell), pa.array(far)], ["id", "values", "length", "cell", "far"])
+
+    schema = StructType([*corpus.schema.fields]).add("length", "integer").add("cell", "integer").add("far", "double")
+    path = scratch_dir(spark, "cells")
+    corpus.mapInArrow(deal, schema).write.parquet(path)
+    vectors = spark.read.schema(schema).parquet(path)
+    # a row per length and pivot
+    stats = {(r["length"], r["cell"]): (r["n"], r["far"], math.ceil(r["n"] / BLOCK_VECTORS))
+             for r in vectors.groupBy("length", "cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
+    return _Cells(vectors, near, stats, metric)
+
+
+def _visits(queries: DataFrame, cells: _Cells, k: int, rest: bool) -> DataFrame:
+    """``q_id``, ``q_values``, ``length`` and ``cell`` for each cell a query visits: those of the best
+    bounds that hold k vectors, or with ``rest`` the others that can beat the query's ``floor``."""
+    shared = queries.sparkSession.sparkContext.broadcast((cells.pivots, cells.stats, cells.metric))
+    schema = StructType([StructField("q_id", queries.schema["query_id"].dataType), StructField("q_values", queries.schema["values"].dataType)])
+    schema = schema.add("length", "integer").add("cell", "integer")
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Cells(None, *shared.value)
+        for batch in batches:
+            lengths = pa.compute.list_value_length(batch.column(1))
+            for n in pa.compute.unique(lengths).to_pylist():
+                own = batch.filter(pa.compute.equal(lengths, n))
+                names, bound = known.bounds(_matrix(own.column(1)))
+                if not names:
+                    continue
+                order = np.argsort(-bound, axis=1, kind="stable")
+                size = np.array([known.stats[n, c][0] for c in names])[order]
+                first = np.cumsum(size, axis=1) - size < k  # those before hold fewer than k
+                chosen = first
+                if rest:
+                    floor = own.column(2).to_numpy(zero_copy_only=False)
+                    chosen = ~first & (np.take_along_axis(bound, order, axis=1) >= floor[:, None])
+                row, at = np.nonzero(chosen)
+                picked = own.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [picked.column(0), picked.column(1), pa.array(np.full(len(row), n, dtype=np.int32)), pa.array(np.array(names, dtype=np.int32)[order[row, at]])],
+                    schema.names)
+
+    return queries.mapInArrow(visit, schema)
+
+
+def _block_join(visits: DataFrame, cells: _Cells, ids: DataFrame, k: int) -> DataFrame:
+    """Best k per query and block of the cells that it visits."""
+    spark = visits.sparkSession
+    path = scratch_dir(spark, "visits")
+    visits.write.parquet(path)
+    visits = spark.read.schema(visits.schema).parquet(path)
+    met = visits.groupBy("length", "cell").count().collect()  # a row per length and pivot
+    sizes = [(r["length"], r["cell"], math.ceil(r["count"] / TILE_QUERIES), cells.stats[r["length"], r["cell"]][2]) for r in met]
+    sizes = spark.createDataFrame(sizes, "length int, cell int, tiles int, blocks int")
+    slot = lambda name, values, n: F.pmod(F.xxhash64(name, values), F.col(n)).cast("int")
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    q_cells = visits.join(F.broadcast(sizes), ["length", "cell"]).select(
+        "length", "cell", slot("q_id", "q_values", "tiles").alias("tile"), copies("blocks").alias("block"), "q_id", "q_values")
+    c_cells = cells.vectors.join(F.broadcast(sizes), ["length", "cell"]).select(
+        "length", "cell", copies("tiles").alias("tile"), slot("id", "values", "blocks").alias("block"), "id", "values")
+    arrow = pa.schema([("query_id", _arrow_type(ids, "query_id")), ("id", _arrow_type(ids, "id")), ("score", pa.float64())])
+    metric = cells.metric
 
     def cell(q: pa.Table, c: pa.Table) -> pa.Table:
         if not len(q) or not len(c):
             return arrow.empty_table()
         best = _Best(_matrix(q["q_values"]), k, metric)
-        best.add(_ids(c["id"]), _matrix(c["values"]))
+        names = _ids(c["id"])
+        for lo in range(0, len(names), _BATCH):
+            best.add(names[lo: lo + _BATCH], _matrix(c["values"].slice(lo, _BATCH)))
         return best.table(q["q_id"].combine_chunks(), arrow)
 
-    by = ("length", "tile", "block")
-    return q_cells.groupBy(*by).cogroup(c_cells.groupBy(*by)).applyInArrow(cell, ddl)
+    by = ("length", "cell", "tile", "block")
+    return q_cells.groupBy(*by).cogroup(c_cells.groupBy(*by)).applyInArrow(cell, ids.schema)
+
+
+def _search(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> tuple[DataFrame, list[DataFrame], _Cells]:
+    """(candidates, the two steps' visits, cells)."""
+    q_id, c_id = _id_ddl(queries, "query_id"), _id_ddl(corpus, "id")
+    queries = queries.select(F.col("query_id").cast(q_id), "values").filter("values IS NOT NULL")
+    corpus = corpus.select(F.col("id").cast(c_id), "values").filter("values IS NOT NULL")
+    spark = corpus.sparkSession
+    ids = spark.createDataFrame([], f"query_id {q_id}, id {c_id}, score double")
+    cells = _cells(corpus, metric)
+    home = _visits(queries, cells, k, rest=False)
+    path = scratch_dir(spark, "near")
+    _block_join(home, cells, ids, k).write.parquet(path)
+    near = spark.read.schema(ids.schema).parquet(path)
+    higher = -F.col("score") if metric == "euclidean" else F.col("score")
+    kth = _ranked(near, k, lowest_first=metric == "euclidean").filter(F.col("rank") == k).select("query_id", higher.alias("floor"))
+    floors = queries.join(kth, "query_id", "left").select("query_id", "values", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    rest = _visits(floors, cells, k, rest=True)
+    return near.unionByName(_block_join(rest, cells, ids, k)), [home, rest], cells
+
+
+def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
+    return _search(queries, corpus, k, metric)[0]
+
+
+def pairs_compared(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine") -> DataFrame:
+    """One row: the ``pairs`` of query and vector that a search compares, of ``all_pairs``."""
+    _, visits, cells = _search(queries, corpus, k, metric)
+    spark = corpus.sparkSession
+    sizes = spark.createDataFrame([(n, c, x[0]) for (n, c), x in cells.stats.items()], "length int, cell int, n bigint")
+    seen = visits[0].unionByName(visits[1]).groupBy("length", "cell").agg(F.count("*").alias("q")).join(sizes, ["length", "cell"])
+    total = queries.filter("values IS NOT NULL").groupBy(F.size("values").alias("length")).agg(F.count("*").alias("q")).join(
+        sizes.groupBy("length").agg(F.sum("n").alias("n")), "length").agg(F.coalesce(F.sum(F.col("q") * F.col("n")), F.lit(0)).alias("all_pairs"))
+    pairs = seen.agg(F.coalesce(F.sum(F.col("q") * F.col("n")), F.lit(0)).alias("pairs"))
+    return pairs.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def _ranked(candidates: DataFrame, k: int, score: str = "score", lowest_first: bool = False) -> DataFrame:
@@ -196,12 +307,7 @@ def _ranked(candidates: DataFrame, k: int, score: str = "score", lowest_first: b
 
 
 def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine") -> DataFrame:
-    """``query_id, id, score, rank`` of the k best vectors per query.
-
-    The query side is measured first. A bounded one goes to every task and the corpus
-    is scanned in place, without a shuffle. More queries are joined with the corpus
-    block by block.
-    """
+    """``query_id, id, score, rank`` of the k best vectors per query, for any number of queries."""
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
     found = _candidates(queries, corpus, k, metric)

@@ -43,11 +43,11 @@ def ranking(df):
     return out
 
 
-@pytest.fixture(params=["scan", "blocks"])
+@pytest.fixture(params=["cells", "blocks"])
 def path(request, monkeypatch):
-    """Both strategies: queries sent to every task, and the block join beyond the bound."""
+    """Cells of the usual size, and many small ones cut into blocks and tiles."""
     if request.param == "blocks":
-        monkeypatch.setattr(vectors, "MAX_BROADCAST_QUERIES", 3)
+        monkeypatch.setattr(vectors, "PIVOTS", 9)
         monkeypatch.setattr(vectors, "TILE_QUERIES", 7)
         monkeypatch.setattr(vectors, "BLOCK_VECTORS", 20)
 
@@ -150,12 +150,12 @@ def test_upsert(spark):
     assert tuple(vectors.index_stats(target).first()) == (1, 2)
 
 
-def test_scan_does_not_shuffle_the_corpus(spark):
+def test_plan_has_no_cross_join(spark):
     _, df = make(spark, 30)
     out = vectors.vector_top_k(df.withColumnRenamed("id", "query_id"), df, 3)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert plan.count("hashpartitioning(") == 1  # only the candidates move
+    assert plan.count("hashpartitioning(") == 3  # visits, visited cells, candidates
 
 
 def test_forest(spark):
@@ -169,3 +169,31 @@ def test_forest(spark):
     wide = df.select("id", F.col("f")[0].alias("a"), F.col("f")[1].alias("b"), "label")
     model = scoring.train_forest(wide, ["a", "b"], "label", trees=5)
     assert scoring.score(model, wide, ["id"], ["a", "b"], "v2").count() == 200
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
+def test_cells_that_can_not_win_are_not_visited(spark, monkeypatch, metric):
+    if metric not in vectors.METRICS:
+        pytest.skip("no such metric")
+    monkeypatch.setattr(vectors, "PIVOTS", 30)
+    rng = np.random.default_rng(2)
+    centers = rng.normal(size=(12, 8)) * 10
+    data = np.concatenate([c + rng.normal(size=(60, 8)) * 0.2 for c in centers]).astype(np.float32)
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id bigint, values array<float>").repartition(4)
+    picked = range(0, 720, 7)
+    queries = spark.createDataFrame([(i, data[i].tolist()) for i in picked], "query_id bigint, values array<float>")
+    got = {}
+    for r in vectors.vector_top_k(queries, corpus, 4, metric).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.id))
+    wide = data.astype(np.float64)
+    for i in picked:
+        if metric == "euclidean":
+            score = -np.round(np.sqrt(((wide - wide[i]) ** 2).sum(axis=1)), 12)
+        else:
+            score = wide @ wide[i]
+            if metric == "cosine":
+                score = score / (np.sqrt((wide**2).sum(axis=1)) * np.sqrt((wide[i] ** 2).sum()))
+            score = np.round(score, 12)
+        assert [d for _, d in sorted(got[i])] == np.lexsort((np.arange(720), -score))[:4].tolist()
+    seen = vectors.pairs_compared(queries, corpus, 4, metric).first()
+    assert seen.all_pairs == 720 * len(picked) and seen.pairs < (0.5 if metric != "dot" else 0.9) * seen.all_pairs
