@@ -163,26 +163,49 @@ def findings(text: Column, types: tuple[str, ...] = tuple(PII_PATTERNS)) -> Colu
     return F.when(has_hint(text), F.concat(*map(labelled, types))).otherwise(empty)
 
 
+_CHUNK = 256
+
+
 def placed_findings(text: Column, types: tuple[str, ...] = tuple(PII_PATTERNS)) -> Column:
     """``findings`` with ``position``, the 0-based offset in characters.
 
     The pieces left between the matches give the offsets: match i starts after
-    the pieces 0..i and the matches 0..i-1.
+    the pieces 0..i and the matches 0..i-1, a running sum in time in proportion to
+    the matches.
     """
 
-    def starts(found: Column, gaps: Column) -> Column:
-        steps = F.zip_with(found, gaps, lambda m, g: F.struct(F.length(m).alias("m"), F.length(g).alias("g")))
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+        # a one-element array binds a value, so that it is computed once
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def running(values: Column, base: Column, begin: Callable[[Column], Column], length: Callable[[Column], Column]) -> Column:
+        """For each value where it begins: ``base``, the lengths before, and its own ``begin``."""
         return F.aggregate(
-            steps,
-            begin,
-            lambda acc, s: F.struct(
-                (acc["at"] + s["g"] + F.coalesce(s["m"], F.lit(0))).alias("at"),
-                F.concat(acc["out"], F.array(acc["at"] + s["g"])).alias("out"),
+            values,
+            F.struct(base.alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, v: F.struct(
+                (acc["at"] + length(v)).alias("at"), F.concat(acc["out"], F.array(acc["at"] + begin(v))).alias("out")
             ),
             lambda acc: acc["out"],
         )
 
+    def starts(found: Column, gaps: Column) -> Column:
+        # An array that grows match by match is copied each time, so sums run inside
+        # chunks of _CHUNK matches, and over the chunks.
+        total = lambda s: s["g"] + s["m"]
+        steps = F.zip_with(
+            found, gaps, lambda m, g: F.struct(F.coalesce(F.length(m), F.lit(0)).alias("m"), F.length(g).alias("g"))
+        )
+        numbers = lambda st: F.sequence(F.lit(0), F.floor((F.size(st) - 1) / _CHUNK).cast("int"))
+        chunks = bound(steps, lambda st: F.transform(numbers(st), lambda c: F.slice(st, c * _CHUNK + 1, F.lit(_CHUNK))))
+
+        def placed_chunks(ch: Column) -> Column:
+            sizes = F.transform(ch, lambda c: F.aggregate(c, F.lit(0), lambda n, s: n + total(s)))
+            bases = running(sizes, F.lit(0), lambda _: F.lit(0), lambda n: n)
+            return F.flatten(F.zip_with(ch, bases, lambda c, base: running(c, base, lambda s: s["g"], total)))
+
+        return bound(chunks, placed_chunks)
+
     def placed(pii_type: str) -> Column:
         gaps = F.split(text, java_pattern(PII_PATTERNS[pii_type]), -1)
 

@@ -242,3 +242,21 @@ def test_similarity(spark):
     assert row[3] is None and row[4] is None
     with pytest.raises(ValueError):
         similarity(a, b, "manhattan")
+
+
+def test_positions_of_very_many_matches(spark):
+    import time
+
+    def took(n):
+        text = " ".join(f"u{i}@ex.org" for i in range(n))
+        df = spark.createDataFrame([(text,)], "t string")
+        begun = time.perf_counter()
+        got = df.select(F.inline(pii.placed_findings(F.col("t"), ("email",)))).orderBy("ordinal").collect()
+        seconds = time.perf_counter() - begun
+        assert len(got) == n and all(text[r.position: r.position + len(r.value)] == r.value for r in got[:: max(1, n // 500)])
+        assert [r.position for r in got[:300]] == [sum(len(f"u{j}@ex.org ") for j in range(i)) for i in range(300)]
+        return seconds
+
+    took(2_000)
+    small, large = took(20_000), took(200_000)
+    assert large < 40 * small + 5
