@@ -19,6 +19,12 @@ the response's HTTP headers, and with them the payload's length.
 Files are written and read with pyarrow file systems inside tasks; their names hold
 the attempt, and only files in the manifest, a table, count.
 
+Reading takes records of any kind and writer: an absent header reads null, a record
+without HTTP headers has its whole block as payload, a revisit has none. A digest is
+checked where it is SHA-256 or SHA-1, else ``intact`` is null. A member that begins as a
+record but can't be decoded to its end is a row of type ``damaged``, and
+``check_counts`` fails where a file has not as many records as its manifest says.
+
 Defined results: null html is an empty payload. Pages of one id and one payload are
 alike: all are responses if one of them is. A null id never becomes the one referred
 to while another page has an id. Without a url there is no target. Other columns are
@@ -27,6 +33,7 @@ not stored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
 import zlib
@@ -122,21 +129,40 @@ def _headers(raw: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
 
 
+def _number(headers: dict[str, str], name: str) -> int | None:
+    value = headers.get(name, "")
+    return int(value) if value.isdecimal() else None
+
+
+def _is_intact(payload: bytes, digest: str | None) -> bool | None:
+    """Whether a payload has the digest ``algorithm:value``; null if that can't be told."""
+    kind, _, value = (digest or "").partition(":")
+    if kind.lower() == "sha256":
+        return hashlib.sha256(payload).hexdigest() == value.lower()
+    if kind.lower() == "sha1":
+        own = hashlib.sha1(payload)
+        return value.lower() == own.hexdigest() if len(value) == 40 else value.upper() == base64.b32encode(own.digest()).decode()
+    return None
+
+
 def parse(raw: bytes) -> dict:
     """A decoded member as a row of ``RECORDS``."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     h = _headers(head)
-    block = rest[: int(h["content-length"])]
-    http, _, body = block.partition(b"\r\n\r\n")
-    digest = h["warc-payload-digest"].removeprefix("sha256:")
-    response = h["warc-type"] == "response"
-    number = lambda name: int(h[name]) if name in h else None
-    return {
-        "record_type": h["warc-type"], "record_id": h["warc-record-id"], "page_id": number("x-page-id"),
-        "refers_to": number("x-refers-to-page-id"), "url": h.get("warc-target-uri"), "payload": body if response else None,
-        "payload_bytes": len(body) if response else int(_headers(http)["content-length"]), "payload_digest": digest,
-        "intact": not response or hashlib.sha256(body).hexdigest() == digest,
-    }
+    length = _number(h, "content-length")
+    block = rest.removesuffix(b"\r\n\r\n") if length is None else rest[:length]
+    kind, digest = h.get("warc-type"), h.get("warc-payload-digest")
+    http, body = {}, block
+    if h.get("content-type", "").lower().startswith("application/http") or block.startswith(b"HTTP/"):
+        first, _, body = block.partition(b"\r\n\r\n")
+        http = _headers(first)
+    row = {
+        "record_type": kind, "record_id": h.get("warc-record-id"), "page_id": _number(h, "x-page-id"),
+        "refers_to": _number(h, "x-refers-to-page-id"), "url": h.get("warc-target-uri"),
+        "payload_digest": None if digest is None else digest.removeprefix("sha256:")}
+    if kind == "revisit":  # the payload is elsewhere
+        return row | {"payload": None, "payload_bytes": _number(http, "content-length"), "intact": True}
+    return row | {"payload": body, "payload_bytes": len(body), "intact": _is_intact(body, digest)}
 
 
 class _Bytes:
@@ -155,13 +181,14 @@ class _Bytes:
         self.at, self.held = self.at + n, self.held[n:]
 
 
-def _member(src: _Bytes) -> tuple[bytes, int] | None:
-    """The member that starts at ``src`` and its length, or None if it isn't a record."""
+def _member(src: _Bytes) -> tuple[bytes | None, int] | None:
+    """The member that starts at ``src`` and its length, or None if it isn't a record; a
+    record that ends too early or can't be decoded is (None, 0)."""
     unpack, out, fed, known = zlib.decompressobj(31), [], 0, False
     try:
         while not unpack.eof:
             if fed == len(src.held) and not src.fill():
-                return None
+                return (None, 0) if known else None
             part = src.held[fed:]
             fed = len(src.held)
             # A few bytes first: most candidates that are none end here.
@@ -175,12 +202,13 @@ def _member(src: _Bytes) -> tuple[bytes, int] | None:
                 known, part = True, unpack.unconsumed_tail
             out.append(unpack.decompress(part))
     except zlib.error:
-        return None
+        return (None, 0) if known else None
     return b"".join(out), fed - len(unpack.unused_data)
 
 
-def records_in(file, size: int, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """(position, decoded member) of the records that start in ``start:end``."""
+def records_in(file, size: int, start: int, end: int, damaged: list[int] | None = None) -> Iterator[tuple[int, bytes]]:
+    """(position, decoded member) of the records that start in ``start:end``. ``damaged`` gets
+    the positions of those that can't be decoded."""
     src = _Bytes(file, start, size)
     while src.at < end:
         found = src.held.find(MAGIC)
@@ -193,7 +221,9 @@ def records_in(file, size: int, start: int, end: int) -> Iterator[tuple[int, byt
         if src.at >= end:
             return
         member = _member(src)
-        if member is None:
+        if member is None or member[0] is None:
+            if member is not None and damaged is not None:
+                damaged.append(src.at)
             src.skip(1)
             continue
         yield src.at, member[0]
@@ -214,19 +244,31 @@ def read_archives(manifest: DataFrame, *, range_bytes: int = RANGE_BYTES) -> Dat
         for b in batches:
             for path, size, start in zip(*(c.to_pylist() for c in b.columns)):
                 files, inside = common.file_system(path)
+                damaged: list[int] = []
                 with files.open_input_file(inside) as f:
-                    for at, raw in records_in(f, size, start, start + range_bytes):
+                    for at, raw in records_in(f, size, start, start + range_bytes, damaged):
                         rows.append(parse(raw) | {"file": path, "start": at})
                         held += len(raw)
                         if held > 4 << 20:
                             yield pa.RecordBatch.from_pylist(rows, arrow)
                             rows, held = [], 0
+                rows += [{"record_type": "damaged", "intact": False, "file": path, "start": at} for at in damaged]
         if rows:
             yield pa.RecordBatch.from_pylist(rows, arrow)
 
     return ranges.repartition(F.col("file"), F.col("start")).mapInArrow(run, kind)
 
 
+def check_counts(records: DataFrame, manifest: DataFrame) -> None:
+    """Fail, and name some files, where ``records`` has not as many whole records of a file as
+    its manifest (``file``, ``records``) says."""
+    found = records.filter(~F.col("record_type").eqNullSafe("damaged")).groupBy("file").agg(F.count("*").alias("found"))
+    wrong = manifest.select("file", "records").join(found, "file", "left").filter(F.coalesce("found", F.lit(0)) != F.col("records"))
+    some = wrong.orderBy("file").limit(10).collect()
+    if some:
+        raise RuntimeError("records are missing: " + ", ".join(f"{r['file']} has {r['found'] or 0} of {r['records']}" for r in some))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(common.table(spark, sf_dir, "pages"), common.shared_path(spark, "warc"))
     return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -1,6 +1,8 @@
 """Round trips through archives, with ranges cut at every place."""
 
+import base64
 import gzip
+import hashlib
 import io
 import random
 
@@ -63,3 +65,38 @@ def test_round_trip(spark, tmp_path, archive, ranges):
 def test_empty_table(spark, tmp_path):
     manifest = A.write_archives(frames(spark).limit(0), f"file://{tmp_path}/w")
     assert A.read_archives(manifest).collect() == []
+
+
+def member(*lines, block=b"", length=True):
+    head = ["WARC/1.1", *lines, *([f"Content-Length: {len(block)}"] if length else [])]
+    return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    page = b"<html>\xc3\xa9</html>"
+    sha1 = base64.b32encode(hashlib.sha1(page).digest()).decode()
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    made = [
+        member("WARC-Type: warcinfo", "WARC-Record-ID: <urn:1>", "Content-Type: application/warc-fields", block=b"software: x\r\n"),
+        member("WARC-Type: request", "Content-Type: application/http; msgtype=request", block=b"GET / HTTP/1.1\r\nHost: h\r\n\r\nbody"),
+        member("WARC-Type: response", "WARC-Target-URI: http://a", f"WARC-Payload-Digest: sha1:{sha1}", "Content-Type: application/http", block=http + page),
+        member("WARC-Type: resource", "Content-Type: text/html", f"WARC-Payload-Digest: sha256:{hashlib.sha256(page).hexdigest()}", block=page),
+        member("WARC-Type: metadata", block=b"fetchTimeMs: 3"), member("WARC-Type: conversion", "Content-Type: text/plain", block=b"plain"),
+        member("WARC-Type: revisit", "WARC-Refers-To: <urn:2>"), member("WARC-Type: revisit", "Content-Type: application/http", block=http),
+        member("WARC-Type: response", "WARC-Payload-Digest: sha1:" + "A" * 32, "X-Page-ID: none", block=page, length=False), member(block=b"no type")]
+    raw = b"".join(made)
+    (tmp_path / "x.warc.gz").write_bytes(raw[:-30])
+    manifest = spark.createDataFrame([(f"file://{tmp_path}/x.warc.gz", len(raw) - 30, 10)], A.MANIFEST)
+    records = A.read_archives(manifest, range_bytes=100)
+    got = [(r.record_type, None if r.payload is None else bytes(r.payload), r.payload_bytes, r.intact) for r in records.orderBy("start").collect()]
+    assert got == [
+        ("warcinfo", b"software: x\r\n", 13, None), ("request", b"body", 4, None), ("response", page, len(page), True), ("resource", page, len(page), True),
+        ("metadata", b"fetchTimeMs: 3", 14, None), ("conversion", b"plain", 5, None), ("revisit", None, None, True), ("revisit", None, None, True),
+        ("response", page, len(page), False), ("damaged", None, None, False)]
+    with pytest.raises(RuntimeError, match="x.warc.gz has 9 of 10"):
+        A.check_counts(records, manifest)
+
+
+def test_counts_of_whole_files(spark, tmp_path):
+    manifest = A.write_archives(frames(spark).repartition(2), f"file://{tmp_path}/w")
+    A.check_counts(A.read_archives(manifest), manifest)
