@@ -125,6 +125,25 @@ def _(spark, sf):
     )
 
 
+@query(
+    "p5_lenient_cast_lines",
+    r"""SELECT l_linenumber,
+               CASE WHEN regexp_full_match(l_orderkey::VARCHAR, '[+-]?[0-9]+') THEN l_orderkey ELSE 0 END AS order_key,
+               CASE WHEN regexp_full_match(l_returnflag, '[+-]?[0-9]+') THEN l_returnflag::BIGINT ELSE 0 END AS bad_long,
+               l_extendedprice AS price, l_quantity AS quantity
+        FROM lineitem""",
+)
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    return lines.select(
+        "l_linenumber",
+        lenient_long(F.col("l_orderkey").cast("string")).alias("order_key"),
+        lenient_long(F.col("l_returnflag")).alias("bad_long"),
+        lenient_double(F.col("l_extendedprice").cast("string")).alias("price"),
+        lenient_double(F.col("l_quantity").cast("string")).alias("quantity"),
+    )
+
+
 @query(
     "p6_time_range",
     "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_INTEGER_TEXT = r"\A[+-]?[0-9]+\z"
 _NUMBER_TEXT = (
     r"(?i)\A[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|inf|infinity|nan)\z"
 )
@@ -13,19 +12,22 @@ _NUMBER_TEXT = (
 def lenient_long(c: Column) -> Column:
     """Parse text to BIGINT; anything that is not exactly an integer becomes 0.
 
-    The guard rejects what a Spark cast would tolerate (outer blanks).
+    The guard rejects what a Spark cast would tolerate: blanks before or after. Of a text
+    that could be cast, its ends tell that, without a pattern.
     """
-    parsed = F.when(c.rlike(_INTEGER_TEXT), c.try_cast("bigint"))
-    return F.coalesce(parsed, F.lit(0).cast("bigint"))
+    parsed, digits = c.try_cast("bigint"), (ord("0"), ord("9"))
+    tight = F.ascii(F.right(c, F.lit(1))).between(*digits) & (F.ascii(c).between(*digits) | F.ascii(c).isin(ord("+"), ord("-")))
+    return F.when(parsed.isNotNull() & tight, parsed).otherwise(F.lit(0).cast("bigint"))
 
 
 def lenient_double(c: Column) -> Column:
     """Parse text to DOUBLE; anything that is not exactly a number becomes 0.0.
 
-    The guard also rejects Java-only spellings such as ``1d`` and ``2f``.
+    The guard also rejects Java-only spellings such as ``1d`` and ``2f``; it runs only on
+    texts that could be cast.
     """
-    parsed = F.when(c.rlike(_NUMBER_TEXT), c.try_cast("double"))
-    return F.coalesce(parsed, F.lit(0.0))
+    parsed = c.try_cast("double")
+    return F.when(parsed.isNotNull() & c.rlike(_NUMBER_TEXT), parsed).otherwise(F.lit(0.0))
 
 
 def ratio(num: Column, den: Column) -> Column:
