@@ -69,6 +69,53 @@ def test_shared_counts_and_verdicts(spark, sf):
         assert not (r.kept and r.base_failed)
 
 
+def middle(values):
+    return sorted(values)[math.ceil(len(values) / 2) - 1]
+
+
+def smoothed(classes, at, line):
+    """classes: size -> (documents, value); the weighted mean, or line, at one size."""
+    rank = {size: i for i, size in enumerate(sorted(classes))}
+    rows = [(size - at, n * Q.PULL ** abs(rank[size] - rank[at]), v) for size, (n, v) in classes.items()]
+    w = sum(r[1] for r in rows)
+    x, y = sum(r[0] * r[1] for r in rows) / w, sum(r[2] * r[1] for r in rows) / w
+    spread = sum(r[1] * (r[0] - x) ** 2 for r in rows)
+    if not line or spread == 0:
+        return y
+    return y - x * sum(r[1] * (r[0] - x) * (r[2] - y) for r in rows) / spread
+
+
+def test_verdicts_equal_plain_bands(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    found = [r.asDict() | {"lang": lang[r.doc_id]} for r in Q.verdicts(docs).collect()]
+    groups = {}
+    for r in found:
+        r["size"] = int(math.floor(math.log2(max(1, r["n_tokens"]))))
+        if not r["base_failed"]:
+            groups.setdefault(r["lang"], {}).setdefault(r["size"], []).append(r)
+    ratios, bands = ("chars_per_token", "byte_share", "entropy"), {}
+    for g, classes in groups.items():
+        for c in ratios:
+            raw = {size: (len(rows), middle([r[c] for r in rows])) for size, rows in classes.items()}
+            centre = {size: smoothed(raw, size, False) for size in classes}
+            if c == "entropy":
+                centre = {size: min(centre[size], smoothed(raw, size, len(classes) > 1)) for size in classes}
+            away = {size: (len(rows), 1.4826 * middle([abs(r[c] - centre[size]) for r in rows])) for size, rows in classes.items()}
+            for size in classes:
+                bands[g, size, c] = centre[size], smoothed(away, size, False)
+    wrong = 0
+    for r in found:
+        kept = not r["base_failed"]
+        if kept:
+            (ca, cs), (ba, bs), (ea, es) = (bands[r["lang"], r["size"], c] for c in ratios)
+            kept = not (
+                r["entropy"] - ea < -(Q.ENTROPY_BAND * es + Q.ROUNDING) or abs(r["chars_per_token"] - ca) > Q.CHARS_BAND * cs + Q.ROUNDING
+                or r["byte_share"] - ba > Q.BYTES_BAND * bs + Q.ROUNDING + Q.BYTES_SLACK)
+        wrong += kept != r["kept"]
+    assert wrong == 0 and 0 < sum(r["kept"] for r in found) < len(found)
+
+
 def test_bands_reject_foreign_texts(spark, sf):
     docs = spark.read.parquet(sf.replace("0.001", "0.1") + "/documents.parquet")
     labels = spark.read.parquet(sf.replace("0.001", "0.1") + "/labels.parquet")

@@ -1,6 +1,9 @@
 """Gradients against differences, planted grades, and held-out accuracy."""
 
+import math
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +35,17 @@ def test_held_out_documents(spark, sf):
     assert share[1] > 0.7 and share[0] < 0.05 and mean[1] > mean[0] + 0.8
 
 
+def test_predictions_equal_plain_sums(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = X.train(docs, labels)
+    got = {r.doc_id: r.found for r in X.with_severity(docs.select("doc_id", "text"), "found", model).collect()}
+    for r in docs.collect():
+        score = sum(model.weights[i] for i in X.features(pa.array([r.text or ""], pa.large_string())).ids.tolist())
+        p = [1 / (1 + math.exp(min(40, max(-40, t - score)))) for t in model.thresholds]
+        assert got[r.doc_id]["severity"] == pytest.approx(sum(p)) and got[r.doc_id]["toxic_probability"] == pytest.approx(p[0])
+        assert got[r.doc_id]["grade"] == sum(x >= X.DECISION for x in p) or min(abs(x - X.DECISION) for x in p) < 1e-9
+
+
 @pytest.mark.parametrize("which", ["both", "one class", "none"])
 def test_nulls_and_missing_labels(spark, which):
     schema = "doc_id bigint, text string, found string, toxic string"
