@@ -287,7 +287,7 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k:
     (``key``, ``text``) has further versions of the texts, which link documents as well."""
     own = _own(docs, key, text)
     if other is not None:
-        own = own.unionByName(_versions(docs, other, key, text))
+        own = own.unionByName(common.written(_versions(docs, other, key, text), "versions"))  # read several times
     mine, gone, hashed = (common.fresh(docs.columns, c) for c in ("own_hash", "gone_id", "gone_hash"))
     found = _judged(own, k, percent).filter("not kept").select(F.col("k").alias(gone), F.col("t").alias(hashed)).distinct()
     on = F.col(key).eqNullSafe(F.col(gone)) & (F.col(mine) == F.col(hashed))
