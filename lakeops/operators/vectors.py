@@ -4,13 +4,15 @@ Vector records: ``id``, ``values array<float>``, ``metadata map<string,string>``
 Queries: ``query_id``, ``values``.
 
 Search is exact and pruned. The corpus is dealt into cells around seeded pivots, each
-with the largest distance of its vectors from the pivot. A query first visits the
+with the largest distance of its vectors from the pivot, and cells that lie together
+make up ``SECTORS`` of about as many vectors. A query first visits the sectors of the
 cells that promise most, until they hold k vectors; its k-th score then rules out every
 cell whose bound (triangle inequality, or Cauchy-Schwarz for products) can't beat it, and
-the others are visited in a second step. Both steps are the same block join: a cell is
-cut into blocks of vectors and its visitors into tiles of queries by their measured
-numbers, pairs are never rows, and a task multiplies one tile with one block and keeps
-the best k per query. Vectors of another length than the query have no score. Scores
+the sectors of the others are visited in a second step. Both steps are the same block
+join: a sector is cut into blocks of vectors and its visitors into tiles of queries by
+their measured numbers, pairs are never rows, and a task multiplies one tile with one
+block and keeps the best k per query. So a query is sent to each sector at most, and a
+vector to each tile. Vectors of another length than the query have no score. Scores
 are compared at ``SCORE_DECIMALS``, so that the order of float additions cannot decide a
 tie; ties go to the smaller id.
 """
@@ -25,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lakeops.functions.similarity import METRICS
 from lakeops.operators.ordered import latest_per_key
@@ -33,8 +35,10 @@ from lakeops.session import scratch_dir
 
 SCORE_DECIMALS = 12
 PIVOTS = 64  # go to the driver and to every task
-TILE_QUERIES = 2048
-BLOCK_VECTORS = 16_384
+SECTORS = 16
+TILE_QUERIES = 32_768
+BLOCK_VECTORS = 65_536
+_VALUES = 2**22  # of a tile or block of long vectors
 _STRIPE = 256  # queries multiplied at a time, bounds the score matrix
 _BATCH = 4096  # vectors multiplied at a time
 
@@ -54,15 +58,15 @@ def _norms(m: np.ndarray) -> np.ndarray:
 class _Best:
     """The k best (score, id) per query so far; higher is better."""
 
-    def __init__(self, queries: np.ndarray, k: int, metric: str):
+    def __init__(self, queries: np.ndarray, k: int, metric: str, floor: np.ndarray):
         self.q, self.k, self.metric = queries, k, metric
         self.q_norm = _norms(queries)
-        self.floor = np.full(len(queries), -np.inf)
+        self.floor = floor.copy()  # the least score that a query still needs
         self.owner = np.empty(0, dtype=np.int64)
         self.score = np.empty(0)
         self.ids = None
 
-    def _scores(self, part: slice, vectors: np.ndarray, v_norm: np.ndarray) -> np.ndarray:
+    def _scores(self, part: np.ndarray, vectors: np.ndarray, v_norm: np.ndarray) -> np.ndarray:
         q = self.q[part]
         with np.errstate(divide="ignore", invalid="ignore"):
             if self.metric == "euclidean":
@@ -76,15 +80,13 @@ class _Best:
         stripe = np.round(stripe, SCORE_DECIMALS)
         return np.where(np.isnan(stripe), -np.inf, stripe)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        if not len(ids):
-            return
+    def add(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         v_norm = _norms(vectors)
         if self.ids is None:
             self.ids = ids[:0]
         owners, scores, places = [self.owner], [self.score], [self.ids]
-        for lo in range(0, len(self.q), _STRIPE):
-            part = slice(lo, lo + _STRIPE)
+        for lo in range(0, len(rows), _STRIPE):
+            part = rows[lo: lo + _STRIPE]
             s = self._scores(part, vectors, v_norm)
             need = self.floor[part]
             if len(ids) > self.k:
@@ -92,7 +94,7 @@ class _Best:
                 need = np.maximum(need, np.partition(s, cut, axis=1)[:, cut])
             # every score equal to the k-th stays in until ids have decided
             row, col = np.nonzero((s >= need[:, None]) & (s > -np.inf))
-            owners.append(row + lo)
+            owners.append(part[row])
             scores.append(s[row, col])
             places.append(ids[col])
         owner, score, id_ = map(np.concatenate, (owners, scores, places))
@@ -143,9 +145,9 @@ def _unit(m: np.ndarray, metric: str) -> np.ndarray:
 @dataclass
 class _Cells:
     """Written vectors with ``length``, ``cell``, ``block``, and what is known of the cells:
-    (length, cell) -> (vectors, radius, blocks)."""
+    (length, cell) -> (vectors, radius, sector)."""
 
-    vectors: DataFrame
+    vectors: DataFrame | None
     pivots: dict[int, np.ndarray]
     stats: dict[tuple[int, int], tuple[int, float, int]]
     metric: str
@@ -164,7 +166,20 @@ class _Cells:
             else:
                 out = q @ p.T + _norms(q)[:, None] * r
             out += 1e-9 * (1 + np.abs(out))
-        return cells, out
+        return cells, np.where(np.isnan(out), np.inf, out)
+
+
+def _sectors(sizes: dict[int, int], pivots: np.ndarray | None) -> dict[int, int]:
+    """The sector of each cell; cells near the same one of the first pivots follow each other."""
+    cells = sorted(sizes)
+    if pivots is not None:
+        first = pivots[cells[:SECTORS]]
+        cells.sort(key=lambda c: (int(np.argmin(_norms(first - pivots[c]))), c))
+    total, before, out = sum(sizes.values()), 0, {}
+    for c in cells:
+        out[c] = before * SECTORS // total
+        before += sizes[c]
+    return out
 
 
 def _cells(corpus: DataFrame, metric: str) -> _Cells:
@@ -197,17 +212,19 @@ def _cells(corpus: DataFrame, metric: str) -> _Cells:
     corpus.mapInArrow(deal, schema).write.parquet(path)
     vectors = spark.read.schema(schema).parquet(path)
     # a row per length and pivot
-    stats = {(r["length"], r["cell"]): (r["n"], r["far"], math.ceil(r["n"] / BLOCK_VECTORS))
-             for r in vectors.groupBy("length", "cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
+    found = vectors.groupBy("length", "cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()
+    sectors = {n: _sectors({r["cell"]: r["n"] for r in found if r["length"] == n}, near.get(n)) for n in {r["length"] for r in found}}
+    stats = {(r["length"], r["cell"]): (r["n"], r["far"], sectors[r["length"]][r["cell"]]) for r in found}
     return _Cells(vectors, near, stats, metric)
 
 
 def _visits(queries: DataFrame, cells: _Cells, k: int, rest: bool) -> DataFrame:
-    """``q_id``, ``q_values``, ``length`` and ``cell`` for each cell a query visits: those of the best
-    bounds that hold k vectors, or with ``rest`` the others that can beat the query's ``floor``."""
+    """A row per query: ``q_id``, ``q_values``, ``floor``, ``length``, the ``sectors`` it visits and the ``pairs``
+    compared there. Visited are those of the cells of the best bounds that hold k vectors, or with
+    ``rest`` the others with cells that can beat the query's ``floor``."""
     shared = queries.sparkSession.sparkContext.broadcast((cells.pivots, cells.stats, cells.metric))
     schema = StructType([StructField("q_id", queries.schema["query_id"].dataType), StructField("q_values", queries.schema["values"].dataType)])
-    schema = schema.add("length", "integer").add("cell", "integer")
+    schema = schema.add("floor", "double").add("length", "integer").add("sectors", ArrayType(IntegerType())).add("pairs", "long")
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Cells(None, *shared.value)
@@ -218,51 +235,68 @@ def _visits(queries: DataFrame, cells: _Cells, k: int, rest: bool) -> DataFrame:
                 names, bound = known.bounds(_matrix(own.column(1)))
                 if not names:
                     continue
+                size, sector = (np.array([known.stats[n, c][i] for c in names]) for i in (0, 2))
                 order = np.argsort(-bound, axis=1, kind="stable")
-                size = np.array([known.stats[n, c][0] for c in names])[order]
-                first = np.cumsum(size, axis=1) - size < k  # those before hold fewer than k
-                chosen = first
+                first = np.cumsum(size[order], axis=1) - size[order] < k  # those before hold fewer than k
+                row, at = np.nonzero(first)
+                home = np.zeros((own.num_rows, sector.max() + 1), dtype=bool)
+                home[row, sector[order[row, at]]] = True
+                chosen = home[:, sector]
                 if rest:
-                    floor = own.column(2).to_numpy(zero_copy_only=False)
-                    chosen = ~first & (np.take_along_axis(bound, order, axis=1) >= floor[:, None])
+                    chosen = ~chosen & (bound >= own.column(2).to_numpy(zero_copy_only=False)[:, None])
+                met = np.zeros_like(home)
                 row, at = np.nonzero(chosen)
-                picked = own.take(pa.array(row))
+                met[row, sector[at]] = True
+                ends = np.concatenate([[0], np.cumsum(met.sum(axis=1))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [picked.column(0), picked.column(1), pa.array(np.full(len(row), n, dtype=np.int32)), pa.array(np.array(names, dtype=np.int32)[order[row, at]])],
+                    [*own.columns, pa.array(np.full(own.num_rows, n, dtype=np.int32)),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.nonzero(met)[1].astype(np.int32))), pa.array(chosen @ size)],
                     schema.names)
 
-    return queries.mapInArrow(visit, schema)
+    return queries.select("query_id", "values", "floor").mapInArrow(visit, schema)
 
 
 def _block_join(visits: DataFrame, cells: _Cells, ids: DataFrame, k: int) -> DataFrame:
-    """Best k per query and block of the cells that it visits."""
+    """Best k per query and block of the sectors that it visits."""
     spark = visits.sparkSession
     path = scratch_dir(spark, "visits")
     visits.write.parquet(path)
-    visits = spark.read.schema(visits.schema).parquet(path)
-    met = visits.groupBy("length", "cell").count().collect()  # a row per length and pivot
-    sizes = [(r["length"], r["cell"], math.ceil(r["count"] / TILE_QUERIES), cells.stats[r["length"], r["cell"]][2]) for r in met]
-    sizes = spark.createDataFrame(sizes, "length int, cell int, tiles int, blocks int")
+    visits = spark.read.schema(visits.schema).parquet(path).withColumn("sector", F.explode("sectors"))
+    met = visits.groupBy("length", "sector").count().collect()  # a row per length and sector
+    held = {}
+    for (n, _), (size, _, sector) in cells.stats.items():
+        held[n, sector] = held.get((n, sector), 0) + size
+    parts = lambda rows, most, n: math.ceil(rows / max(1, min(most, _VALUES // max(1, n))))
+    sizes = {(n, x): (parts(q, TILE_QUERIES, n), parts(held[n, x], BLOCK_VECTORS, n)) for n, x, q in met}
+    q_sizes = spark.createDataFrame([(*at, *x) for at, x in sizes.items()], "length int, sector int, tiles int, blocks int")
+    c_sizes = spark.createDataFrame([(n, c, x[2], *sizes[n, x[2]]) for (n, c), x in cells.stats.items() if (n, x[2]) in sizes],
+                                    "length int, cell int, sector int, tiles int, blocks int")
     slot = lambda name, values, n: F.pmod(F.xxhash64(name, values), F.col(n)).cast("int")
     copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    q_cells = visits.join(F.broadcast(sizes), ["length", "cell"]).select(
-        "length", "cell", slot("q_id", "q_values", "tiles").alias("tile"), copies("blocks").alias("block"), "q_id", "q_values")
-    c_cells = cells.vectors.join(F.broadcast(sizes), ["length", "cell"]).select(
-        "length", "cell", copies("tiles").alias("tile"), slot("id", "values", "blocks").alias("block"), "id", "values")
+    q_cells = visits.join(F.broadcast(q_sizes), ["length", "sector"]).select(
+        "length", "sector", slot("q_id", "q_values", "tiles").alias("tile"), copies("blocks").alias("block"), "q_id", "q_values", "floor")
+    c_cells = cells.vectors.join(F.broadcast(c_sizes), ["length", "cell"]).select(
+        "length", "sector", copies("tiles").alias("tile"), slot("id", "values", "blocks").alias("block"), "id", "values", "cell")
     arrow = pa.schema([("query_id", _arrow_type(ids, "query_id")), ("id", _arrow_type(ids, "id")), ("score", pa.float64())])
-    metric = cells.metric
+    shared = spark.sparkContext.broadcast((cells.pivots, cells.stats, cells.metric))
 
-    def cell(q: pa.Table, c: pa.Table) -> pa.Table:
+    def meet(q: pa.Table, c: pa.Table) -> pa.Table:
         if not len(q) or not len(c):
             return arrow.empty_table()
-        best = _Best(_matrix(q["q_values"]), k, metric)
-        names = _ids(c["id"])
-        for lo in range(0, len(names), _BATCH):
-            best.add(names[lo: lo + _BATCH], _matrix(c["values"].slice(lo, _BATCH)))
+        known = _Cells(None, *shared.value)
+        queries, c = _matrix(q["q_values"]), c.sort_by("cell")
+        best = _Best(queries, k, known.metric, q["floor"].to_numpy())
+        names, bound = known.bounds(queries)
+        ids, cell = _ids(c["id"]), c["cell"].to_numpy()
+        for i, name in enumerate(names):
+            start, end = np.searchsorted(cell, [name, name + 1])
+            for lo in range(start, end, _BATCH):
+                hi = min(lo + _BATCH, end)
+                best.add(np.flatnonzero(bound[:, i] >= best.floor), ids[lo:hi], _matrix(c["values"].slice(lo, hi - lo)))
         return best.table(q["q_id"].combine_chunks(), arrow)
 
-    by = ("length", "cell", "tile", "block")
-    return q_cells.groupBy(*by).cogroup(c_cells.groupBy(*by)).applyInArrow(cell, ids.schema)
+    by = ("length", "sector", "tile", "block")
+    return q_cells.groupBy(*by).cogroup(c_cells.groupBy(*by)).applyInArrow(meet, ids.schema)
 
 
 def _search(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> tuple[DataFrame, list[DataFrame], _Cells]:
@@ -273,7 +307,7 @@ def _search(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> tuple
     spark = corpus.sparkSession
     ids = spark.createDataFrame([], f"query_id {q_id}, id {c_id}, score double")
     cells = _cells(corpus, metric)
-    home = _visits(queries, cells, k, rest=False)
+    home = _visits(queries.withColumn("floor", F.lit(float("-inf"))), cells, k, rest=False)
     path = scratch_dir(spark, "near")
     _block_join(home, cells, ids, k).write.parquet(path)
     near = spark.read.schema(ids.schema).parquet(path)
@@ -293,10 +327,9 @@ def pairs_compared(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: s
     _, visits, cells = _search(queries, corpus, k, metric)
     spark = corpus.sparkSession
     sizes = spark.createDataFrame([(n, c, x[0]) for (n, c), x in cells.stats.items()], "length int, cell int, n bigint")
-    seen = visits[0].unionByName(visits[1]).groupBy("length", "cell").agg(F.count("*").alias("q")).join(sizes, ["length", "cell"])
     total = queries.filter("values IS NOT NULL").groupBy(F.size("values").alias("length")).agg(F.count("*").alias("q")).join(
         sizes.groupBy("length").agg(F.sum("n").alias("n")), "length").agg(F.coalesce(F.sum(F.col("q") * F.col("n")), F.lit(0)).alias("all_pairs"))
-    pairs = seen.agg(F.coalesce(F.sum(F.col("q") * F.col("n")), F.lit(0)).alias("pairs"))
+    pairs = visits[0].unionByName(visits[1]).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"))
     return pairs.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 

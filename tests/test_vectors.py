@@ -197,3 +197,24 @@ def test_cells_that_can_not_win_are_not_visited(spark, monkeypatch, metric):
         assert [d for _, d in sorted(got[i])] == np.lexsort((np.arange(720), -score))[:4].tolist()
     seen = vectors.pairs_compared(queries, corpus, 4, metric).first()
     assert seen.all_pairs == 720 * len(picked) and seen.pairs < (0.5 if metric != "dot" else 0.9) * seen.all_pairs
+
+
+def test_a_query_is_sent_to_sectors_not_to_cells(spark):
+    _, df = make(spark, 400, copies=20)
+    q = df.withColumnRenamed("id", "query_id")
+    _, visits, cells = vectors._search(q, df, 3, "cosine")
+    for step in visits:
+        assert step.count() == 420  # one row per query, whatever it visits
+        met = step.select(F.explode("sectors").alias("s")).agg(F.max("s"), F.count("*")).first()
+        assert met[0] < vectors.SECTORS < len(cells.stats) and met[1] <= 420 * vectors.SECTORS
+    seen = vectors.pairs_compared(q, df, 3).first()
+    assert 0 < seen.pairs <= seen.all_pairs == 420 * 420
+
+
+def test_sectors_hold_about_as_many_vectors():
+    sizes = {c: 100 + c for c in range(64)}
+    of = vectors._sectors(sizes, np.random.default_rng(0).normal(size=(64, 4)))
+    held = [sum(n for c, n in sizes.items() if of[c] == s) for s in range(vectors.SECTORS)]
+    each = sum(sizes.values()) / vectors.SECTORS
+    assert set(of) == set(sizes) and max(held) <= each + max(sizes.values())
+    assert vectors._sectors({7: 5}, None) == {7: 0}
