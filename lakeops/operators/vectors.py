@@ -41,6 +41,7 @@ BLOCK_VECTORS = 65_536
 _VALUES = 2**22  # of a tile or block of long vectors
 _STRIPE = 256  # queries multiplied at a time, bounds the score matrix
 _BATCH = 4096  # vectors multiplied at a time
+_PAIRS = 2**20  # values of the pairs that get a score at a time
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -56,61 +57,129 @@ def _norms(m: np.ndarray) -> np.ndarray:
 
 
 class _Best:
-    """The k best (score, id) per query so far; higher is better."""
+    """The k best (score, id) per query so far; higher is better.
+
+    Products are first taken in single precision, with a bound on their error. Only pairs that may
+    reach the ``floor``, the least score that a query still needs, get a score in double precision.
+    """
 
     def __init__(self, queries: np.ndarray, k: int, metric: str, floor: np.ndarray):
         self.q, self.k, self.metric = queries, k, metric
         self.q_norm = _norms(queries)
-        self.floor = floor.copy()  # the least score that a query still needs
+        self.floor = floor.copy()
+        self.scored = ~np.isnan(self.q_norm)
+        if metric == "cosine":
+            self.scored &= self.q_norm > 0
         self.owner = np.empty(0, dtype=np.int64)
         self.score = np.empty(0)
         self.ids = None
+        self.new = []  # not merged yet
 
-    def _scores(self, part: np.ndarray, vectors: np.ndarray, v_norm: np.ndarray) -> np.ndarray:
-        q = self.q[part]
+    def _scores(self, rows: np.ndarray, vectors: np.ndarray, v_norm: np.ndarray) -> np.ndarray:
+        q = self.q[rows]
         with np.errstate(divide="ignore", invalid="ignore"):
             if self.metric == "euclidean":
-                stripe = np.empty((len(q), len(vectors)))
-                for i, row in enumerate(q):  # differences, not norms: exact for near copies
-                    stripe[i] = -_norms(vectors - row)
+                score = -_norms(vectors - q)  # differences, not norms: exact for near copies
             else:
-                stripe = q @ vectors.T
+                score = np.einsum("ij,ij->i", q, vectors)
                 if self.metric == "cosine":
-                    stripe /= self.q_norm[part, None] * v_norm[None, :]
-        stripe = np.round(stripe, SCORE_DECIMALS)
-        return np.where(np.isnan(stripe), -np.inf, stripe)
+                    score /= self.q_norm[rows] * v_norm
+        score = np.round(score, SCORE_DECIMALS)
+        return np.where(np.isnan(score), -np.inf, score)
+
+    def _screen(self, vectors: np.ndarray, v_norm: np.ndarray):
+        """Scaled vectors, one a column, and a function of rows: their queries scaled likewise, the least
+        product that may reach the floor, and how far below the k-th product of a batch its k-th score may lie."""
+        slack = (vectors.shape[1] + 8) * 2.0**-23  # of a product of vectors of length 1 at most
+        tie = 10.0**-SCORE_DECIMALS
+        finite = np.isfinite(v_norm)
+        plain = np.where(finite[:, None], vectors, 0.0)
+        if self.metric == "euclidean":
+            # with x, y from a centre: x.y - |y|^2 / 2 >= (|x|^2 - distance^2) / 2
+            o = plain.mean(axis=0)
+            y = plain - o
+            r = _norms(y)
+            m = max(r.max(), 1e-6 * max(v_norm[finite].max(initial=0.0), np.sqrt(o @ o))) or 1.0
+            columns = np.column_stack([y / m, -((r / m) ** 2) / 2])
+
+            def left(rows):
+                x = self.q[rows] - o
+                d, far = _norms(x), tie - self.floor[rows]
+                odd, t = ~np.isfinite(d), np.maximum(d, m)
+                need = ((d - far) * (d + far) - 1e-15 * (d * d + far * far)) / (2 * t * m) - 2 * slack
+                x = np.where(odd[:, None], 0.0, np.column_stack([x / t[:, None], m / t]))
+                return x, np.where(odd, -np.inf, need), np.where(odd, np.inf, 4 * slack + 4 * tie / m)
+        else:
+            m = 1.0 if self.metric == "cosine" else v_norm[finite].max(initial=0.0) or 1.0
+            columns = _unit(plain, "cosine") if self.metric == "cosine" else plain / m
+
+            def left(rows):
+                d = self.q_norm[rows]
+                odd = ~np.isfinite(d)
+                d = np.where(odd | (d == 0), 1.0, d)
+                scale = 1.0 if self.metric == "cosine" else d * m
+                need = np.where(odd, -np.inf, (self.floor[rows] - tie) / scale - slack)
+                return np.where(odd[:, None], 0.0, self.q[rows] / d[:, None]), need, np.where(odd, np.inf, 2 * slack + tie / scale)
+
+        return np.ascontiguousarray(columns.T, dtype=np.float32), ~finite, left
 
     def add(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
-        v_norm = _norms(vectors)
         if self.ids is None:
             self.ids = ids[:0]
-        owners, scores, places = [self.owner], [self.score], [self.ids]
-        for lo in range(0, len(rows), _STRIPE):
-            part = rows[lo: lo + _STRIPE]
-            s = self._scores(part, vectors, v_norm)
-            need = self.floor[part]
-            if len(ids) > self.k:
-                cut = len(ids) - self.k
-                need = np.maximum(need, np.partition(s, cut, axis=1)[:, cut])
-            # every score equal to the k-th stays in until ids have decided
-            row, col = np.nonzero((s >= need[:, None]) & (s > -np.inf))
-            owners.append(part[row])
-            scores.append(s[row, col])
-            places.append(ids[col])
-        owner, score, id_ = map(np.concatenate, (owners, scores, places))
+        v_norm = _norms(vectors)
+        scored = ~np.isnan(v_norm)
+        if self.metric == "cosine":
+            scored &= v_norm > 0
+        if not scored.all():
+            ids, vectors, v_norm = ids[scored], vectors[scored], v_norm[scored]
+        rows = rows[self.scored[rows]]
+        if not len(ids) or not len(rows):
+            return
+        with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+            columns, odd, left = self._screen(vectors, v_norm)
+            for lo in range(0, len(rows), _STRIPE):
+                part = rows[lo: lo + _STRIPE]
+                x, need, margin = left(part)
+                product = x.astype(np.float32) @ columns
+                product[:, odd] = -np.inf
+                fresh = self.floor[part] == -np.inf
+                if len(ids) > self.k and fresh.any():
+                    cut = len(ids) - self.k
+                    need[fresh] = np.maximum(need[fresh], np.partition(product[fresh], cut, axis=1)[:, cut] - margin[fresh])
+                product[:, odd] = np.inf
+                row, col = np.divmod(np.flatnonzero(product >= need.astype(np.float32)[:, None]), len(ids))
+                self._score(part[row], col, ids, vectors, v_norm)
+        if len(self.owner) < len(self.q) * self.k and (self.floor[rows] == -np.inf).any():
+            self._merge()
+
+    def _score(self, owner: np.ndarray, col: np.ndarray, ids: np.ndarray, vectors: np.ndarray, v_norm: np.ndarray) -> None:
+        step = max(1, _PAIRS // vectors.shape[1])
+        for lo in range(0, len(owner), step):
+            own, at = owner[lo: lo + step], col[lo: lo + step]
+            score = self._scores(own, vectors[at], v_norm[at])
+            keep = (score >= self.floor[own]) & (score > -np.inf)  # ids decide among equal ones
+            self.new.append((own[keep], score[keep], ids[at[keep]]))
+        if sum(len(x[0]) for x in self.new) > _STRIPE * _BATCH // 4:
+            self._merge()
+
+    def _merge(self) -> None:
+        if not self.new:
+            return
+        owner, score, id_ = (np.concatenate(x) for x in zip((self.owner, self.score, self.ids), *self.new))
+        self.new = []
         order = np.lexsort((id_, -score, owner))
         owner, score, id_ = owner[order], score[order], id_[order]
         starts = np.searchsorted(owner, np.arange(len(self.q)))
         keep = np.arange(len(owner)) - starts[owner] < self.k
         self.owner, self.score, self.ids = owner[keep], score[keep], id_[keep]
         starts = np.searchsorted(self.owner, np.arange(len(self.q)))
-        counts = np.bincount(self.owner, minlength=len(self.q))
-        full = counts == self.k
-        self.floor[full] = self.score[starts[full] + self.k - 1]
+        full = np.bincount(self.owner, minlength=len(self.q)) == self.k
+        self.floor[full] = np.maximum(self.floor[full], self.score[starts[full] + self.k - 1])
 
     def table(self, query_ids: pa.Array, schema: pa.Schema) -> pa.Table:
         if self.ids is None:
             return schema.empty_table()
+        self._merge()
         score = -self.score if self.metric == "euclidean" else self.score
         return pa.table(
             [

@@ -218,3 +218,59 @@ def test_sectors_hold_about_as_many_vectors():
     each = sum(sizes.values()) / vectors.SECTORS
     assert set(of) == set(sizes) and max(held) <= each + max(sizes.values())
     assert vectors._sectors({7: 5}, None) == {7: 0}
+
+
+def best_of(q, c, ids, k, metric, floor=-np.inf):
+    best = vectors._Best(q, k, metric, np.full(len(q), floor))
+    for lo in range(0, len(c), 100):
+        best.add(np.arange(len(q)), ids[lo: lo + 100], c[lo: lo + 100])
+    best._merge()
+    return [best.ids[best.owner == i].tolist() for i in range(len(q))]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
+@pytest.mark.parametrize("kind", ["plain", "near", "offset", "far", "tiny", "same", "odd"])
+def test_scores_of_single_precision_lose_nothing(kind, metric):
+    rng = np.random.default_rng(1)
+    for dim in (1, 3, 64):
+        c, q, ids = rng.normal(size=(250, dim)), rng.normal(size=(60, dim)), rng.permutation(250)
+        if kind == "near":
+            c = c[:1] + c * 1e-7
+            q = c[:60]
+        elif kind == "offset":
+            c = 1e6 + c * 1e-3
+            q = c[:60] + 1e-4 * q
+        elif kind == "far":
+            c[::50] *= 1e9
+            q[::9] *= 1e8
+        elif kind == "tiny":
+            c, q = c * 1e-9, q * 1e-6
+        elif kind == "same":
+            c[20:200] = q[::4] = c[20]
+        elif kind == "odd":
+            c[5], c[6], c[7, 0], c[8], c[30:33] = 0, np.nan, np.inf, 1e200, 0
+            q[3], q[4], q[5, 0], q[6] = 0, np.nan, -np.inf, 1e200
+        for k in (1, 7, 300):
+            got = best_of(q, c, ids, k, metric)
+            with np.errstate(all="ignore"):
+                for i, a in enumerate(q):
+                    if metric == "euclidean":
+                        s = -np.sqrt(((c - a) ** 2).sum(axis=1))
+                    else:
+                        s = np.array([np.einsum("i,i->", a, x) for x in c])
+                        if metric == "cosine":
+                            s /= np.sqrt(np.einsum("i,i->", a, a)) * np.sqrt(np.einsum("ij,ij->i", c, c))
+                    s = np.nan_to_num(np.round(s, 12), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+                    want = [ids[j] for j in np.lexsort((ids, -s)) if s[j] > -np.inf][:k]
+                    assert got[i] == want, (dim, k, i)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
+def test_few_pairs_get_a_score_in_double_precision(monkeypatch, metric):
+    seen = []
+    scores = vectors._Best._scores
+    monkeypatch.setattr(vectors._Best, "_scores", lambda self, *a: (seen.append((out := scores(self, *a)).size), out)[1])
+    rng = np.random.default_rng(3)
+    c = rng.normal(size=(3000, 16))
+    best_of(c[:200], c, np.arange(3000), 5, metric)
+    assert sum(seen) < 0.1 * 200 * 3000
