@@ -467,9 +467,12 @@ def hybrid_search(
 
     # a one-element array binds the lowered text, so that it is computed once per row
     keyword_score = F.get(F.transform(F.array(F.lower(text)), share), F.lit(0))
+    # texts are joined once for the keywords and again for the results, and pass no window;
+    # an id that occurs with several texts finds its own by their hash
+    own_text = F.try_element_at("metadata", F.lit("text"))
     scored = (
         _with_corpus(near, corpus, ["metadata"])
-        .withColumn("text", F.try_element_at("metadata", F.lit("text")))
+        .withColumn("_hash", F.xxhash64(own_text))
         .withColumn("keyword_score", F.coalesce(keyword_score, F.lit(0.0)))
         .drop("metadata", "keywords")
         .withColumn("semantic_score", F.col("score"))
@@ -482,7 +485,9 @@ def hybrid_search(
         )
         .withColumn("total_results", F.count("*").over(Window.partitionBy("query_id")))
     )
-    return _ranked(scored, k, score="hybrid_score").select(
+    best = _ranked(scored, k, score="hybrid_score")
+    texts = corpus.select("id", own_text.alias("text")).groupBy("id", F.xxhash64("text").alias("_hash")).agg(F.first("text").alias("text"))
+    return texts.join(best, ["id", "_hash"]).select(
         "query_id", "rank", "id", "hybrid_score", "semantic_score", "keyword_score", "text", "total_results"
     )
 

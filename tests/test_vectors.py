@@ -274,3 +274,24 @@ def test_few_pairs_get_a_score_in_double_precision(monkeypatch, metric):
     c = rng.normal(size=(3000, 16))
     best_of(c[:200], c, np.arange(3000), 5, metric)
     assert sum(seen) < 0.1 * 200 * 3000
+
+
+def test_hybrid_search_sorts_no_texts(spark):
+    _, df = make(spark, 20)
+    q = df.select(F.col("id").alias("query_id"), "values", F.array(F.lit("doc")).alias("keywords"))
+    plan = vectors.hybrid_search(q, df, k=3)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    windows = [i for i, line in enumerate(plan) if "Window [" in line]
+    assert windows
+    for i in windows:
+        below = next(line for line in plan[i + 1:] if "Project [" in line)
+        assert "text#" not in below.split("Project [")[1] and "metadata#" not in below
+
+
+def test_hybrid_search_with_ids_of_several_texts(spark):
+    df = spark.createDataFrame(
+        [(1, [1.0, 0.0], {"text": "apple"}), (1, [1.0, 0.0], {"text": "pear"}), (2, [0.0, 1.0], {"x": ""}), (2, [0.0, 1.0], {"text": ""})],
+        "id long, values array<float>, metadata map<string,string>")
+    q = spark.createDataFrame([(1, [1.0, 0.0], ["apple"])], "query_id long, values array<float>, keywords array<string>")
+    got = [(r["id"], r["keyword_score"], r["text"]) for r in vectors.hybrid_search(q, df, k=10).orderBy("rank").collect()]
+    # two vectors and two texts of each id, as a join on the id has them
+    assert sorted(got, key=str) == sorted([(1, 1.0, "apple")] * 2 + [(1, 0.0, "pear")] * 2 + [(2, 0.0, None)] * 2 + [(2, 0.0, "")] * 2, key=str)
