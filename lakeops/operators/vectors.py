@@ -61,12 +61,14 @@ class _Best:
 
     Products are first taken in single precision, with a bound on their error. Only pairs that may
     reach the ``floor``, the least score that a query still needs, get a score in double precision.
+    Vectors with a query's id in ``own`` are left out.
     """
 
-    def __init__(self, queries: np.ndarray, k: int, metric: str, floor: np.ndarray):
+    def __init__(self, queries: np.ndarray, k: int, metric: str, floor: np.ndarray, own: np.ndarray | None = None):
         self.q, self.k, self.metric = queries, k, metric
         self.q_norm = _norms(queries)
         self.floor = floor.copy()
+        self.own = own
         self.scored = ~np.isnan(self.q_norm)
         if metric == "cosine":
             self.scored &= self.q_norm > 0
@@ -137,14 +139,15 @@ class _Best:
             return
         with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
             columns, odd, left = self._screen(vectors, v_norm)
+            enough = self.k if self.own is None else self.k + np.unique(ids, return_counts=True)[1].max()
             for lo in range(0, len(rows), _STRIPE):
                 part = rows[lo: lo + _STRIPE]
                 x, need, margin = left(part)
                 product = x.astype(np.float32) @ columns
                 product[:, odd] = -np.inf
                 fresh = self.floor[part] == -np.inf
-                if len(ids) > self.k and fresh.any():
-                    cut = len(ids) - self.k
+                if len(ids) > enough and fresh.any():
+                    cut = len(ids) - enough
                     need[fresh] = np.maximum(need[fresh], np.partition(product[fresh], cut, axis=1)[:, cut] - margin[fresh])
                 product[:, odd] = np.inf
                 row, col = np.divmod(np.flatnonzero(product >= need.astype(np.float32)[:, None]), len(ids))
@@ -155,10 +158,12 @@ class _Best:
     def _score(self, owner: np.ndarray, col: np.ndarray, ids: np.ndarray, vectors: np.ndarray, v_norm: np.ndarray) -> None:
         step = max(1, _PAIRS // vectors.shape[1])
         for lo in range(0, len(owner), step):
-            own, at = owner[lo: lo + step], col[lo: lo + step]
-            score = self._scores(own, vectors[at], v_norm[at])
-            keep = (score >= self.floor[own]) & (score > -np.inf)  # ids decide among equal ones
-            self.new.append((own[keep], score[keep], ids[at[keep]]))
+            rows, at = owner[lo: lo + step], col[lo: lo + step]
+            score = self._scores(rows, vectors[at], v_norm[at])
+            keep = (score >= self.floor[rows]) & (score > -np.inf)  # ids decide among equal ones
+            if self.own is not None:
+                keep &= self.own[rows] != ids[at]
+            self.new.append((rows[keep], score[keep], ids[at[keep]]))
         if sum(len(x[0]) for x in self.new) > _STRIPE * _BATCH // 4:
             self._merge()
 
@@ -325,7 +330,7 @@ def _visits(queries: DataFrame, cells: _Cells, k: int, rest: bool) -> DataFrame:
     return queries.select("query_id", "values", "floor").mapInArrow(visit, schema)
 
 
-def _block_join(visits: DataFrame, cells: _Cells, ids: DataFrame, k: int) -> DataFrame:
+def _block_join(visits: DataFrame, cells: _Cells, ids: DataFrame, k: int, others: bool) -> DataFrame:
     """Best k per query and block of the sectors that it visits."""
     spark = visits.sparkSession
     path = scratch_dir(spark, "visits")
@@ -354,7 +359,7 @@ def _block_join(visits: DataFrame, cells: _Cells, ids: DataFrame, k: int) -> Dat
             return arrow.empty_table()
         known = _Cells(None, *shared.value)
         queries, c = _matrix(q["q_values"]), c.sort_by("cell")
-        best = _Best(queries, k, known.metric, q["floor"].to_numpy())
+        best = _Best(queries, k, known.metric, q["floor"].to_numpy(), _ids(q["q_id"]) if others else None)
         names, bound = known.bounds(queries)
         ids, cell = _ids(c["id"]), c["cell"].to_numpy()
         for i, name in enumerate(names):
@@ -368,8 +373,10 @@ def _block_join(visits: DataFrame, cells: _Cells, ids: DataFrame, k: int) -> Dat
     return q_cells.groupBy(*by).cogroup(c_cells.groupBy(*by)).applyInArrow(meet, ids.schema)
 
 
-def _search(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> tuple[DataFrame, list[DataFrame], _Cells]:
-    """(candidates, the two steps' visits, cells)."""
+def _search(
+    queries: DataFrame, corpus: DataFrame, k: int, metric: str, others: bool = False
+) -> tuple[DataFrame, list[DataFrame], _Cells]:
+    """(candidates, the two steps' visits, cells). With ``others`` a query's own id is no candidate."""
     q_id, c_id = _id_ddl(queries, "query_id"), _id_ddl(corpus, "id")
     queries = queries.select(F.col("query_id").cast(q_id), "values").filter("values IS NOT NULL")
     corpus = corpus.select(F.col("id").cast(c_id), "values").filter("values IS NOT NULL")
@@ -378,17 +385,17 @@ def _search(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> tuple
     cells = _cells(corpus, metric)
     home = _visits(queries.withColumn("floor", F.lit(float("-inf"))), cells, k, rest=False)
     path = scratch_dir(spark, "near")
-    _block_join(home, cells, ids, k).write.parquet(path)
+    _block_join(home, cells, ids, k, others).write.parquet(path)
     near = spark.read.schema(ids.schema).parquet(path)
     higher = -F.col("score") if metric == "euclidean" else F.col("score")
     kth = _ranked(near, k, lowest_first=metric == "euclidean").filter(F.col("rank") == k).select("query_id", higher.alias("floor"))
     floors = queries.join(kth, "query_id", "left").select("query_id", "values", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
     rest = _visits(floors, cells, k, rest=True)
-    return near.unionByName(_block_join(rest, cells, ids, k)), [home, rest], cells
+    return near.unionByName(_block_join(rest, cells, ids, k, others)), [home, rest], cells
 
 
-def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
-    return _search(queries, corpus, k, metric)[0]
+def _candidates(queries: DataFrame, corpus: DataFrame, k: int, metric: str, others: bool = False) -> DataFrame:
+    return _search(queries, corpus, k, metric, others)[0]
 
 
 def pairs_compared(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine") -> DataFrame:
@@ -495,13 +502,12 @@ def hybrid_search(
 def find_similar(corpus: DataFrame, ids: DataFrame, k: int = 5) -> DataFrame:
     """The k nearest other vectors of each given id (column ``id``).
 
-    k+1 are fetched because a vector is its own nearest neighbour. Ids that the
-    corpus does not have are reported by ``joins.missing_ids``.
+    All vectors of a query's id are left out of the search, however many there are. Ids
+    that the corpus does not have are reported by ``joins.missing_ids``.
     """
     wanted = ids.select("id").distinct()
     queries = corpus.join(wanted, "id", "left_semi").select(F.col("id").alias("query_id"), "values")
-    found = _candidates(queries, corpus, k + 1, "cosine")
-    return _ranked(found.filter("query_id <> id"), k)
+    return _ranked(_candidates(queries, corpus, k, "cosine", others=True), k)
 
 
 def rag_context(queries: DataFrame, corpus: DataFrame, k: int = 3) -> DataFrame:

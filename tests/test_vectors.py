@@ -295,3 +295,17 @@ def test_hybrid_search_with_ids_of_several_texts(spark):
     got = [(r["id"], r["keyword_score"], r["text"]) for r in vectors.hybrid_search(q, df, k=10).orderBy("rank").collect()]
     # two vectors and two texts of each id, as a join on the id has them
     assert sorted(got, key=str) == sorted([(1, 1.0, "apple")] * 2 + [(1, 0.0, "pear")] * 2 + [(2, 0.0, None)] * 2 + [(2, 0.0, "")] * 2, key=str)
+
+
+def test_find_similar_where_an_id_has_many_vectors(spark, path):
+    m, _ = make(spark, 60)
+    data = [(i, [float(x) for x in row]) for i, row in enumerate(m)] + [(7, [float(x) for x in m[7]])] * 9
+    df = spark.createDataFrame(data, "id long, values array<float>").repartition(3)
+    got = {}
+    for r in vectors.find_similar(df, df.select("id"), 4).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["id"]))
+    every = np.array([v for _, v in data]).astype(np.float32).astype(float)
+    unit = every / np.linalg.norm(every, axis=1)[:, None]
+    for i in range(60):
+        pairs = sorted((-round(a @ b, 12), j) for a, (x, _) in zip(unit, data) if x == i for b, (j, _) in zip(unit, data) if j != i)
+        assert [j for _, j in sorted(got[i])] == [j for _, j in pairs[:4]]
